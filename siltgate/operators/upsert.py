@@ -107,8 +107,3 @@ def payload_rows(batch: DataFrame, key: str, loaded_at: str) -> DataFrame:
         ),
         F.to_timestamp(F.lit(loaded_at)).alias("updated_at"),
     )
-
-
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys held by more than one row, with their counts."""
-    return df.groupBy(name(key)).agg(F.count("*").alias("n")).filter("n > 1")
