@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from siltgate.functions import variants as v
 from siltgate.functions.text import lit, name, words
-from siltgate.operators.rules import CELL_PREFIX, Cell
-from siltgate.operators.rulesets import RuleSet
+from siltgate.operators.rules import CELL_PREFIX, Cell, Rule
+from siltgate.operators.rulesets import FieldRule, RuleSet
 
 RECORD_ERROR_FIELD = "__batch__"
 RECORD_ERROR_CODE = "unexpected_exception"
@@ -108,7 +108,7 @@ def _with_lets(
     """One projection per layer of intermediate results."""
     others = [c for c in frame.columns if c.removeprefix(CELL_PREFIX) not in cells and c not in keep]
     known = {n: list(first) for n in cells}
-    for depth in range(max(len(c.layers) for c in cells.values())):
+    for depth in range(max((len(c.layers) for c in cells.values()), default=0)):
         columns = []
         for n, c in cells.items():
             column = f"{CELL_PREFIX}{n}"
@@ -194,7 +194,7 @@ def validate(
         field, outcome = cross(cells)
         cases[field] += outcome.cases
         crashes += [outcome.crash] if outcome.crash is not None else []
-    frame = _with_lets(frame, cells, [name_ for name_ in keep], parts)
+    frame = _with_lets(frame, cells, keep, parts)
     frame = frame.selectExpr("*", f"coalesce({', '.join(crashes)}) as _crash")
 
     def error(field: str) -> str:
@@ -227,6 +227,26 @@ def validate(
     return Validation(_observed(checked, rule_set), rule_set)
 
 
+def apply_rule(df: DataFrame, field: str, rule: Rule, document: str | None = None) -> DataFrame:
+    """One rule on one field: ``df`` plus ``value``, ``error_code`` and ``crash``."""
+    rule_set = RuleSet("", "", (FieldRule(field, rule),), id_fields=(field,))
+    keep = [name(c) for c in df.columns]
+    cell = Cell(field, document is not None)
+    outcome = rule(cell)
+    if document is not None:
+        frame, parts = _document_cells(df, rule_set, document, keep), ["raw", "kind", "text"]
+    else:
+        frame, parts = _column_cells(df, rule_set, keep, False), ["kind", "text"]
+    frame = _with_lets(frame, {field: cell}, keep, parts)
+    whens = " ".join(f"when {condition} then {lit(found.code)}" for condition, found in outcome.cases)
+    return frame.selectExpr(
+        *keep,
+        f"{outcome.value} as value",
+        f"{f'case {whens} end' if whens else 'cast(null as string)'} as error_code",
+        f"{outcome.crash or 'cast(null as string)'} as crash",
+    )
+
+
 def _observed(checked: DataFrame, rule_set: RuleSet) -> DataFrame:
     """Count records as they pass, for query listeners.
 

@@ -10,7 +10,7 @@ from siltgate.functions import text as t
 from siltgate.operators import rules
 from siltgate.operators.canonical import transform
 from siltgate.operators.rulesets import CSV_USERS
-from siltgate.operators.validate import Validation, closed, error_counts, validate
+from siltgate.operators.validate import Validation, apply_rule, closed, error_counts, validate
 from workloads.inputs import USERS, sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
 
@@ -191,13 +191,8 @@ def record_id(spark, sf_dir):
     EXPECTED + "select pos, age, clean_age as years, crash from outcome",
 )
 def coerce_age(spark, sf_dir):
-    number = f"({numbers.float_from_text('age')})"
-    return users(spark, sf_dir).selectExpr(
-        "pos",
-        "age",
-        f"{numbers.age_of(number)} as years",
-        f"coalesce({numbers.is_infinite(number)}, false) as crash",
-    )
+    found = apply_rule(users(spark, sf_dir), "age", rules.age)
+    return found.selectExpr("pos", "age", "value as years", "crash is not null as crash")
 
 
 @query(
@@ -205,14 +200,8 @@ def coerce_age(spark, sf_dir):
     EXPECTED + "select pos, clean_opt as value, bad_opt as bad from outcome",
 )
 def coerce_bool(spark, sf_dir):
-    cell = rules.Cell("flag", document=False)
-    outcome = rules.opt_in(cell)
-    frame = users(spark, sf_dir).selectExpr(
-        "pos",
-        f"named_struct('kind', 'STR', 'text', newsletter_opt_in, 'word', lower({t.strip('newsletter_opt_in')}))"
-        f" as {rules.CELL_PREFIX}flag",
-    )
-    return frame.selectExpr("pos", f"{outcome.value} as value", f"{outcome.cases[0][0]} as bad")
+    found = apply_rule(users(spark, sf_dir), "newsletter_opt_in", rules.opt_in)
+    return found.selectExpr("pos", "value", "error_code is not null as bad")
 
 
 @query(
@@ -242,13 +231,9 @@ def check_date(spark, sf_dir):
     EXPECTED + "select state as status, not bad_status as ok, count(*) as n from outcome group by all",
 )
 def check_enum(spark, sf_dir):
-    checked = checked_users(spark, sf_dir).checked
-    bad = "exists(errors, e -> e.field_name = 'status')"
-    # A crashed record has no field errors, so its status is judged by the word alone.
-    ok = f"case when errors[0].field_name = '__batch__' then record.status in {t.words(['active', 'inactive', 'suspended', 'pending'])} else not {bad} end"
-    ok = ok.replace("errors[0]", "get(errors, 0)")
-    frame = checked.selectExpr("record.status as status", f"coalesce({ok}, not {bad}) as ok")
-    return frame.groupBy("status", "ok").count().withColumnRenamed("count", "n")
+    found = apply_rule(users(spark, sf_dir).select("status"), "status", rules.status)
+    found = found.selectExpr("value as status", "error_code is null as ok")
+    return found.groupBy("status", "ok").count().withColumnRenamed("count", "n")
 
 
 @query(
