@@ -22,6 +22,7 @@ from siltgate.fixed_values import (
 from siltgate.functions import variants as v
 from siltgate.functions.text import lit
 from siltgate.operators.prefix import running_total_before
+from siltgate.session import counted
 
 NOT_JSON = "Response body is not valid JSON"
 NEITHER = "Normalized response payload is neither a list nor an object."
@@ -162,12 +163,13 @@ def parse(pages: DataFrame, paging: Paging) -> DataFrame:
         f" when '{v.BOOL}' then bigint(try_variant_get(_total, '$', 'boolean')) end"
     )
     kept = [f"`{c}`" for c in pages.columns if c != "error"]
-    return found.selectExpr(
+    read = found.selectExpr(
         *kept,
         f"{payload} as payload",
         f"{total_value} as total",
         f"cast(coalesce({before}, {error}) as string) as error",
     ).withColumn("n_records", F.expr("case when error is null then bigint(size(payload)) end"))
+    return counted(read, "pages", pages="count(1)", failed="count(error)", records="sum(n_records)")
 
 
 def _last_pages(parsed: DataFrame, paging: Paging) -> DataFrame:

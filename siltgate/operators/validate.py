@@ -6,7 +6,6 @@ results, rules. Keeping them apart lets each expression be computed once.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -18,6 +17,7 @@ from siltgate.functions import variants as v
 from siltgate.functions.text import lit, name, words
 from siltgate.operators.rules import CELL_PREFIX, Cell, Rule
 from siltgate.operators.rulesets import FieldRule, RuleSet
+from siltgate.session import counted
 
 RECORD_ERROR_FIELD = "__batch__"
 RECORD_ERROR_CODE = "unexpected_exception"
@@ -224,7 +224,14 @@ def validate(
         f"named_struct({typed}) as record",
         f"case when _crash is not null then array({crash_error}) else {field_errors} end as errors",
     )
-    return Validation(_observed(checked, rule_set), rule_set)
+    checked = counted(
+        checked,
+        f"validation {rule_set.source_type}",
+        processed="count(1)",
+        accepted="count_if(size(errors) = 0)",
+        errors="sum(size(errors))",
+    )
+    return Validation(checked, rule_set)
 
 
 def apply_rule(df: DataFrame, field: str, rule: Rule, document: str | None = None) -> DataFrame:
@@ -247,20 +254,6 @@ def apply_rule(df: DataFrame, field: str, rule: Rule, document: str | None = Non
     )
 
 
-def _observed(checked: DataFrame, rule_set: RuleSet) -> DataFrame:
-    """Count records as they pass, for query listeners.
-
-    The node also keeps the accepted/rejected filter above the rules. Pushed
-    down, the filter would repeat every rule once per layer it passes.
-    """
-    return checked.observe(
-        f"validation {rule_set.source_type} {uuid.uuid4().hex}",
-        F.expr("count(1) as processed"),
-        F.expr("count_if(size(errors) = 0) as accepted"),
-        F.expr("sum(size(errors)) as errors"),
-    )
-
-
 def _error_row(field: str, message: str, code: str, text: str) -> str:
     return (
         f"named_struct('field_name', {lit(field)}, 'message', {message},"

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folder: str | None = None
 
@@ -37,3 +38,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, label: str, **metrics: str) -> DataFrame:
+    """Report row counts to query listeners as the rows pass.
+
+    The node also stops filters on costly columns from being pushed below the
+    expressions they are made of, which would compute those once more.
+    """
+    return df.observe(
+        f"{label} {uuid.uuid4().hex}", *[F.expr(e).alias(n) for n, e in metrics.items()]
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltgate.functions import variants as v
 from siltgate.functions.text import lit, name
+from siltgate.session import counted
 
 COMPARISONS = {"$gt": ">", "$gte": ">=", "$lt": "<", "$lte": "<="}
 
@@ -39,6 +40,7 @@ def documents_from(lines: DataFrame, column: str, collection: str, run_ts: datet
     parsed = lines.selectExpr(
         *others, f"{name(column)} as _line", f"try_parse_json({name(column)}) as document"
     ).selectExpr("*", f"{v.kind('document')} as _kind")
+    parsed = counted(parsed, f"scan {collection}", documents=f"count_if(_kind = '{v.OBJECT}')", lines="count(1)")
     documents = parsed.filter(f"_kind = '{v.OBJECT}'").selectExpr(
         *others,
         f"{lit(collection)} as source_collection",

@@ -12,14 +12,14 @@ from siltgate.operators.canonical import transform
 from siltgate.operators.rulesets import DOCUMENT_USERS, STRICT_USERS
 from siltgate.operators.validate import Validation, apply_rule, error_counts, validate
 from siltgate.sources.documents import DocumentScan, documents_from, key_text, limited
-from workloads.inputs import DOCUMENT_PARTS, DOCUMENTS, sql
+from workloads.inputs import DOCUMENT_PARTS, DOCUMENTS, land, sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
 
 COLLECTION = "users"
 
 
 def scan(spark: SparkSession, sf_dir: str) -> DocumentScan:
-    lines = sql(spark, sf_dir, DOCUMENTS, "customer", "nation")
+    lines = land(spark, sf_dir, "documents", DOCUMENTS, "customer", "nation")
     return documents_from(lines, "line", COLLECTION, RUN_TS)
 
 

@@ -111,7 +111,8 @@ def file_errors(spark, sf_dir):
     "csv_envelope",
     EXPECTED
     + f"""select file_no, row_number, '{RUN_TEXT}' as ingestion_timestamp,
-      case kind when 'padded' then concat(' ', pos, ' ') else cast(pos as varchar) end as raw_id, {NAME} as raw_name,
+      case kind when 'padded' then concat(' ', pos, ' ') else cast(pos as varchar) end as raw_id,
+      case kind when 'padded' then concat(name, ' ') else {NAME} end as raw_name,
       cast(pos as varchar) as id, {NAME} as name, 3 as n_fields from kept where kind not in ('short', 'blank')""",
 )
 def csv_envelope(spark, sf_dir):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltgate.session import new_path
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings"
     " pages benchmark labels conversations"
@@ -26,6 +28,19 @@ def sql(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
     return spark.sql(text)
 
 
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, label: str, text: str, *names: str) -> DataFrame:
+    """The rows of ``text`` as files in the shared folder, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _landed:
+        path = new_path(spark, label)
+        sql(spark, sf_dir, text, *names).write.parquet(path)
+        _landed[key] = path
+    return spark.read.parquet(_landed[key])
+
+
 # --- CSV users, from customer and nation --------------------------------------
 
 USERS = """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltgate.operators import responses as r
 from siltgate.operators.responses import Paging
-from workloads.inputs import LANDED, PAGE_FACTS, PAGE_SIZE, RESPONSES, sql
+from workloads.inputs import LANDED, PAGE_FACTS, PAGE_SIZE, RESPONSES, land, sql
 from workloads.registry import query
 
 PAGING = Paging(
@@ -15,7 +15,7 @@ PAGING = Paging(
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.parse(sql(spark, sf_dir, LANDED, "part"), PAGING)
+    return r.parse(land(spark, sf_dir, "pages", LANDED, "part"), PAGING)
 
 
 # Per page: what it reads as, and whether the walk gets there.

@@ -11,12 +11,12 @@ from siltgate.operators.rulesets import PRODUCTS as PRODUCT_RULES
 from siltgate.operators.rulesets import flatten_columns
 from siltgate.operators.validate import Validation, apply_rule, error_counts, validate
 from siltgate.sources.documents import documents_from
-from workloads.inputs import PRODUCT_PARTS, PRODUCTS, sql
+from workloads.inputs import PRODUCT_PARTS, PRODUCTS, land, sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = sql(spark, sf_dir, PRODUCTS, "part")
+    lines = land(spark, sf_dir, "products", PRODUCTS, "part")
     documents = documents_from(lines, "line", "products", RUN_TS).documents
     return documents.selectExpr("pos", "'api_source' as source_name", "document")
 

@@ -11,12 +11,12 @@ from siltgate.operators import rules
 from siltgate.operators.canonical import transform
 from siltgate.operators.rulesets import CSV_USERS
 from siltgate.operators.validate import Validation, apply_rule, closed, error_counts, validate
-from workloads.inputs import USERS, sql
+from workloads.inputs import USERS, land, sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sql(spark, sf_dir, USERS, "customer", "nation")
+    return land(spark, sf_dir, "users", USERS, "customer", "nation")
 
 
 def checked_users(spark: SparkSession, sf_dir: str) -> Validation:
