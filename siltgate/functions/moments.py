@@ -21,15 +21,23 @@ def iso_date(text: str) -> str:
     return f"case when {ok} then try_cast({day} as date) end"
 
 
-def normalized(text: str) -> str:
-    """Stripped, with ``Z`` spelled +00:00; NULL unless it has the ISO shape."""
-    iso = f"replace({strip(text)}, 'Z', '+00:00')"
-    return f"case when {matches(iso, ISO_MOMENT)} and {iso} >= {lit(FIRST_YEAR)} then {iso} end"
+def spelled(text: str) -> str:
+    """Stripped, with ``Z`` spelled +00:00."""
+    return f"replace({strip(text)}, 'Z', '+00:00')"
+
+
+def when_iso(text: str) -> str:
+    """The text when it has the ISO shape, else NULL."""
+    return f"case when {matches(text, ISO_MOMENT)} and {text} >= {lit(FIRST_YEAR)} then {text} end"
 
 
 def offset_of(iso: str) -> str:
-    """The offset of normalized text, '' when it has none."""
-    return f"regexp_extract(substring({iso}, 12), '[+-].*$', 0)"
+    """The offset, '' when there is none. It ends the text, after at least the hour."""
+    return (
+        f"case when length({iso}) >= 19 and substring({iso}, -6, 1) in ('+', '-') then right({iso}, 6)"
+        f" when length({iso}) >= 22 and substring({iso}, -9, 1) in ('+', '-') then right({iso}, 9)"
+        f" when {iso} is not null then '' end"
+    )
 
 
 def clock_of(iso: str, offset: str) -> str:
@@ -46,12 +54,12 @@ def instant(iso: str, clock: str, offset: str) -> str:
 
 def shown(iso: str, clock: str, offset: str) -> str:
     """``YYYY-MM-DD HH:MM:SS[.ffffff][+hh:mm]`` in the value's own offset."""
-    short = f"regexp_replace({clock}, {lit(r'\.0{6}$')}, '')"
+    short = f"case when endswith({clock}, '.000000') then left({clock}, 8) else {clock} end"
     return f"concat(substring({iso}, 1, 10), ' ', {short}, {offset})"
 
 
 def iso_moment(text: str) -> str:
     """timestamp for ISO text, else NULL. Offsets beyond 18 hours are not read."""
-    iso = f"({normalized(text)})"
-    offset = offset_of(iso)
+    iso = f"({when_iso(spelled(text))})"
+    offset = f"({offset_of(iso)})"
     return instant(iso, clock_of(iso, offset), offset)

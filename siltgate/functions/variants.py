@@ -38,16 +38,15 @@ def plain_text(value: str) -> str:
     return f"try_variant_get({value}, '$', 'string')"
 
 
-def python_text(value: str, value_kind: str) -> str:
-    """Scalars as Python's str() shows them; nested values as JSON."""
+def python_text(value: str, value_kind: str, text: str) -> str:
+    """Scalars as Python's str() shows them; nested values as JSON. ``text`` is plain_text."""
     number = f"string(try_variant_get({value}, '$', 'double'))"
-    plain = plain_text(value)
     # Whole numbers beyond 64 bits arrive as wide decimals without a fraction.
-    wide = f"length({plain}) > 18 and instr({plain}, '.') = 0"
+    wide = f"length({text}) > 18 and instr({text}, '.') = 0"
     return (
-        f"case {value_kind} when '{BOOL}' then initcap({plain})"
-        f" when '{DECIMAL}' then case when {wide} then {plain} else {number} end"
-        f" when '{DOUBLE}' then {number} else {plain} end"
+        f"case {value_kind} when '{TEXT}' then {text} when '{BOOL}' then initcap({text})"
+        f" when '{DECIMAL}' then case when {wide} then {text} else {number} end"
+        f" when '{DOUBLE}' then {number} else {text} end"
     )
 
 

@@ -76,16 +76,24 @@ class Cell:
     @property
     def shown(self) -> str:
         """The value as Python's str() shows it, ``None`` for null."""
-        text = v.python_text(self.raw, self.kind) if self.document else self.text
+        text = v.python_text(self.raw, self.kind, self.text) if self.document else self.text
         return f"case when {self.is_kind(v.NULL)} then 'None' else {text} end"
 
     def stripped(self) -> str:
         """Any value as stripped text."""
-        text = v.python_text(self.raw, self.kind) if self.document else self.text
+        text = v.python_text(self.raw, self.kind, self.text) if self.document else self.text
         return self.let("stripped", strip(f"({text})"))
 
+    def as_float(self) -> str:
+        """double of a number or of text; only text needs checking."""
+        numeric = self.is_kind(v.INT, v.DECIMAL, v.DOUBLE)
+        checked = numbers.float_from_text(self.text)
+        if not self.document:
+            return checked
+        return f"case when {numeric} then try_cast({self.text} as double) else {checked} end"
+
     def number(self) -> str:
-        return self.let("number", numbers.float_from_text(self.text))
+        return self.let("number", self.as_float())
 
 
 @dataclass(frozen=True)
@@ -247,7 +255,7 @@ def strict_email(cell: Cell) -> Outcome:
 
 
 def optional_phone(cell: Cell) -> Outcome:
-    text = v.python_text(cell.raw, cell.kind) if cell.document else cell.text
+    text = v.python_text(cell.raw, cell.kind, cell.text) if cell.document else cell.text
     return Outcome(cell.let("value", f"case when not {cell.absent} then {blank_to_null(f'({text})')} end"))
 
 
@@ -337,10 +345,11 @@ def _date_text(cell: Cell) -> str:
 
 def _moment(cell: Cell, text: str, layer: int = 1) -> str:
     """struct<at, zoned, shown> or NULL."""
-    iso = cell.let("iso", moments.normalized(text), layer)
-    offset = cell.let("offset", moments.offset_of(iso), layer + 1)
-    clock = cell.let("clock", moments.clock_of(iso, offset), layer + 2)
-    at = cell.let("at", moments.instant(iso, clock, offset), layer + 3)
+    spelled = cell.let("spelled", moments.spelled(text), layer)
+    iso = cell.let("iso", moments.when_iso(spelled), layer + 1)
+    offset = cell.let("offset", moments.offset_of(iso), layer + 2)
+    clock = cell.let("clock", moments.clock_of(iso, offset), layer + 3)
+    at = cell.let("at", moments.instant(iso, clock, offset), layer + 4)
     return (
         f"case when {at} is not null then named_struct('at', {at}, 'zoned', {offset} != '',"
         f" 'shown', {moments.shown(iso, clock, offset)}) end"
@@ -458,8 +467,8 @@ def positive_int(cell: Cell) -> Outcome:
 
 def lenient_float(cell: Cell) -> Outcome:
     """double, NULL when it cannot be read."""
-    number = numbers.float_from_text(cell.text)
-    value = f"case when {cell.is_kind(v.BOOL)} then {_flag_as(cell, '1D', '0D')} else {number} end"
+    flag = _flag_as(cell, "1D", "0D")
+    value = f"case when {cell.is_kind(v.BOOL)} then {flag} else {cell.as_float()} end"
     return Outcome(cell.let("value", value))
 
 
@@ -520,6 +529,6 @@ def tag_list(cell: Cell) -> Outcome:
     return Outcome(
         f"named_struct('items', case when {cell.absent} then cast(array() as array<string>)"
         f" when {elements} is not null then transform({elements}, e -> {v.plain_text('e')})"
-        f" else array({v.python_text(cell.raw, cell.kind)}) end,"
+        f" else array({v.python_text(cell.raw, cell.kind, cell.text)}) end,"
         f" 'fault', case when {odd} >= 0 then {fault} end)"
     )

@@ -152,7 +152,7 @@ def _record_id(cells: dict[str, Cell], values: dict[str, str], rule_set: RuleSet
 
     def truthy(cell: Cell) -> str:
         zero = f"{cell.kind} != '{v.TEXT}' and {cell.text} in {words(EMPTY_TEXTS)}"
-        text = v.python_text(cell.raw, cell.kind) if cell.document else cell.text
+        text = v.python_text(cell.raw, cell.kind, cell.text) if cell.document else cell.text
         return f"case when not ({cell.absent} or {cell.text} = '' or ({zero})) then {text} end"
 
     return f"coalesce({', '.join(truthy(cells[n]) for n in rule_set.id_fields)}, 'unknown')"

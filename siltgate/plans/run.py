@@ -14,7 +14,7 @@ from siltgate.operators.incremental import id_text, keep_new
 from siltgate.operators.rulesets import Registry, default_registry
 from siltgate.operators.validate import Validation, error_rows, validate
 from siltgate.plans.load import last_processed_id, load
-from siltgate.session import stage
+from siltgate.session import configure, stage
 from siltgate.sinks.tables import TargetTable
 
 
@@ -139,6 +139,7 @@ def run_source(
 
     ``strict`` fails the run when a validated record cannot be mapped.
     """
+    configure(spark)
     _require_clean(batch, source, on_source_error)
     checkpoints = TargetTable.named(spark, folder, "etl_metadata")
     last_id = last_processed_id(checkpoints.read(), source.name)

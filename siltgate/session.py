@@ -15,6 +15,19 @@ from pyspark.sql import functions as F
 _local_folder: str | None = None
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Session settings the library is tuned for.
+
+    Rule sets make long projections. Above 8000 bytes of bytecode the JVM does not
+    compile a method, so whole-stage code of that size runs interpreted; below the
+    limit set here Spark fuses operators, above it each projection is compiled in
+    small methods of its own.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only for a local master."""
     global _local_folder

@@ -61,7 +61,7 @@ def key_text(document: str, key: str = "_id") -> str:
     raw = v.field(document, key)
     return (
         f"coalesce(try_variant_get({document}, {v.path_of(key, '$oid')}, 'string'),"
-        f" {v.python_text(raw, v.kind(raw))})"
+        f" {v.python_text(raw, v.kind(raw), v.plain_text(raw))})"
     )
 
 

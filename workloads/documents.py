@@ -149,7 +149,7 @@ def limit_documents(spark, sf_dir):
 )
 def document_envelope(spark, sf_dir):
     user = v.field("document", "user_id")
-    shown = f"case when {v.kind(user)} = '{v.NULL}' then 'None' else {v.python_text(user, v.kind(user))} end"
+    shown = f"case when {v.kind(user)} = '{v.NULL}' then 'None' else {v.python_text(user, v.kind(user), v.plain_text(user))} end"
     return scan(spark, sf_dir).documents.selectExpr(
         "pos", "source_collection", f"{key_text('document')} as key", f"{shown} as user_key"
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltgate.session import new_path
+from siltgate.session import configure, new_path
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings"
@@ -17,8 +17,8 @@ TABLES = (
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Register the named tables as views; times are read as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Register the named tables as views."""
+    configure(spark)
     for n in names or TABLES:
         spark.read.parquet(f"{sf_dir}/{n}.parquet").createOrReplaceTempView(n)
 
@@ -32,11 +32,19 @@ _landed: dict[tuple[str, str, str], str] = {}
 
 
 def land(spark: SparkSession, sf_dir: str, label: str, text: str, *names: str) -> DataFrame:
-    """The rows of ``text`` as files in the shared folder, written once per application."""
+    """The rows of ``text`` as files in the shared folder, written once per application.
+
+    A table of fewer splits than cores is spread out; larger ones stay as they are.
+    """
+    configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _landed:
+        rows = sql(spark, sf_dir, text, *names)
+        cores = spark.sparkContext.defaultParallelism
+        if rows.rdd.getNumPartitions() < cores:
+            rows = rows.repartition(cores)
         path = new_path(spark, label)
-        sql(spark, sf_dir, text, *names).write.parquet(path)
+        rows.write.parquet(path)
         _landed[key] = path
     return spark.read.parquet(_landed[key])
 
