@@ -21,7 +21,7 @@ from siltgate.fixed_values import (
 )
 from siltgate.functions import moments, numbers
 from siltgate.functions import variants as v
-from siltgate.functions.text import blank_to_null, lit, malformed_email, matches, quoted, strip, words
+from siltgate.functions.text import lit, malformed_email, matches, quoted, strip, words
 
 # Each field travels through the projections as one struct column.
 CELL_PREFIX = "_cell_"
@@ -33,7 +33,8 @@ class Cell:
 
     ``let`` names an intermediate result. It becomes part of a projection below
     the rules, so that a rule may use it many times while it is computed once;
-    without that, nested uses multiply the generated code.
+    without that, nested uses multiply the generated code. ``raw`` is there for
+    the first layer only; the copies of later layers stay small without it.
     """
 
     name: str
@@ -73,16 +74,22 @@ class Cell:
         """Missing or null."""
         return self.is_kind(v.MISSING, v.NULL)
 
-    @property
+    def _python_text(self) -> str:
+        return v.python_text(self.raw, self.kind, self.text) if self.document else self.text
+
+    def _shown(self) -> str:
+        return f"case when {self.is_kind(v.NULL)} then 'None' else {self._python_text()} end"
+
     def shown(self) -> str:
         """The value as Python's str() shows it, ``None`` for null."""
-        text = v.python_text(self.raw, self.kind, self.text) if self.document else self.text
-        return f"case when {self.is_kind(v.NULL)} then 'None' else {text} end"
+        return self.let("shown", self._shown())
+
+    def shown_stripped(self) -> str:
+        return self.let("shown_stripped", strip(f"({self._shown()})"))
 
     def stripped(self) -> str:
         """Any value as stripped text."""
-        text = v.python_text(self.raw, self.kind, self.text) if self.document else self.text
-        return self.let("stripped", strip(f"({text})"))
+        return self.let("stripped", strip(f"({self._python_text()})"))
 
     def as_float(self) -> str:
         """double of a number or of text; only text needs checking."""
@@ -170,7 +177,7 @@ def optional_text(cell: Cell) -> Outcome:
 
 def any_as_text(cell: Cell) -> Outcome:
     """Any value as stripped text; null becomes the word None."""
-    value = cell.let("value", strip(f"({cell.shown})"))
+    value = cell.shown_stripped()
     return Outcome(value, [(cell.missing, MISSING), (f"{value} = ''", _too_short(1))])
 
 
@@ -255,12 +262,12 @@ def strict_email(cell: Cell) -> Outcome:
 
 
 def optional_phone(cell: Cell) -> Outcome:
-    text = v.python_text(cell.raw, cell.kind, cell.text) if cell.document else cell.text
-    return Outcome(cell.let("value", f"case when not {cell.absent} then {blank_to_null(f'({text})')} end"))
+    value = cell.stripped()
+    return Outcome(f"case when not {cell.absent} then nullif({value}, '') end")
 
 
 def status(cell: Cell) -> Outcome:
-    value = cell.let("value", f"lower({strip(f'({cell.shown})')})")
+    value = f"lower({cell.shown_stripped()})"
     allowed = ", ".join(f"'{s}'" for s in STATUSES)
     return Outcome(
         value,
@@ -292,14 +299,14 @@ def opt_in(cell: Cell) -> Outcome:
 
 def active_flag(cell: Cell) -> Outcome:
     """A boolean, any int (0 is false), or one of a few words."""
-    word = cell.let("word", f"lower({strip(f'({cell.shown})')})")
+    word = f"lower({cell.shown_stripped()})"
     value = cell.let(
         "value",
         f"case when {cell.is_kind(v.INT)} then cast({cell.text} as bigint) != 0"
         f" else {_word_flag(word, ACTIVE_TRUE, ACTIVE_FALSE)} end",
         layer=1,
     )
-    got = f"case when {cell.is_kind(v.TEXT)} then {quoted(cell.text)} else {cell.shown} end"
+    got = f"case when {cell.is_kind(v.TEXT)} then {quoted(cell.text)} else {cell.shown()} end"
     return Outcome(
         value,
         [
@@ -334,22 +341,20 @@ def strict_bool(cell: Cell) -> Outcome:
 
 def _date_text(cell: Cell) -> str:
     """What a date is read from: the shown text, or an exported date."""
+    shown = cell.shown_stripped()
     if not cell.document:
-        return cell.let("shown", strip(f"({cell.shown})"))
-    exported = v.exported_date(cell.raw)
-    plain = strip(f"({cell.shown})")
-    return cell.let(
-        "shown", f"case when {cell.is_kind(v.OBJECT)} then coalesce({exported}, {plain}) else {plain} end"
-    )
+        return shown
+    exported = cell.let("exported", f"case when {cell.is_kind(v.OBJECT)} then {v.exported_date(cell.raw)} end")
+    return f"coalesce({exported}, {shown})"
 
 
 def _moment(cell: Cell, text: str, layer: int = 1) -> str:
-    """struct<at, zoned, shown> or NULL."""
+    """struct<at, zoned, shown> or NULL. ``iso``, ``offset`` and ``at`` are parts of the cell."""
     spelled = cell.let("spelled", moments.spelled(text), layer)
     iso = cell.let("iso", moments.when_iso(spelled), layer + 1)
     offset = cell.let("offset", moments.offset_of(iso), layer + 2)
-    clock = cell.let("clock", moments.clock_of(iso, offset), layer + 3)
-    at = cell.let("at", moments.instant(iso, clock, offset), layer + 4)
+    clock = moments.clock_of(iso, offset)
+    at = cell.let("at", moments.instant(iso, clock, offset), layer + 3)
     return (
         f"case when {at} is not null then named_struct('at', {at}, 'zoned', {offset} != '',"
         f" 'shown', {moments.shown(iso, clock, offset)}) end"
@@ -395,7 +400,8 @@ def optional_moment(cell: Cell) -> Outcome:
 def strict_date(cell: Cell) -> Outcome:
     """ISO date, or a date-time at midnight."""
     _moment(cell, cell.text, layer=0)
-    clock, at = cell.part("clock"), cell.part("at")
+    at = cell.part("at")
+    clock = moments.clock_of(cell.part("iso"), cell.part("offset"))
     value = f"case when {clock} = {lit(moments.MIDNIGHT)} then cast(substring({cell.part('iso')}, 1, 10) as date) end"
     return Outcome(
         value,
@@ -529,6 +535,6 @@ def tag_list(cell: Cell) -> Outcome:
     return Outcome(
         f"named_struct('items', case when {cell.absent} then cast(array() as array<string>)"
         f" when {elements} is not null then transform({elements}, e -> {v.plain_text('e')})"
-        f" else array({v.python_text(cell.raw, cell.kind, cell.text)}) end,"
+        f" else array({cell.shown()}) end,"
         f" 'fault', case when {odd} >= 0 then {fault} end)"
     )

@@ -68,17 +68,18 @@ def _paths(rule_set: RuleSet) -> dict[str, tuple[str, ...]]:
 
 
 def _document_cells(df: DataFrame, rule_set: RuleSet, document: str, keep: list[str]) -> DataFrame:
-    raw = {n: v.field(name(document), *keys) for n, keys in _paths(rule_set).items()}
+    fields = _paths(rule_set)
+    raw = {n: v.field(name(document), *keys) for n, keys in fields.items()}
     raw |= {_part(p): v.field(name(document), *p) for p in rule_set.object_paths}
     raw[WHOLE] = name(document)
     df = df.selectExpr(*keep, *[f"{value} as {CELL_PREFIX}{n}" for n, value in raw.items()])
 
+
     def cell(n: str) -> str:
         value = f"{CELL_PREFIX}{n}"
-        return (
-            f"named_struct('raw', {value}, 'kind', {v.kind(value)}, 'text', {v.plain_text(value)})"
-            f" as {value}"
-        )
+        raw_part = f"'raw', {value}, " if n in fields else ""
+        text = "null" if n == WHOLE else v.plain_text(value)
+        return f"named_struct({raw_part}'kind', {v.kind(value)}, 'text', {text}) as {value}"
 
     return df.selectExpr(*keep, *[cell(n) for n in raw])
 
@@ -113,7 +114,8 @@ def _with_lets(
         for n, c in cells.items():
             column = f"{CELL_PREFIX}{n}"
             added = c.layers[depth] if len(c.layers) > depth else {}
-            if added:
+            if added or (depth == 0 and "raw" in known[n]):
+                known[n] = [k for k in known[n] if k != "raw"]
                 parts = [f"'{k}', {column}.{k}" for k in known[n]]
                 parts += [f"'{k}', {e}" for k, e in added.items()]
                 columns.append(f"named_struct({', '.join(parts)}) as {column}")
@@ -147,13 +149,12 @@ def _unreadable(rule_set: RuleSet) -> list[str]:
 def _record_id(cells: dict[str, Cell], values: dict[str, str], rule_set: RuleSet) -> str:
     if rule_set.id_from_value:
         cell = cells[rule_set.id_fields[0]]
-        shown = f"case when not {cell.missing} then {cell.shown} end"
+        shown = f"case when not {cell.missing} then {cell.shown()} end"
         return f"coalesce(cast({values[cell.name]} as string), {shown}, 'unknown')"
 
     def truthy(cell: Cell) -> str:
         zero = f"{cell.kind} != '{v.TEXT}' and {cell.text} in {words(EMPTY_TEXTS)}"
-        text = v.python_text(cell.raw, cell.kind, cell.text) if cell.document else cell.text
-        return f"case when not ({cell.absent} or {cell.text} = '' or ({zero})) then {text} end"
+        return f"case when not ({cell.absent} or {cell.text} = '' or ({zero})) then {cell.shown()} end"
 
     return f"coalesce({', '.join(truthy(cells[n]) for n in rule_set.id_fields)}, 'unknown')"
 
@@ -194,6 +195,7 @@ def validate(
         field, outcome = cross(cells)
         cases[field] += outcome.cases
         crashes += [outcome.crash] if outcome.crash is not None else []
+    known_id = _record_id(cells, values, rule_set)
     frame = _with_lets(frame, cells, keep, parts)
     frame = frame.selectExpr("*", f"coalesce({', '.join(crashes)}) as _crash")
 
@@ -208,9 +210,7 @@ def validate(
     field_errors = f"array_compact(array({', '.join(error(n) for n in outcomes if cases[n])}))"
     crash_error = _error_row(RECORD_ERROR_FIELD, "_crash", RECORD_ERROR_CODE, "cast(null as string)")
     # A record that crashed is known only by the id its envelope gave.
-    found_id = (
-        f"case when _crash is not null then 'unknown' else {_record_id(cells, values, rule_set)} end"
-    )
+    found_id = f"case when _crash is not null then 'unknown' else {known_id} end"
     if not rule_set.id_from_value:
         found_id = f"coalesce(nullif(_given, ''), {found_id})"
     typed = ", ".join(f"'{n}', {value}" for n, value in values.items())
