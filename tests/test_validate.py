@@ -41,41 +41,47 @@ def codes(row):
     return [(e["field_name"], e["error_code"]) for e in row["errors"]]
 
 
-def check_user(spark, **changes):
-    record = {**USER, **changes}
-    frame = spark.createDataFrame([tuple(record.values())], ", ".join(f"{k} string" for k in record))
-    return validate(frame, CSV_USERS, RUN_TS).checked.first()
-
-
-def check_document(documents, rule_set, base, **changes):
-    return validate(documents(changed(base, **changes)), rule_set, RUN_TS, "document").checked.first()
-
-
-@pytest.mark.parametrize(
-    "changes,expected",
-    [
-        ({}, []),
-        ({"user_id": " "}, [("user_id", "string_too_short")]),
-        ({"user_id": None}, []),
-        ({"full_name": None}, [("full_name", "string_type")]),
-        ({"full_name": " "}, []),
-        ({"email": ""}, [("email", "value_error")]),
-        ({"email": None}, [("email", "value_error")]),
-        ({"email": "a@b"}, [("email", "value_error")]),
-        ({"email": "@."}, []),
-        ({"signup_date": "2024-1-5"}, [("signup_date", "value_error")]),
-        ({"signup_date": None}, [("signup_date", "value_error")]),
-        ({"country": ""}, [("country", "string_too_short")]),
-        ({"status": " ACTIVE "}, []),
-        ({"status": "gone"}, [("status", "value_error")]),
-        ({"newsletter_opt_in": " y "}, []),
-        ({"newsletter_opt_in": "maybe"}, [("newsletter_opt_in", "value_error")]),
-        ({"age": "inf", "email": ""}, [("__batch__", "unexpected_exception")]),
-        ({"email": "", "status": "x"}, [("email", "value_error"), ("status", "value_error")]),
-    ],
-)
-def test_csv_user_rules(spark, changes, expected):
-    assert codes(check_user(spark, **changes)) == expected
+def check_users(spark, *changes):
+    """Checked rows of the good user with each of the changes, in order."""
+    rows = [(i, *{**USER, **c}.values()) for i, c in enumerate(changes)]
+    frame = spark.createDataFrame(rows, "pos int, " + ", ".join(f"{k} string" for k in USER))
+    return validate(frame, CSV_USERS, RUN_TS, carry=["pos"]).checked.orderBy("pos").collect()
+
+
+def check_documents(documents, rule_set, base, *changes):
+    frame = documents(*[changed(base, **c) for c in changes])
+    return validate(frame, rule_set, RUN_TS, "document", carry=["pos"]).checked.orderBy("pos").collect()
+
+
+def assert_codes(rows, cases):
+    assert [(c, codes(r)) for r, (c, _) in zip(rows, cases)] == [(c, e) for c, e in cases]
+
+
+CSV_USER_RULES = [
+    ({}, []),
+    ({"user_id": " "}, [("user_id", "string_too_short")]),
+    ({"user_id": None}, []),
+    ({"full_name": None}, [("full_name", "string_type")]),
+    ({"full_name": " "}, []),
+    ({"email": ""}, [("email", "value_error")]),
+    ({"email": None}, [("email", "value_error")]),
+    ({"email": "a@b"}, [("email", "value_error")]),
+    ({"email": "@."}, []),
+    ({"signup_date": "2024-1-5"}, [("signup_date", "value_error")]),
+    ({"signup_date": None}, [("signup_date", "value_error")]),
+    ({"country": ""}, [("country", "string_too_short")]),
+    ({"status": " ACTIVE "}, []),
+    ({"status": "gone"}, [("status", "value_error")]),
+    ({"newsletter_opt_in": " y "}, []),
+    ({"newsletter_opt_in": "maybe"}, [("newsletter_opt_in", "value_error")]),
+    ({"age": "inf", "email": ""}, [("__batch__", "unexpected_exception")]),
+    ({"email": "", "status": "x"}, [("email", "value_error"), ("status", "value_error")]),
+]
+
+
+def test_csv_user_rules(spark):
+    cases = CSV_USER_RULES
+    assert_codes(check_users(spark, *[c for c, _ in cases]), cases)
 
 
 def test_csv_user_missing_columns(spark):
@@ -85,42 +91,43 @@ def test_csv_user_missing_columns(spark):
 
 
 def test_csv_user_values(spark):
-    record = check_user(spark, status=" Active ", newsletter_opt_in="No", age="33.9", phone=" 1 ")["record"]
+    changes = {"status": " Active ", "newsletter_opt_in": "No", "age": "33.9", "phone": " 1 "}
+    record = check_users(spark, changes)[0]["record"]
     assert (record["status"], record["newsletter_opt_in"], record["age"], record["phone"]) == ("active", False, 33, "1")
 
 
-@pytest.mark.parametrize(
-    "changes,expected",
-    [
-        ({}, []),
-        ({"user_id": "5.0"}, []),
-        ({"user_id": " 7 "}, []),
-        ({"user_id": True}, []),
-        ({"user_id": 5.5}, [("user_id", "int_from_float")]),
-        ({"user_id": "5.5"}, [("user_id", "int_parsing")]),
-        ({"user_id": None}, [("user_id", "int_type")]),
-        ({"user_id": DROP}, [("user_id", "missing")]),
-        ({"user_id": 0}, [("user_id", "greater_than_equal")]),
-        ({"user_id": [1]}, [("user_id", "int_type")]),
-        ({"user_id": 10**19}, [("user_id", "int_parsing_size")]),
-        ({"first_name": None}, [("first_name", "value_error")]),
-        ({"first_name": 5}, []),
-        ({"city": "  "}, [("city", "string_too_short")]),
-        ({"email": "not-an-email"}, [("email", "value_error")]),
-        ({"gender": " "}, [("gender", "value_error")]),
-        ({"date_of_birth": {"$date": "1990-01-01T00:00:00Z"}}, []),
-        ({"date_of_birth": "1990-13-01"}, [("date_of_birth", "value_error")]),
-        ({"is_active": 2}, []),
-        ({"is_active": "no"}, []),
-        ({"is_active": "y"}, [("is_active", "value_error")]),
-        ({"is_active": 1.0}, [("is_active", "value_error")]),
-        ({"created_at": "soon"}, [("created_at", "value_error")]),
-        ({"created_at": "2024-02-01T00:00:00Z"}, [("updated_at", "value_error")]),
-        ({"created_at": "2023-01-01T00:00:00"}, [("__batch__", "unexpected_exception")]),
-    ],
-)
-def test_document_user_rules(documents, changes, expected):
-    assert codes(check_document(documents, DOCUMENT_USERS, DOCUMENT, **changes)) == expected
+DOCUMENT_USER_RULES = [
+    ({}, []),
+    ({"user_id": "5.0"}, []),
+    ({"user_id": " 7 "}, []),
+    ({"user_id": True}, []),
+    ({"user_id": 5.5}, [("user_id", "int_from_float")]),
+    ({"user_id": "5.5"}, [("user_id", "int_parsing")]),
+    ({"user_id": None}, [("user_id", "int_type")]),
+    ({"user_id": DROP}, [("user_id", "missing")]),
+    ({"user_id": 0}, [("user_id", "greater_than_equal")]),
+    ({"user_id": [1]}, [("user_id", "int_type")]),
+    ({"user_id": 10**19}, [("user_id", "int_parsing_size")]),
+    ({"first_name": None}, [("first_name", "value_error")]),
+    ({"first_name": 5}, []),
+    ({"city": "  "}, [("city", "string_too_short")]),
+    ({"email": "not-an-email"}, [("email", "value_error")]),
+    ({"gender": " "}, [("gender", "value_error")]),
+    ({"date_of_birth": {"$date": "1990-01-01T00:00:00Z"}}, []),
+    ({"date_of_birth": "1990-13-01"}, [("date_of_birth", "value_error")]),
+    ({"is_active": 2}, []),
+    ({"is_active": "no"}, []),
+    ({"is_active": "y"}, [("is_active", "value_error")]),
+    ({"is_active": 1.0}, [("is_active", "value_error")]),
+    ({"created_at": "soon"}, [("created_at", "value_error")]),
+    ({"created_at": "2024-02-01T00:00:00Z"}, [("updated_at", "value_error")]),
+    ({"created_at": "2023-01-01T00:00:00"}, [("__batch__", "unexpected_exception")]),
+]
+
+
+def test_document_user_rules(documents):
+    cases = DOCUMENT_USER_RULES
+    assert_codes(check_documents(documents, DOCUMENT_USERS, DOCUMENT, *[c for c, _ in cases]), cases)
 
 
 def test_document_that_is_no_object(documents):
@@ -129,55 +136,55 @@ def test_document_that_is_no_object(documents):
     assert row["errors"][0]["message"] == "'list' object has no attribute 'get'"
 
 
-@pytest.mark.parametrize(
-    "changes,expected",
-    [
-        ({}, []),
-        ({"id": DROP}, [("id", "int_type")]),
-        ({"title": DROP}, [("title", "string_type")]),
-        ({"title": ""}, [("title", "string_too_short")]),
-        ({"price": -1.0}, [("price", "greater_than_equal")]),
-        ({"price": "nan"}, [("price", "greater_than_equal")]),
-        ({"price": "inf"}, []),
-        ({"price": "x"}, [("price", "float_type")]),
-        ({"stock": 5.7}, []),
-        ({"stock": "5.7"}, [("stock", "int_type")]),
-        ({"stock": "7"}, []),
-        ({"stock": -1}, [("stock", "greater_than_equal")]),
-        ({"brand": 5}, [("brand", "string_type")]),
-        ({"dimensions": [1]}, [("__batch__", "unexpected_exception")]),
-        ({"dimensions": []}, []),
-        ({"meta": "x"}, [("__batch__", "unexpected_exception")]),
-        ({"meta": None}, []),
-    ],
-)
-def test_product_rules(documents, changes, expected):
-    assert codes(check_document(documents, PRODUCTS, PRODUCT, **changes)) == expected
+PRODUCT_RULES = [
+    ({}, []),
+    ({"id": DROP}, [("id", "int_type")]),
+    ({"title": DROP}, [("title", "string_type")]),
+    ({"title": ""}, [("title", "string_too_short")]),
+    ({"price": -1.0}, [("price", "greater_than_equal")]),
+    ({"price": "nan"}, [("price", "greater_than_equal")]),
+    ({"price": "inf"}, []),
+    ({"price": "x"}, [("price", "float_type")]),
+    ({"stock": 5.7}, []),
+    ({"stock": "5.7"}, [("stock", "int_type")]),
+    ({"stock": "7"}, []),
+    ({"stock": -1}, [("stock", "greater_than_equal")]),
+    ({"brand": 5}, [("brand", "string_type")]),
+    ({"dimensions": [1]}, [("__batch__", "unexpected_exception")]),
+    ({"dimensions": []}, []),
+    ({"meta": "x"}, [("__batch__", "unexpected_exception")]),
+    ({"meta": None}, []),
+]
+
+
+def test_product_rules(documents):
+    cases = PRODUCT_RULES
+    assert_codes(check_documents(documents, PRODUCTS, PRODUCT, *[c for c, _ in cases]), cases)
 
 
 def test_product_values(documents):
-    record = check_document(documents, PRODUCTS, PRODUCT, stock=5.7, tags="one")["record"]
+    record = check_documents(documents, PRODUCTS, PRODUCT, {"stock": 5.7, "tags": "one"})[0]["record"]
     assert (record["stock"], record["tags"]["items"], record["depth"], record["height"]) == (5, ["one"], None, 2.5)
     assert record["created_at"]["shown"] == "2024-05-23 08:56:21.618000+00:00"
 
 
-@pytest.mark.parametrize(
-    "changes,expected",
-    [
-        ({}, []),
-        ({"first_name": 5}, [("first_name", "string_type")]),
-        ({"phone": " 12345 "}, [("phone", "string_too_short")]),
-        ({"email": "a@b"}, [("email", "value_error")]),
-        ({"is_active": "on"}, []),
-        ({"is_active": 2}, [("is_active", "bool_parsing")]),
-        ({"is_active": 0.5}, [("is_active", "bool_type")]),
-        ({"date_of_birth": "2024-01-01T10:00:00"}, [("date_of_birth", "date_from_datetime_inexact")]),
-        ({"date_of_birth": "x"}, [("date_of_birth", "date_from_datetime_parsing")]),
-        ({"created_at": None}, [("created_at", "datetime_type")]),
-    ],
-)
-def test_strict_user_rules(documents, changes, expected):
-    assert codes(check_document(documents, STRICT_USERS, DOCUMENT, **changes)) == expected
+STRICT_USER_RULES = [
+    ({}, []),
+    ({"first_name": 5}, [("first_name", "string_type")]),
+    ({"phone": " 12345 "}, [("phone", "string_too_short")]),
+    ({"email": "a@b"}, [("email", "value_error")]),
+    ({"is_active": "on"}, []),
+    ({"is_active": 2}, [("is_active", "bool_parsing")]),
+    ({"is_active": 0.5}, [("is_active", "bool_type")]),
+    ({"date_of_birth": "2024-01-01T10:00:00"}, [("date_of_birth", "date_from_datetime_inexact")]),
+    ({"date_of_birth": "x"}, [("date_of_birth", "date_from_datetime_parsing")]),
+    ({"created_at": None}, [("created_at", "datetime_type")]),
+]
+
+
+def test_strict_user_rules(documents):
+    cases = STRICT_USER_RULES
+    assert_codes(check_documents(documents, STRICT_USERS, DOCUMENT, *[c for c, _ in cases]), cases)
 
 
 def test_batch_counts_errors_and_records(documents):
