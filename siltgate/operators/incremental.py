@@ -96,6 +96,9 @@ def next_checkpoint(df: DataFrame, id_column: str, by: str | None = None) -> Dat
 
     Only partial maxima are shuffled, so a hot source costs one row per task.
     """
+    if isinstance(df.schema[id_column].dataType, INTEGRAL):
+        largest = F.max(name(id_column)).cast("string").alias("last_processed_id")
+        return df.filter(F.col(name(id_column)).isNotNull()).groupBy(*([by] if by else [])).agg(largest)
     column = f"cast({name(id_column)} as string)"
     small, wide = numbers.int_from_text("_id"), numbers.int_from_text("_id", WIDE)
     grouped = df.selectExpr(*([name(by)] if by else []), f"{column} as _id").filter("_id is not null")

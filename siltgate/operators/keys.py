@@ -40,7 +40,8 @@ def assign_keys(batch: DataFrame, existing: DataFrame, key: str, order: str) ->
     # A single row, read on the driver like any run setting.
     first = next_key(existing, key).first()["next_key"]
     return (
-        placed.join(offsets, "_part")
+        # At most one row per partition of the sort.
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn(key, F.lit(first) + F.col("_offset") + F.col("_index"))
         .drop("_part", "_index", "_offset")
     )

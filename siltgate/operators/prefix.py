@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from siltgate.functions.text import name
+
 CHUNK = 4096
 
 
@@ -21,7 +23,7 @@ def running_total_before(
 
     ``position`` is a non-negative whole number, unique in its group.
     """
-    cut = df.withColumn("_chunk", F.floor(F.col(position) / chunk))
+    cut = df.withColumn("_chunk", F.expr(f"{name(position)} div {chunk}"))
     totals = cut.groupBy(*group, "_chunk").agg(F.sum(value).alias("_chunk_total"))
     over_chunks = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

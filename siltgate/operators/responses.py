@@ -22,7 +22,7 @@ from siltgate.fixed_values import (
 from siltgate.functions import variants as v
 from siltgate.functions.text import lit
 from siltgate.operators.prefix import running_total_before
-from siltgate.session import counted
+from siltgate.session import broadcast_if_small, counted, stage
 
 NOT_JSON = "Response body is not valid JSON"
 NEITHER = "Normalized response payload is neither a list nor an object."
@@ -175,9 +175,10 @@ def parse(pages: DataFrame, paging: Paging) -> DataFrame:
 def _last_pages(parsed: DataFrame, paging: Paging) -> DataFrame:
     """Per source: the index of the page the walk ends at.
 
-    Works on narrow rows without bodies. The rules that need only their own page
-    are a minimum per source; the total needs the records of earlier pages, from
-    a running total cut into bounded chunks.
+    Works on narrow rows without bodies, staged so that bodies are parsed for them
+    only once. The rules that need only their own page are a minimum per source;
+    the total needs the records of earlier pages, from a running total cut into
+    bounded chunks.
     """
     facts = parsed.select(*PAGE, "n_records", "total", F.col("error").isNotNull().alias("failed"))
     if not paging.page_size:
@@ -186,7 +187,7 @@ def _last_pages(parsed: DataFrame, paging: Paging) -> DataFrame:
     if paging.max_pages:
         stop += f" or page_index >= {paging.max_pages - 1}"
     if paging.total_path:
-        facts = facts.withColumn("n_records", F.coalesce("n_records", F.lit(0)))
+        facts = stage(facts.withColumn("n_records", F.coalesce("n_records", F.lit(0))), "pages")
         facts = running_total_before(facts, ["source"], "page_index", "n_records", "before")
         stop += " or before + n_records >= total"
     last = facts.groupBy("source").agg(
@@ -202,9 +203,9 @@ def assemble(parsed: DataFrame, paging: Paging) -> DataFrame:
     Later pages are dropped, as they would not have been asked for. A page with an
     ``error`` ends the walk; it is kept, without records, as that source's error.
     """
-    last = _last_pages(parsed, paging)
+    last = stage(_last_pages(parsed, paging), "last-pages")
     return (
-        parsed.join(last, "source")
+        parsed.join(broadcast_if_small(last), "source")
         .filter("page_index <= last_page")
         .drop("last_page")
         .withColumn("page", F.expr(paging.label("page_index")))

@@ -6,7 +6,7 @@ results, rules. Keeping them apart lets each expression be computed once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -67,21 +67,50 @@ def _paths(rule_set: RuleSet) -> dict[str, tuple[str, ...]]:
     return paths
 
 
+def _object_keys(paths: Iterable[tuple[str, ...]]) -> dict[tuple[str, ...], list[str]]:
+    """The keys to read from each nested object, outer objects first."""
+    keys: dict[tuple[str, ...], list[str]] = {(): []}
+    for path in paths:
+        for depth in range(len(path)):
+            wanted = keys.setdefault(path[:depth], [])
+            if path[depth] not in wanted:
+                wanted.append(path[depth])
+    return dict(sorted(keys.items(), key=lambda item: len(item[0])))
+
+
 def _document_cells(df: DataFrame, rule_set: RuleSet, document: str, keep: list[str]) -> DataFrame:
+    """Every object is opened once, as a struct of its fields; then each field's kind and text."""
     fields = _paths(rule_set)
-    raw = {n: v.field(name(document), *keys) for n, keys in fields.items()}
-    raw |= {_part(p): v.field(name(document), *p) for p in rule_set.object_paths}
-    raw[WHOLE] = name(document)
-    df = df.selectExpr(*keep, *[f"{value} as {CELL_PREFIX}{n}" for n, value in raw.items()])
+    objects = _object_keys([*fields.values(), *rule_set.object_paths])
 
+    def column(kind: str, path: tuple[str, ...]) -> str:
+        return name("_".join([kind, *path]))
 
-    def cell(n: str) -> str:
-        value = f"{CELL_PREFIX}{n}"
-        raw_part = f"'raw', {value}, " if n in fields else ""
-        text = "null" if n == WHOLE else v.plain_text(value)
-        return f"named_struct({raw_part}'kind', {v.kind(value)}, 'text', {text}) as {value}"
+    opened: list[str] = []
+    for path, keys in objects.items():
+        holder = f"{column('_values', path[:-1])}.{name(path[-1])}" if path else name(document)
+
+        def struct(sql_type: str, wanted: list[str]) -> str:
+            return lit("struct<" + ", ".join(f"{name(k)}: {sql_type}" for k in wanted) + ">")
 
-    return df.selectExpr(*keep, *[cell(n) for n in raw])
+        values = f"try_variant_get({holder}, '$', {struct('variant', keys)}) as {column('_values', path)}"
+        texts = f"try_variant_get({holder}, '$', {struct('string', keys)}) as {column('_texts', path)}"
+        whole = WHOLE if path else f"{name(document)} as {WHOLE}"
+        df = df.selectExpr(*keep, *opened, whole, values, texts)
+        opened += [column("_values", path), column("_texts", path)]
+
+    def cell(n: str, path: tuple[str, ...], raw: bool) -> str:
+        value = f"{column('_values', path[:-1])}.{name(path[-1])}"
+        text = f"{column('_texts', path[:-1])}.{name(path[-1])}"
+        raw_part = f"'raw', {value}, " if raw else ""
+        return f"named_struct({raw_part}'kind', {v.kind(value)}, 'text', {text}) as {CELL_PREFIX}{n}"
+
+    return df.selectExpr(
+        *keep,
+        *[cell(n, path, True) for n, path in fields.items()],
+        *[cell(_part(path), path, False) for path in rule_set.object_paths],
+        f"named_struct('kind', {v.kind(WHOLE)}) as {CELL_PREFIX}{WHOLE}",
+    )
 
 
 def _part(path: tuple[str, ...]) -> str:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltgate.fixed_values import LOAD_TIME_COLUMN
 from siltgate.functions.text import lit, name
@@ -84,6 +85,7 @@ def load(
         F.count_if(F.col(key).isNull()).alias("keyless"),
         F.count_if(F.col("fault").isNotNull()).alias("faults"),
         F.min("fault").alias("fault"),
+        F.count_if(F.col("_exists")).alias("existing"),
     ).first()
     if facts["rows"] == 0:
         return {"inserted": 0, "updated": 0, "skipped": 0}
@@ -92,15 +94,20 @@ def load(
     if facts["keyless"]:
         raise ValueError(f"{facts['keyless']} rows have no {target.key}")
 
-    counts = load_summary(batch, "_exists", mode).first().asDict()
-    fresh = batch.filter("not _exists") if mode == "insert_new" else batch
+    inserting = mode == "insert_new"
+    counts = {
+        "inserted": facts["rows"] - facts["existing"],
+        "updated": 0 if inserting else facts["existing"],
+        "skipped": facts["existing"] if inserting else 0,
+    }
+    fresh = batch.filter("not _exists") if inserting else batch
     fresh = last_wins(fresh, target.key, order)
-    wanted = [c for c in flat.columns if f" {c} " in f" {target.schema.replace(',', ' ')} "]
-    fresh = fresh.select(*[name(c) for c in wanted])
+    known = set(T.StructType.fromDDL(target.schema).names)
+    fresh = fresh.select(*[name(c) for c in flat.columns if c in known])
     stamp = _load_time(target)
     if stamp:
         fresh = fresh.withColumn(stamp, F.to_timestamp(F.lit(run_ts.isoformat())))
-    if mode == "insert_new":
+    if inserting:
         if counts["inserted"]:
             target.append(fresh)
     else:
@@ -108,7 +115,7 @@ def load(
     checkpoints.replace(
         upsert_checkpoint(checkpoints.read(), checkpoint_row(batch, target.key, source, run_ts))
     )
-    return {k: int(counts[k]) for k in ("inserted", "updated", "skipped")}
+    return counts
 
 
 def _load_time(target: TargetTable) -> str | None:

@@ -53,6 +53,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# A table of at most this many narrow rows is sent to every task.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(staged: DataFrame) -> DataFrame:
+    """Mark a staged table for broadcast when its row count allows it.
+
+    Decided before the join: the larger side is then never shuffled, which a
+    switch at run time would come too late for.
+    """
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
+
+
 def counted(df: DataFrame, label: str, **metrics: str) -> DataFrame:
     """Report row counts to query listeners as the rows pass.
 

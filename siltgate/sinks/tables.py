@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltgate.fixed_values import TARGET_TABLES
 from siltgate.functions.text import lit, name
@@ -64,7 +65,7 @@ class TargetTable:
         return max((int(m.group(1)) for m in found if m), default=0) + 1
 
     def _typed(self, df: DataFrame) -> list:
-        wanted = self.spark.createDataFrame([], self.schema).schema
+        wanted = T.StructType.fromDDL(self.schema)
         return [
             (F.col(name(f.name)) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in wanted
@@ -82,7 +83,7 @@ def missing_columns(spark: SparkSession, table: str) -> str | None:
     """DDL that adds the columns an older catalog table lacks, or None."""
     _, schema = TARGET_TABLES[table]
     have = set(spark.table(table).columns)
-    lacking = [f for f in spark.createDataFrame([], schema).schema if f.name not in have]
+    lacking = [f for f in T.StructType.fromDDL(schema) if f.name not in have]
     if not lacking:
         return None
     added = ", ".join(f"{name(f.name)} {f.dataType.simpleString()}" for f in lacking)
@@ -120,18 +121,17 @@ class TypedRows:
 
 def to_target(df: DataFrame, schema: str) -> TypedRows:
     """Cast to the target's types; decimals round half up, overflow is a fault."""
-    wanted = {f.name: f.dataType for f in df.sparkSession.createDataFrame([], schema).schema}
-    casts, checks = [], []
-    for c in df.columns:
-        if c not in wanted:
-            casts.append(name(c))
-            continue
-        kind = wanted[c].simpleString()
-        casts.append(f"try_cast({name(c)} as {kind}) as {name(c)}")
-        if df.schema[c].dataType != wanted[c]:
-            checks.append(
-                f"when {name(c)} is not null and try_cast({name(c)} as {kind}) is null"
-                f" then {lit(f'{c} does not fit {kind}')}"
-            )
+    wanted = {f.name: f.dataType for f in T.StructType.fromDDL(schema)}
+    changing = [c for c in df.columns if c in wanted and df.schema[c].dataType != wanted[c]]
+    # Cast once, below the check and the result that both use it.
+    cast = df.selectExpr(
+        "*", *[f"try_cast({name(c)} as {wanted[c].simpleString()}) as {name('_to_' + c)}" for c in changing]
+    )
+    checks = [
+        f"when {name(c)} is not null and {name('_to_' + c)} is null"
+        f" then {lit(f'{c} does not fit {wanted[c].simpleString()}')}"
+        for c in changing
+    ]
     fault = f"case {' '.join(checks)} end" if checks else "cast(null as string)"
-    return TypedRows(df.selectExpr(*casts, f"{fault} as fault"))
+    columns = [f"{name('_to_' + c)} as {name(c)}" if c in changing else name(c) for c in df.columns]
+    return TypedRows(cast.selectExpr(*columns, f"{fault} as fault"))

@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from siltgate.functions.text import all_blank, lit, name, strip
-from siltgate.session import stage
+from siltgate.session import broadcast_if_small, stage
 from siltgate.sources.files import first_line, list_files
 
 SHORT_ROW = "Row has missing column value(s)."
 # Headers are read one file at a time; beyond this many files they must be declared.
-HEADER_FILES = 10_000
-# One row per split travels to every task up to this many splits.
-BROADCAST_SPLITS = 200_000
+HEADER_FILES = 1000
 BLANK_LINE = r"^\s+$"
 
 
@@ -308,9 +306,7 @@ def _numbered(staged: DataFrame) -> DataFrame:
     splits = stage(
         splits.withColumn("_cut", cut).select("_path", "_block", "_first", "_offset", "_cut"), "splits"
     )
-    if splits.count() <= BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
-    return staged.join(splits, ["_path", "_block"]).withColumn(
+    return staged.join(broadcast_if_small(splits), ["_path", "_block"]).withColumn(
         "row_number", F.expr("_place - _first + _offset + 1")
     )
 
