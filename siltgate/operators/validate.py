@@ -78,7 +78,15 @@ def _object_keys(paths: Iterable[tuple[str, ...]]) -> dict[tuple[str, ...], list
     return dict(sorted(keys.items(), key=lambda item: len(item[0])))
 
 
-def _document_cells(df: DataFrame, rule_set: RuleSet, document: str, keep: list[str]) -> DataFrame:
+def _first_parts(cell: Cell) -> list[str]:
+    """What a cell starts with. The VARIANT is carried only for rules that look at it."""
+    used = any(cell.raw in e for e in (cell.layers[0].values() if cell.layers else []))
+    return ["raw", "kind", "text"] if cell.document and used else ["kind", "text"]
+
+
+def _document_cells(
+    df: DataFrame, rule_set: RuleSet, document: str, keep: list[str], cells: dict[str, Cell]
+) -> DataFrame:
     """Every object is opened once, as a struct of its fields; then each field's kind and text."""
     fields = _paths(rule_set)
     objects = _object_keys([*fields.values(), *rule_set.object_paths])
@@ -107,7 +115,7 @@ def _document_cells(df: DataFrame, rule_set: RuleSet, document: str, keep: list[
 
     return df.selectExpr(
         *keep,
-        *[cell(n, path, True) for n, path in fields.items()],
+        *[cell(n, path, "raw" in _first_parts(cells[n])) for n, path in fields.items()],
         *[cell(_part(path), path, False) for path in rule_set.object_paths],
         f"named_struct('kind', {v.kind(WHOLE)}) as {CELL_PREFIX}{WHOLE}",
     )
@@ -132,12 +140,10 @@ def _column_cells(
     return df.selectExpr(*keep, *[cell(n) for n in _paths(rule_set)])
 
 
-def _with_lets(
-    frame: DataFrame, cells: dict[str, Cell], keep: list[str], first: list[str]
-) -> DataFrame:
+def _with_lets(frame: DataFrame, cells: dict[str, Cell], keep: list[str]) -> DataFrame:
     """One projection per layer of intermediate results."""
     others = [c for c in frame.columns if c.removeprefix(CELL_PREFIX) not in cells and c not in keep]
-    known = {n: list(first) for n in cells}
+    known = {n: _first_parts(c) for n, c in cells.items()}
     for depth in range(max((len(c.layers) for c in cells.values()), default=0)):
         columns = []
         for n, c in cells.items():
@@ -209,13 +215,7 @@ def validate(
     df = df.selectExpr("*", f"{given} as _given", f"{source} as _source")
     keep = [*carried, "_given", "_source"]
     cells = {n: Cell(n, document is not None) for n in _paths(rule_set)}
-    if document is not None:
-        frame = _document_cells(df, rule_set, document, keep)
-        crashes, parts = _unreadable(rule_set), ["raw", "kind", "text"]
-    else:
-        frame = _column_cells(df, rule_set, keep, null_is_missing)
-        crashes, parts = ["cast(null as string)"], ["kind", "text"]
-
+    crashes = _unreadable(rule_set) if document is not None else ["cast(null as string)"]
     outcomes = {f.name: f.rule(cells[f.name]) for f in rule_set.fields}
     values = {n: o.value for n, o in outcomes.items()}
     cases = {n: list(o.cases) for n, o in outcomes.items()}
@@ -225,7 +225,11 @@ def validate(
         cases[field] += outcome.cases
         crashes += [outcome.crash] if outcome.crash is not None else []
     known_id = _record_id(cells, values, rule_set)
-    frame = _with_lets(frame, cells, keep, parts)
+    if document is not None:
+        frame = _document_cells(df, rule_set, document, keep, cells)
+    else:
+        frame = _column_cells(df, rule_set, keep, null_is_missing)
+    frame = _with_lets(frame, cells, keep)
     frame = frame.selectExpr("*", f"coalesce({', '.join(crashes)}) as _crash")
 
     def error(field: str) -> str:
@@ -270,10 +274,10 @@ def apply_rule(df: DataFrame, field: str, rule: Rule, document: str | None = Non
     cell = Cell(field, document is not None)
     outcome = rule(cell)
     if document is not None:
-        frame, parts = _document_cells(df, rule_set, document, keep), ["raw", "kind", "text"]
+        frame = _document_cells(df, rule_set, document, keep, {field: cell})
     else:
-        frame, parts = _column_cells(df, rule_set, keep, False), ["kind", "text"]
-    frame = _with_lets(frame, {field: cell}, keep, parts)
+        frame = _column_cells(df, rule_set, keep, False)
+    frame = _with_lets(frame, {field: cell}, keep)
     whens = " ".join(f"when {condition} then {lit(found.code)}" for condition, found in outcome.cases)
     return frame.selectExpr(
         *keep,

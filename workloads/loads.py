@@ -226,19 +226,17 @@ def load_counts(spark, sf_dir):
     return load_summary(marked, "known")
 
 
-# Two loads into one table: order customers first, then every customer twice over.
-FIRST = """select 'w' as wrapper, cast(o_custkey as string) as record_id, named_struct('user_id', concat('C', cast(o_custkey as string)),
-  'full_name', o_orderstatus, 'signup_date', cast(cast(o_orderdate as date) as string), 'seq', o_orderkey) as canonical_record from orders
-  where o_totalprice > 400000"""
+# Two loads into one table: every event's user first, then every customer twice over.
+FIRST = """select 'w' as wrapper, cast(user_id as string) as record_id, named_struct('user_id', concat('C', cast(user_id as string)),
+  'full_name', event_type, 'signup_date', cast(cast(ts as date) as string), 'seq', event_id) as canonical_record from events"""
 SECOND = """select named_struct('user_id', concat('C', cast(c_custkey as string)), 'full_name', name, 'seq', seq) as canonical_record
   from (select c_custkey, c_name as name, 2 as seq from customer union all select c_custkey, 'first', 1 from customer) twice"""
 
 
 @query(
     "load_twice",
-    """with first as (select concat('C', o_custkey) as user_id, o_orderstatus as full_name, cast(o_orderdate as date) as signup_date
-        from (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as rn from orders
-          where o_totalprice > 400000) r where rn = 1),
+    """with first as (select concat('C', user_id) as user_id, event_type as full_name, cast(ts as date) as signup_date
+        from (select *, row_number() over (partition by user_id order by event_id desc) as rn from events) r where rn = 1),
       second as (select concat('C', c_custkey) as user_id, c_name as full_name, null::date as signup_date from customer
         where concat('C', c_custkey) not in (select user_id from first)),
       marks as (select greatest((select max(user_id) from first), (select max(concat('C', c_custkey)) from customer)) as mark)
@@ -250,7 +248,7 @@ def load_twice(spark, sf_dir):
     folder = new_path(spark, "targets")
     target = TargetTable.named(spark, folder, "etl_csv_users")
     checkpoints = TargetTable.named(spark, folder, "etl_metadata")
-    load(sql(spark, sf_dir, FIRST, "orders"), target, checkpoints, "csv_users", RUN_TS, ["seq"])
+    load(sql(spark, sf_dir, FIRST, "events"), target, checkpoints, "csv_users", RUN_TS, ["seq"])
     counts = load(sql(spark, sf_dir, SECOND, "customer"), target, checkpoints, "csv_users", RUN_TS, ["seq"])
     mark = checkpoints.read().first()["last_processed_id"]
     return target.read().selectExpr(
@@ -265,11 +263,11 @@ def load_twice(spark, sf_dir):
 
 @query(
     "loader_flatten",
-    """select concat('C', o_custkey) as user_id, o_orderstatus as full_name, cast(cast(o_orderdate as date) as varchar) as signup_date,
-      o_orderkey as seq, cast(o_custkey as varchar) as product_id from orders where o_totalprice > 400000""",
+    """select concat('C', user_id) as user_id, event_type as full_name, cast(cast(ts as date) as varchar) as signup_date,
+      event_id as seq, cast(user_id as varchar) as product_id from events""",
 )
 def loader_flatten(spark, sf_dir):
-    return flatten(sql(spark, sf_dir, FIRST, "orders"), "product_id")
+    return flatten(sql(spark, sf_dir, FIRST, "events"), "product_id")
 
 
 @query(
