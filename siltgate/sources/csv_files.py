@@ -8,6 +8,7 @@ and cut files all come from that table, so they agree with each other.
 from __future__ import annotations
 
 import csv
+import re
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,6 +19,7 @@ from pyspark.sql import Window
 from siltgate.functions.text import all_blank, lit, name, strip
 from siltgate.session import broadcast_if_small, stage
 from siltgate.sources.files import first_line, list_files
+from siltgate.sources.quoted_lines import stitch
 
 SHORT_ROW = "Row has missing column value(s)."
 # Headers are read one file at a time; beyond this many files they must be declared.
@@ -80,7 +82,13 @@ def read_csv(
     listing = list_files(spark, folder, options.pattern).orderBy("path")
     files = [(r["path"], r["length"]) for r in listing.collect()]
     headers = _headers(spark, [p for p, _ in files], options)
-    whole, split = _line_modes(spark, files, options)
+    whole, split, spanning = _line_modes(spark, files, options)
+    stitched = None
+    if spanning:
+        stitched, left_out = stitch(spark, sorted(spanning), options.delimiter, options.has_header)
+        unstitched = {_plain(p) for p in left_out}
+        whole |= {p for p in spanning if _plain(p) in unstitched}
+        spanning = {p for p in spanning if _plain(p) not in unstitched}
 
     columns: list[str] = []
     for header in headers:
@@ -90,8 +98,12 @@ def read_csv(
         for multi_line, chosen in ((True, whole), (False, split)):
             group = [p for p in paths if p in chosen]
             if group:
-                part = _parse(spark, group, header, columns, multi_line, options)
+                part = _parse(_read(spark, group, header, multi_line, options), header, columns, options)
                 parsed = part if parsed is None else parsed.unionByName(part)
+        group = [_plain(p) for p in paths if p in spanning]
+        if group:
+            part = _parse(_read_records(stitched, group, header, options), header, columns, options)
+            parsed = part if parsed is None else parsed.unionByName(part)
     if parsed is None:
         parsed = spark.createDataFrame([], _empty_schema(columns))
     staged = stage(parsed, "csv")
@@ -121,21 +133,22 @@ def _headers(
 
 def _line_modes(
     spark: SparkSession, files: list[tuple[str, int]], options: CsvOptions
-) -> tuple[set[str], set[str]]:
-    """Files read whole (line breaks inside quotes work) and files read in splits.
+) -> tuple[set[str], set[str], set[str]]:
+    """Files read whole (line breaks inside quotes work), files read in splits, and
+    files whose lines are stitched together.
 
     A file that fits one split is read whole at no cost. A larger one is read in
     splits when no line of it has an odd number of quotes, which proves that no
     quoted value spans lines, and no line is made of blanks, which Spark's line
-    reader would not count.
+    reader would not count. Other large files are stitched, if they are UTF-8.
     """
     every = {p for p, _ in files}
     if options.multi_line is not None:
-        return (every, set()) if options.multi_line else (set(), every)
+        return (every, set(), set()) if options.multi_line else (set(), every, set())
     limit = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     large = [p for p, length in files if length > limit]
     if not large:
-        return every, set()
+        return every, set(), set()
     odd = "(length(value) - length(replace(value, '\"', ''))) % 2 = 1"
     unsafe = (
         spark.read.text(large)
@@ -145,7 +158,12 @@ def _line_modes(
     )
     tangled = {_plain(r["file_path"]) for r in unsafe.collect()}
     split = {p for p in large if _plain(p) not in tangled}
-    return every - split, split
+    spanning = set(large) - split if _is_utf8(options) else set()
+    return every - split - spanning, split, spanning
+
+
+def _is_utf8(options: CsvOptions) -> bool:
+    return options.encoding.lower().replace("-", "") == "utf8"
 
 
 def _bytes(size: str) -> int:
@@ -156,25 +174,24 @@ def _bytes(size: str) -> int:
 
 def _plain(path: str) -> str:
     """file:/x, file:///x and /x alike."""
-    return path.removeprefix("file:").replace("///", "/", 1)
+    return re.sub("^file:/+", "/", path)
 
 
-def _parse(
-    spark: SparkSession,
-    paths: list[str],
-    header: tuple[str, ...],
-    columns: list[str],
-    multi_line: bool,
-    options: CsvOptions,
-) -> DataFrame:
-    """Rows of files with one header, under the columns of all headers.
+def _positions(header: tuple[str, ...]) -> list[str]:
+    """Fields are read by position, so a repeated name is no conflict: the last one wins."""
+    return [f"_f{i}" for i in range(len(header))]
 
-    Fields are read by position, so a repeated name is no conflict: the last one wins.
-    """
-    positions = [f"_f{i}" for i in range(len(header))]
-    schema = ", ".join(f"{p} string" for p in [*positions, "_bad"])
+
+def _text_schema(header: tuple[str, ...]) -> str:
+    return ", ".join(f"{p} string" for p in [*_positions(header), "_bad"])
+
+
+def _read(
+    spark: SparkSession, paths: list[str], header: tuple[str, ...], multi_line: bool, options: CsvOptions
+) -> DataFrame:
+    """Fields by position, with each row's file, split and place."""
     read = (
-        spark.read.schema(schema)
+        spark.read.schema(_text_schema(header))
         .option("header", options.has_header)
         .option("sep", options.delimiter)
         .option("encoding", options.encoding)
@@ -183,14 +200,36 @@ def _parse(
         .option("columnNameOfCorruptRecord", "_bad")
         .csv(paths)
     )
-    rows = read.select(
-        *positions,
+    return read.select(
+        *_positions(header),
         "_bad",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_place"),
     )
+
+
+def _read_records(
+    stitched: DataFrame, plain_paths: list[str], header: tuple[str, ...], options: CsvOptions
+) -> DataFrame:
+    """The same columns as ``_read`` from record texts."""
+    chosen = stitched.filter(F.regexp_replace("_path", "^file:/+", "/").isin(plain_paths))
+    parsed = F.from_csv(
+        "record",
+        _text_schema(header),
+        {"sep": options.delimiter, "escape": '"', "columnNameOfCorruptRecord": "_bad"},
+    )
+    return chosen.withColumn("_fields", parsed).select(
+        "_fields.*", "_path", "source_file", "_block", "_place"
+    )
+
+
+def _parse(
+    rows: DataFrame, header: tuple[str, ...], columns: list[str], options: CsvOptions
+) -> DataFrame:
+    """Rows of files with one header, under the columns of all headers."""
+    positions = _positions(header)
     last = {c: positions[i] for i, c in enumerate(header)}
     # Fields the row lacks and fields left blank are both NULL here; only rows
     # marked bad can lack any, so elsewhere NULL is blank.
@@ -228,7 +267,7 @@ def _undecodable(
     The reader puts U+FFFD where it cannot decode; only files that show one are
     read again to see whether their bytes are at fault.
     """
-    if options.encoding.lower().replace("-", "") != "utf8" or not columns:
+    if not _is_utf8(options) or not columns:
         return []
     marked = " or ".join([f"instr({name(c)}, '�') > 0" for c in [*columns, "_bad"]])
     suspects = {_plain(r["_path"]) for r in staged.filter(marked).select("_path").distinct().collect()}

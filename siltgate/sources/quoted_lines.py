@@ -1,0 +1,125 @@
+"""Records of large CSV files whose quoted values span lines.
+
+Spark's own multi-line reader gives a file to one task. Here the file is read as
+lines, in splits. A line continues a record when an odd number of quotes came
+before it, which is a running total over the file: counted per split, added up
+over splits, and windowed inside each split only.
+
+Counting quotes finds the records of every file whose records are all well
+formed. Files with a stray quote, or with a record too long to gather, are named
+so that the caller reads them whole.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from siltgate.functions.text import lit, matches
+from siltgate.session import broadcast_if_small, stage
+
+# Lines of one record are gathered in memory up to this many characters.
+LONGEST_RECORD = 64 * 1024 * 1024
+SPLIT = ["_path", "_block"]
+RECORD = ["_path", "_start_block", "_start_place"]
+
+
+def well_formed(record: str, delimiter: str) -> str:
+    """Every value is either free of quotes or quoted from end to end."""
+    quoted, plain = r'"[^"]*+(?:""[^"]*+)*+"', rf'[^"{_escaped(delimiter)}]*+'
+    value = f"(?:{quoted}|{plain})"
+    return matches(record, rf"(?s)^{value}(?:[{_escaped(delimiter)}]{value})*+$")
+
+
+def _escaped(delimiter: str) -> str:
+    return "".join("\\" + c for c in delimiter)
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Non-empty lines in place, and whether each flips the inside of quotes."""
+    return stage(
+        spark.read.option("lineSep", "\n")
+        .text(paths)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_name").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_place"),
+        )
+        .withColumn("_odd", F.expr("(length(value) - length(replace(value, '\"', ''))) % 2")),
+        "lines",
+    )
+
+
+def _earlier_splits():
+    return Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_starts(lines: DataFrame) -> DataFrame:
+    """Add the place where each line's record starts."""
+    splits = lines.groupBy(*SPLIT).agg(F.sum("_odd").alias("_odds"))
+    before = F.coalesce(F.sum("_odds").over(_earlier_splits()), F.lit(0))
+    splits = stage(splits.select(*SPLIT, before.alias("_before")), "quote-counts")
+    inside_split = Window.partitionBy(*SPLIT).orderBy("_place")
+    earlier = F.coalesce(
+        F.sum("_odd").over(inside_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    marked = lines.join(broadcast_if_small(splits), SPLIT).withColumn(
+        "_starts", (F.col("_before") + earlier) % 2 == 0
+    )
+    last = F.max(F.expr("case when _starts then _place end")).over(
+        inside_split.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    marked = stage(marked.withColumn("_local", last).drop("_before"), "record-starts")
+
+    # A split that opens inside a record continues the last one started before it.
+    open_starts = marked.filter("_starts").groupBy(*SPLIT).agg(F.max("_place").alias("_last"))
+    every = marked.select(*SPLIT).groupBy(*SPLIT).count().drop("count").join(open_starts, SPLIT, "left")
+    latest = F.last(F.expr("case when _last is not null then struct(_block, _last) end"), True)
+    carried = stage(every.select(*SPLIT, latest.over(_earlier_splits()).alias("_carried")), "carried")
+    return (
+        marked.join(broadcast_if_small(carried), SPLIT)
+        .withColumn("_start_block", F.expr("case when _local is null then _carried._block else _block end"))
+        .withColumn("_start_place", F.expr("coalesce(_local, _carried._last)"))
+        .drop("_carried", "_local", "_odd")
+    )
+
+
+def stitch(
+    spark: SparkSession, paths: list[str], delimiter: str, has_header: bool
+) -> tuple[DataFrame, list[str]]:
+    """``record`` texts with _path, source_file, _block and _place, and the files left out.
+
+    Records are numbered densely inside the split they start in.
+    """
+    lines = _with_starts(_lines(spark, paths))
+    sizes = lines.groupBy(*RECORD).agg(F.sum(F.length("value") + 1).alias("_size"))
+    giant = sizes.filter(f"_size > {LONGEST_RECORD}").select("_path").distinct()
+    left_out = [r["_path"] for r in giant.collect()]
+    gathered = lines.filter(~F.col("_path").isin(left_out)) if left_out else lines
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_place", "value")))
+    records = gathered.groupBy(*RECORD, "source_file").agg(parts.alias("_parts"))
+    # As in Spark's own reader, line breaks inside values come out as \\n.
+    text = "replace(array_join(transform(_parts, p -> p.value), '\\n'), '\\r\\n', '\\n')"
+    records = stage(
+        records.selectExpr(
+            "_path",
+            "source_file",
+            "_start_block as _block",
+            "_start_place as _line",
+            f"regexp_replace({text}, {lit(chr(13) + '$')}, '') as record",
+        ).filter("record != ''"),
+        "records",
+    )
+    stray = records.filter(f"not ({well_formed('record', delimiter)})").select("_path").distinct()
+    left_out += [r["_path"] for r in stray.collect()]
+    kept = records.filter(~F.col("_path").isin(left_out)) if left_out else records
+    if has_header:
+        first = stage(kept.groupBy("_path").agg(F.min(F.struct("_block", "_line")).alias("_header")), "headers")
+        kept = kept.join(broadcast_if_small(first), "_path").filter(
+            "_block != _header._block or _line != _header._line"
+        ).drop("_header")
+    dense = F.row_number().over(Window.partitionBy(*SPLIT).orderBy("_line"))
+    return kept.withColumn("_place", dense.cast("bigint")).drop("_line"), left_out

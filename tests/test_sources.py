@@ -257,3 +257,38 @@ def test_documents_from_other_columns(spark):
     frame = spark.sql("select 7 as k, '{\"a\": 1}' as line")
     row = documents_from(frame, "line", "c", RUN_TS).documents.first()
     assert row["k"] == 7 and row["source_collection"] == "c"
+
+
+def scan_in_splits(spark, folder, size, **options):
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        scan = read_csv(spark, folder, RUN_TS, CsvOptions(**options))
+        rows = scan.records.orderBy("source_file", "row_number").collect()
+        errors = scan.errors.orderBy("source_file", F.col("row_number").asc_nulls_last()).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    return [r.asDict(recursive=True) for r in rows], [e.asDict() for e in errors]
+
+
+def quoted_lines(n, spoil=None):
+    """Rows whose notes span up to four lines, some with blank and empty lines between."""
+    out = ["id,note,tag"]
+    for i in range(1, n + 1):
+        note = "\n".join(f'line {j} of ""{i}"", more' for j in range(i % 5)) or "plain"
+        out.append(spoil.get(i) if spoil and i in spoil else f'{i},"{note}",t{i % 3}')
+        if i % 50 == 0:
+            out += ["", "   "]
+    return "\n".join(out) + "\n"
+
+
+def test_quoted_lines_in_splits_match_the_whole_read(spark, tmp_path):
+    folder = write(tmp_path, a__csv=quoted_lines(600), b__csv=quoted_lines(500, {400: "400,x,y,z", 77: "77"}).replace("\n", "\r\n"))
+    assert scan_in_splits(spark, folder, 4096) == scan_in_splits(spark, folder, 1 << 27, multi_line=True)
+
+
+def test_stray_quotes_fall_back_to_the_whole_read(spark, tmp_path):
+    folder = write(tmp_path, a__csv=quoted_lines(300, {150: '150,5" pipe,t'}))
+    rows, errors = scan_in_splits(spark, folder, 4096)
+    assert (rows, errors) == scan_in_splits(spark, folder, 1 << 27, multi_line=True)
+    assert rows[149]["normalized_record"]["note"] == '5" pipe'
