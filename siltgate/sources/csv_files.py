@@ -11,6 +11,7 @@ import csv
 import re
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ def read_csv(
     stitched = None
     if spanning:
         stitched, left_out = stitch(spark, sorted(spanning), options.delimiter, options.has_header)
-        unstitched = {_plain(p) for p in left_out}
+        unstitched = {_listed(p) for p in left_out}
         whole |= {p for p in spanning if _plain(p) in unstitched}
         spanning = {p for p in spanning if _plain(p) not in unstitched}
 
@@ -100,7 +101,7 @@ def read_csv(
             if group:
                 part = _parse(_read(spark, group, header, multi_line, options), header, columns, options)
                 parsed = part if parsed is None else parsed.unionByName(part)
-        group = [_plain(p) for p in paths if p in spanning]
+        group = {_plain(p) for p in paths if p in spanning}
         if group:
             part = _parse(_read_records(stitched, group, header, options), header, columns, options)
             parsed = part if parsed is None else parsed.unionByName(part)
@@ -156,7 +157,7 @@ def _line_modes(
         .select("_metadata.file_path")
         .distinct()
     )
-    tangled = {_plain(r["file_path"]) for r in unsafe.collect()}
+    tangled = {_listed(r["file_path"]) for r in unsafe.collect()}
     split = {p for p in large if _plain(p) not in tangled}
     spanning = set(large) - split if _is_utf8(options) else set()
     return every - split - spanning, split, spanning
@@ -177,6 +178,11 @@ def _plain(path: str) -> str:
     return re.sub("^file:/+", "/", path)
 
 
+def _listed(metadata_path: str) -> str:
+    """A row's file path, which is URL-encoded, in the form of the listing."""
+    return _plain(unquote(metadata_path))
+
+
 def _positions(header: tuple[str, ...]) -> list[str]:
     """Fields are read by position, so a repeated name is no conflict: the last one wins."""
     return [f"_f{i}" for i in range(len(header))]
@@ -211,10 +217,11 @@ def _read(
 
 
 def _read_records(
-    stitched: DataFrame, plain_paths: list[str], header: tuple[str, ...], options: CsvOptions
+    stitched: DataFrame, paths: set[str], header: tuple[str, ...], options: CsvOptions
 ) -> DataFrame:
     """The same columns as ``_read`` from record texts."""
-    chosen = stitched.filter(F.regexp_replace("_path", "^file:/+", "/").isin(plain_paths))
+    found = [r["_path"] for r in stitched.select("_path").distinct().collect()]
+    chosen = stitched.filter(F.col("_path").isin([p for p in found if _listed(p) in paths]))
     parsed = F.from_csv(
         "record",
         _text_schema(header),
@@ -261,8 +268,8 @@ def _empty_schema(columns: list[str]) -> str:
 
 def _undecodable(
     spark: SparkSession, paths: list[str], staged: DataFrame, columns: list[str], options: CsvOptions
-) -> list[str]:
-    """Files that are not valid in their encoding.
+) -> list[tuple[str, str]]:
+    """Path and name of the files that are not valid in their encoding.
 
     The reader puts U+FFFD where it cannot decode; only files that show one are
     read again to see whether their bytes are at fault.
@@ -270,25 +277,26 @@ def _undecodable(
     if not _is_utf8(options) or not columns:
         return []
     marked = " or ".join([f"instr({name(c)}, '�') > 0" for c in [*columns, "_bad"]])
-    suspects = {_plain(r["_path"]) for r in staged.filter(marked).select("_path").distinct().collect()}
+    suspects = {_listed(r["_path"]) for r in staged.filter(marked).select("_path").distinct().collect()}
     chosen = [p for p in paths if _plain(p) in suspects]
     if not chosen:
         return []
     broken = spark.read.text(chosen).filter("not is_valid_utf8(value)")
-    return [r["file_path"] for r in broken.select("_metadata.file_path").distinct().collect()]
+    named = broken.select("_metadata.file_path", "_metadata.file_name").distinct()
+    return [(r["file_path"], r["file_name"]) for r in named.collect()]
 
 
 def _scan(
     staged: DataFrame,
     columns: list[str],
-    undecodable: list[str],
+    undecodable: list[tuple[str, str]],
     file_count: int,
     folder: str,
     run_ts: datetime,
     options: CsvOptions,
 ) -> CsvScan:
     spark = staged.sparkSession
-    broken = spark.createDataFrame([(p,) for p in undecodable], "_path string")
+    broken = spark.createDataFrame(undecodable, "_path string, source_file string")
     readable = staged.join(F.broadcast(broken), "_path", "left_anti") if undecodable else staged
     numbered = _numbered(readable)
     kept = numbered.filter("_cut is null or row_number < _cut")
@@ -315,7 +323,7 @@ def _scan(
         "cast(null as string) as row",
     )
     failed = broken.selectExpr(
-        "element_at(split(_path, '/'), -1) as source_file",
+        "source_file",
         "_path as source_path",
         "cast(null as bigint) as row_number",
         f"concat('Failed to process file: not valid ', {lit(options.encoding)}) as error",

@@ -95,7 +95,7 @@ def test_delimiter_encoding_and_no_header(spark, tmp_path):
 
 
 def test_undecodable_file_fails_alone(spark, tmp_path):
-    folder = write(tmp_path, a__csv=b"id,v\n1,\xff\n", b__csv="id,v\n2,�\n")
+    folder = write(tmp_path / "odd %20 name+", a__csv=b"id,v\n1,\xff\n", b__csv="id,v\n2,�\n")
     scan = read_csv(spark, folder, RUN_TS)
     assert [x[0] for x in normalized(scan)] == ["b.csv"]
     error = scan.errors.first()
@@ -288,7 +288,7 @@ def test_quoted_lines_in_splits_match_the_whole_read(spark, tmp_path):
 
 
 def test_stray_quotes_fall_back_to_the_whole_read(spark, tmp_path):
-    folder = write(tmp_path, a__csv=quoted_lines(300, {150: '150,5" pipe,t'}))
+    folder = write(tmp_path / "x y", b__csv=quoted_lines(200), a__csv=quoted_lines(300, {150: '150,5" pipe,t'}))
     rows, errors = scan_in_splits(spark, folder, 4096)
     assert (rows, errors) == scan_in_splits(spark, folder, 1 << 27, multi_line=True)
     assert rows[149]["normalized_record"]["note"] == '5" pipe'
