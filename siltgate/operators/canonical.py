@@ -139,7 +139,8 @@ def transform(
             *carried,
             "record_id",
             "source_name",
-            "source_type",
+            # A literal, so that routing by type drops the other sources' branches.
+            f"{lit(source_type)} as source_type",
             "schema_version",
             f"named_struct({fields}) as canonical_record",
             f"{lit(run_ts.isoformat())} as transformed_at",
