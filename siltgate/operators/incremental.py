@@ -71,16 +71,27 @@ def keep_new_by_source(
 
     The checkpoint table has one row per source; its size decides the join.
     """
-    marks = checkpoints.selectExpr("source_name as _mark_source", "last_processed_id as _mark")
-    marks = marks.withColumn("_mark_int", F.expr(numbers.int_from_text("_mark", WIDE)))
-    found = f"({numbers.int_from_text(f'cast({name(id_column)} as string)', WIDE)})"
-    keep = (
-        f"_mark is null or {name(id_column)} is null"
-        f" or case when _mark_int is not null then {found} is null or {found} > _mark_int"
-        f" else {found} is not null or cast({name(id_column)} as string) > _mark end"
+    marks = checkpoints.selectExpr(
+        "source_name as _mark_source",
+        "last_processed_id as _mark",
+        f"{numbers.int_from_text('last_processed_id')} as _mark_small",
+        f"{numbers.int_from_text('last_processed_id', WIDE)} as _mark_wide",
     )
+    column = name(id_column)
+    if isinstance(df.schema[id_column].dataType, INTEGRAL):
+        newer = (
+            f"case when _mark_small is not null then {column} > _mark_small"
+            f" when _mark_wide is not null then {column} > _mark_wide else true end"
+        )
+    else:
+        found = f"({numbers.int_from_text(column, WIDE)})"
+        newer = (
+            f"case when _mark_wide is not null then {found} is null or {found} > _mark_wide"
+            f" else {found} is not null or {column} > _mark end"
+        )
+    keep = f"_mark is null or {column} is null or {newer}"
     joined = df.join(marks, F.col(source_column) == F.col("_mark_source"), "left")
-    return joined.filter(keep).drop("_mark_source", "_mark", "_mark_int")
+    return joined.filter(keep).drop("_mark_source", "_mark", "_mark_small", "_mark_wide")
 
 
 def filter_counts(df: DataFrame, id_column: str, last_id: str | None) -> DataFrame:

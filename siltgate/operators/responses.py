@@ -125,7 +125,7 @@ def retry_delays(responses: DataFrame, backoff_seconds: float = BACKOFF_SECONDS)
 
 def require_authorized(final: DataFrame) -> DataFrame:
     """Fail the run, when it is read, at the first page whose credentials were rejected."""
-    failure = f"raise_error(concat('authentication failed: ', {'error'}))"
+    failure = "raise_error(concat('authentication failed: ', error))"
     return final.withColumn(
         "outcome", F.expr(f"case when outcome = 'auth_error' then {failure} else outcome end")
     )

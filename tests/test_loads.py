@@ -3,7 +3,14 @@ from conftest import RUN_TS
 from pyspark.sql import functions as F
 
 from siltgate.fixed_values import API, CSV, MONGO, TARGET_TABLES
-from siltgate.operators.incremental import advanced, filter_counts, id_text, keep_new, next_checkpoint
+from siltgate.operators.incremental import (
+    advanced,
+    filter_counts,
+    id_text,
+    keep_new,
+    keep_new_by_source,
+    next_checkpoint,
+)
 from siltgate.operators.keys import assign_keys, next_key
 from siltgate.operators.prefix import running_total_before
 from siltgate.operators.upsert import last_wins, new_records, payload_rows, skipped_records, upsert
@@ -46,6 +53,16 @@ def test_integer_column_filter_reaches_the_scan(spark, tmp_path):
     assert "GreaterThan(id,40)" in plan
 
 
+def test_each_row_against_its_own_source(spark):
+    marks = spark.sql("select * from values ('a', '2'), ('b', 'x5'), ('c', null) as t(source_name, last_processed_id)")
+    rows = [("a", "1"), ("a", "3"), ("a", "w"), ("b", "x4"), ("b", "x6"), ("b", "7"), ("c", "1"), ("d", "1"), ("a", None)]
+    text = keep_new_by_source(spark.createDataFrame(rows, "source_name string, id string"), marks, "id")
+    assert {(r["source_name"], r["id"]) for r in text.collect()} == set(rows) - {("a", "1"), ("b", "x4")}
+    numbers = [(s, int(i)) for s, i in rows if i and i.isdigit()]
+    whole = keep_new_by_source(spark.createDataFrame(numbers, "source_name string, id long"), marks, "id")
+    assert {(r["source_name"], r["id"]) for r in whole.collect()} == set(numbers) - {("a", 1)}
+
+
 def test_document_ids_as_text(documents, spark):
     frame = documents(5, 5.7, True, "x", None, [1]).withColumn("id", F.expr(id_text("document")))
     assert [r["id"] for r in frame.orderBy("pos").collect()] == ["5", "5", "1", "x", None, None]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltgate.fixed_values import CSV
-from siltgate.functions import moments, numbers
+from siltgate.functions import moments
 from siltgate.functions import text as t
 from siltgate.operators import rules
 from siltgate.operators.canonical import transform
