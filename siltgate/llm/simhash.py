@@ -18,6 +18,7 @@ from __future__ import annotations
 from itertools import accumulate, combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,19 +56,15 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """Rows (id, fp) with the fingerprint as a signed long, one per row of ``docs``."""
+def fingerprint_of(text: Column, shingle: int = SHINGLE) -> Column:
+    """The fingerprint of a text column as a signed long."""
 
-    def run(batches):
-        for batch in batches:
-            found = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], ["id", "fp"]
-            )
+    @F.pandas_udf("bigint")
+    def run(texts: pd.Series) -> pd.Series:
+        found = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+        return pd.Series(found.view(np.int64))
 
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    id_type = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {id_type}, fp bigint")
+    return run(text.cast("binary"))
 
 
 def _ball(bits: int, radius: int) -> list[int]:
@@ -160,25 +157,31 @@ def near_duplicates(
     shingle: int = SHINGLE,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """One row per row of ``docs``: its id, ``fp`` (signed long) and ``component_id``.
-
-    ``component_id`` is the smallest id reachable by links, the row's own included. Null, empty
-    and blank texts have fingerprint 0 and link like any other. Equal fingerprints always link;
-    repeated rows and ids come back as often as they are there. A null id takes part with its
-    text but never names a component unless all its rows have null ids. An empty table gives no
-    rows, and columns besides the two named are not looked at.
+    """One row per row of ``docs``: its id, ``fp`` (signed long), ``root`` and ``component_id``.
+
+    ``component_id`` is the smallest id reachable by links, the row's own included; ``root`` is
+    the least fingerprint reachable, so it tells components apart whatever their ids. Null,
+    empty and blank texts have fingerprint 0 and link like any other. Equal fingerprints always
+    link; repeated rows and ids come back as often as they are there. A null id takes part with
+    its text but never names a component unless all its rows have null ids. An empty table gives
+    no rows, and columns besides the two named are not looked at.
     """
-    marked = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    marked = stage(
+        docs.select(F.col(id_col).alias("id"), fingerprint_of(F.col(text_col), shingle).alias("fp")), "fingerprints"
+    )
     classes = stage(marked.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "classes")
     roots = components(links(classes.select("fp"), radius))
     joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
     # Only classes that are more than one row need looking up again.
-    roots_used = roots.select("root").distinct().withColumn("linked", F.lit(True))
-    several = joined.join(roots_used, "root", "left").where("n > 1 or linked")
+    linked = roots.select("root").distinct().withColumn("linked", F.lit(True))
+    several = joined.join(linked, "root", "left").where("n > 1 or linked")
     named = several.groupBy("root").agg(F.min("least").alias("component_id"))
-    lookup = several.join(named, "root").select("fp", "component_id")
+    lookup = several.join(named, "root").select("fp", "root", "component_id")
     return marked.join(lookup, "fp", "left").select(
-        F.col("id").alias(id_col), "fp", F.coalesce("component_id", "id").alias("component_id")
+        F.col("id").alias(id_col),
+        "fp",
+        F.coalesce("root", "fp").alias("root"),
+        F.coalesce("component_id", "id").alias("component_id"),
     )
