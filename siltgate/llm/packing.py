@@ -14,6 +14,7 @@ is packed on its own. A second pass takes apart the sequences that stayed emptie
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -31,7 +32,9 @@ TOKENS = 2048
 GROUP = 16_384
 LOOSE = 0.98
 END = 0  # the id after every document
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
+# A full stop or comma that ends a word after an ASCII letter or digit is a token part of its own.
+_LAST_MARK = re.compile(rb"([a-z0-9])([.,])(?=[\x20\x09-\x0D]|\Z)")
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -53,8 +56,10 @@ class Limits:
 class WordIds:
     """Token ids of a text as little-endian 32-bit bytes, looked up word by word.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are the ids of
-    its white-space-delimited parts in a row. Parts seen before come from a bounded cache.
+    The tokenizer drops white space, ignores case and never merges across white space or between
+    letters and punctuation, so a text's ids are those of its parts in a row: words, and a last
+    full stop or comma apart. Parts seen before come from a cache of two generations: when the
+    younger is full it replaces the older. Texts that may hold special tokens are read whole.
     """
 
     def __init__(self, path: str):
@@ -62,21 +67,58 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = [s.encode() for s in specials]
+        ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        self.ends[ends] = True
 
     def texts(self, texts: list[bytes | None]) -> Iterator[bytes]:
         for text in texts:
-            parts = text.split() if text else []
-            known = self.known
+            if text and any(s in text for s in self.specials):
+                whole = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+                yield array("I", whole.ids).tobytes()
+                continue
+            parts = _LAST_MARK.sub(rb"\1 \2", text.lower()).split() if text else []
             try:
+                known = self.known
                 yield b"".join([known[p] for p in parts])
             except KeyError:
-                if len(known) > CACHED_WORDS:
-                    known.clear()
-                new = [p for p in dict.fromkeys(parts) if p not in known]
-                words = [p.decode("utf-8", "replace") for p in new]
-                for part, found in zip(new, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-                    known[part] = array("I", found.ids).tobytes()
-                yield b"".join([known[p] for p in parts])
+                found = []
+                for at in range(0, len(parts), CACHED_WORDS):
+                    some = parts[at : at + CACHED_WORDS]
+                    self._learn(some)
+                    known = self.known
+                    found.append(b"".join([known[p] for p in some]))
+                yield b"".join(found)
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Bring the ids of all ``parts`` into the younger generation."""
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for part in dict.fromkeys(parts):
+            if part not in known:
+                if part in older:
+                    known[part] = older[part]
+                else:
+                    new.append(part)
+        words = [p.decode("utf-8", "replace") for p in new]
+        plain = [(p, w) for p, w in zip(new, words) if w.isalpha()]
+        if plain:
+            # Words of letters end in exactly one closing token each, so they can be encoded in a row.
+            ids = np.array(self.tokenizer.encode(" ".join(w for _, w in plain), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(plain):
+                joined, at = ids.tobytes(), 0
+                for (part, _), cut in zip(plain, (4 * cuts).tolist()):
+                    known[part] = joined[at:cut]
+                    at = cut
+        for part, word in zip(new, words):
+            if part not in known:
+                known[part] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
 
 _loaded: dict[str, WordIds] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import mixing, packing, simhash
+from siltgate.llm import mixing, packing, simhash, toxicity
 from siltgate.llm.common import table
 from siltgate.llm.registry import query
 
@@ -28,3 +28,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_columns(docs, model, "doc_id")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
