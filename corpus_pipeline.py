@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from siltgate.llm import mixing, packing, simhash, toxicity
-from siltgate.llm.common import WORD, stage, table
+from siltgate.llm.common import stage, table
 
 # The classifier, the fingerprints and the packing are no SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -57,8 +57,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: a document as often as it is taken, up to twice.
 
-    The one document of a source where the draw ends is cut after its last taken word, and its
-    ``n_chars`` is that of the cut text. Documents that are not drawn, or have no words, go.
+    The one document of a source where the draw ends is cut after its last taken word (its words
+    are then one space apart), and its ``n_chars`` is that of the cut text. Documents that are not drawn, or have no words, go.
     """
     placed = mixing.mix(docs).where("taken > 0")
     # Rows equal in id, text and source share a hash; what is taken of each is told apart by number.
@@ -80,10 +80,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     words = F.concat(passes, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
     drawn = taken.withColumn("_words", F.explode(words))
     whole = F.col("_words") == F.col("size")
-    # The text up to the end of its nth word.
-    first_words = F.regexp_extract(
-        "text", F.concat(F.lit(rf"\A(?:[\x20\x09-\x0D]*{WORD}){{"), F.col("_words").cast("string"), F.lit("}")), 0
-    )
+    every = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    first_words = F.array_join(F.slice(every, 1, F.col("_words").cast("int")), " ")
     cut = drawn.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")))

@@ -191,9 +191,6 @@ class Model:
                 known.update(zip(part, self.margins(part).tolist()))
             yield max((known[u] for u in found if u in known), default=self.bias)
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * (margin - self.middle), -50, 50)))
-
 
 # --- training -------------------------------------------------------------------
 
@@ -373,16 +370,25 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
     scored = margins(sample, model, "toxic").collect()
     margin = np.array([r["margin"] for r in scored])
     label = np.array([r["toxic"] for r in scored], dtype=float)
-    # Smoothed targets keep the curve finite where the labels separate.
+    # Smoothed targets and a small penalty keep the curve gentle where the labels separate.
     n1, n0 = label.sum(), len(label) - label.sum()
     goal = np.where(label == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.c_[margin, np.ones(len(margin))]
+    penalty = np.diag([1.0, 1e-6])
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - goal @ z + 0.5 * w @ penalty @ w
+
     w = np.array([1.0, 0.0])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (p - goal))
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - goal) + penalty @ w)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     if w[0] <= 0.1:
         w = np.array([4.0, 0.0])
@@ -431,6 +437,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def score_columns(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     out = margins(docs, model, *keep)
-    curve = 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.lit(model.slope) * (F.col("margin") - F.lit(model.middle))))))
+    curve = 1 / (1 + F.exp(F.lit(-model.slope) * (F.col("margin") - F.lit(model.middle))))
     scored = out.withColumn("score", curve).drop("margin")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
