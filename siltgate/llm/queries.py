@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import mixing, packing, simhash, toxicity
+from siltgate.llm import mixing, packing, shards, simhash, toxicity, url_rules
 from siltgate.llm.common import table
 from siltgate.llm.registry import query
 
@@ -36,3 +36,46 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_columns(docs, model, "doc_id")
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+# The rules of the URL filter.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+URL_RULES_SQL = """
+with places as (
+  select page_id, case when url like '%://%' then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+), parts as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from places
+), rules(verdict, rule, rule_host, rule_path) as (
+  values ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+    ('allow', 'www.example.com/en/', 'www.example.com', '/en/'), ('block', 'net/es/', 'net', '/es/'), ('block', 'net/fr/', 'net', '/fr/')
+)
+select page_id, host, path,
+  (select arg_max(rule, length(rule)) from rules
+   where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)) as rule,
+  coalesce((select arg_max(verdict, length(rule)) from rules
+   where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)), 'allow') as verdict
+from parts
+"""
+
+
+@query("op7_url_filters", URL_RULES_SQL)
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_rules.rules_frame(spark, URL_RULES)
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shards.shard(table(spark, sf_dir, "documents"))
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
