@@ -14,7 +14,6 @@ is packed on its own. A second pass takes apart the sequences that stayed emptie
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -33,8 +32,6 @@ GROUP = 16_384
 LOOSE = 0.98
 END = 0  # the id after every document
 CACHED_WORDS = 500_000
-# A full stop or comma that ends a word after an ASCII letter or digit is a token part of its own.
-_LAST_MARK = re.compile(rb"([a-z0-9])([.,])(?=[\x20\x09-\x0D]|\Z)")
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -57,8 +54,8 @@ class WordIds:
     """Token ids of a text as little-endian 32-bit bytes, looked up word by word.
 
     The tokenizer drops white space, ignores case and never merges across white space or between
-    letters and punctuation, so a text's ids are those of its parts in a row: words, and a last
-    full stop or comma apart. Parts seen before come from a cache of two generations: when the
+    letters and punctuation, so a text's ids are those of its white-space-delimited parts in a
+    row, and a full stop or comma after an ASCII letter or digit is a part of its own. Parts seen before come from a cache of two generations: when the
     younger is full it replaces the older. Texts that may hold special tokens are read whole.
     """
 
@@ -80,7 +77,7 @@ class WordIds:
                 whole = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
                 yield array("I", whole.ids).tobytes()
                 continue
-            parts = _LAST_MARK.sub(rb"\1 \2", text.lower()).split() if text else []
+            parts = text.lower().split() if text else []
             try:
                 known = self.known
                 yield b"".join([known[p] for p in parts])
@@ -98,13 +95,17 @@ class WordIds:
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new = []
+        new, marked = [], []
         for part in dict.fromkeys(parts):
             if part not in known:
                 if part in older:
                     known[part] = older[part]
+                elif part[-1:] in (b".", b",") and part[-2:-1].isalnum():
+                    marked.append(part)
                 else:
                     new.append(part)
+        if marked:
+            new = [p for p in dict.fromkeys([*new, b".", b",", *[m[:-1] for m in marked]]) if p not in known]
         words = [p.decode("utf-8", "replace") for p in new]
         plain = [(p, w) for p, w in zip(new, words) if w.isalpha()]
         if plain:
@@ -119,6 +120,8 @@ class WordIds:
         for part, word in zip(new, words):
             if part not in known:
                 known[part] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        for part in marked:
+            known[part] = known[part[:-1]] + known[part[-1:]]
 
 
 _loaded: dict[str, WordIds] = {}

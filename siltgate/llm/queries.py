@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import mixing, packing, shards, simhash, toxicity, url_rules
+from siltgate.llm import html_text, mixing, packing, shards, simhash, small_world, toxicity, tree_index, url_rules
 from siltgate.llm.common import table
 from siltgate.llm.registry import query
 
@@ -79,3 +79,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op2_nearest")
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return small_world.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -67,6 +67,10 @@ def windows(unit: str) -> list[str]:
     return [bare[i : i + LONGEST] for i in range(0, len(bare) - step, step)]
 
 
+# Characters are told apart as one of 64 classes: a to z, and the others dealt over the rest.
+_CLASS = np.array([i - 96 if 97 <= i <= 122 else 27 + i % 37 for i in range(1 << 16)], dtype=np.int32)
+
+
 def by_length(strings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places, characters) of the strings of each length that has subsequences at all."""
     lengths = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
@@ -74,8 +78,7 @@ def by_length(strings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if length >= LENGTH:
             at = np.flatnonzero(lengths == length)
             joined = "".join([strings[i] for i in at]).encode("utf-32-le", "surrogatepass")
-            # 16 bits a character; those beyond wrap round.
-            yield at, np.frombuffer(joined, dtype="<u4").reshape(len(at), length).astype(np.uint64) & np.uint64(0xFFFF)
+            yield at, _CLASS[np.frombuffer(joined, dtype="<u4") & 0xFFFF].reshape(len(at), length)
 
 
 def coded(chars: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
@@ -85,15 +88,15 @@ def coded(chars: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
     norm = sum((length - p[-1]) * DECAY ** (2 * p[-1] + 2) for p in patterns) ** 0.5
     for places in patterns:
         span = places[-1]
-        code = np.zeros((len(chars), length - span), dtype=np.uint64)
-        for place in places:
-            code = (code << np.uint64(16)) | chars[:, place : length - span + place]
+        code = chars[:, : length - span]
+        for place in places[1:]:
+            code = (code << 6) | chars[:, place : length - span + place]
         yield code, DECAY ** (span + 1) / norm
 
 
 def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string number, subsequence code, value) of all strings; a code may come several times."""
-    rows, codes, values = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0)]
+    rows, codes, values = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0)]
     for at, chars in by_length(strings):
         for code, value in coded(chars):
             rows.append(np.repeat(at, code.shape[1]))
@@ -126,13 +129,6 @@ def cosines(strings: list[str]) -> np.ndarray:
     return found / size[:, None] / size[None, :]
 
 
-_FLAGS = 20  # bits of the table that tells at once that a code has no weight
-
-
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FLAGS)
-
-
 @dataclass
 class Model:
     """One weight per subsequence, a bias, and the logistic curve of the score."""
@@ -143,25 +139,20 @@ class Model:
     slope: float = 4.0
     middle: float = 0.0
     known: dict[str, float] = field(default_factory=dict, repr=False)
-
-    def __post_init__(self):
-        self.flags = np.zeros(1 << _FLAGS, dtype=bool)
-        self.flags[_slot(self.codes)] = True
+    table: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "known": {}, "table": None}
 
     def sums(self, strings: list[str]) -> np.ndarray:
         """The weighted sum of each string's subsequences."""
+        if self.table is None:  # 24 bits of code, 64 MB
+            self.table = np.zeros(1 << 24, dtype=np.float32)
+            self.table[self.codes] = self.weights
         out = np.zeros(len(strings))
         for at, chars in by_length(strings):
             for code, value in coded(chars):
-                row, place = np.nonzero(self.flags[_slot(code)])
-                if len(row):
-                    some = code[row, place]
-                    found = np.minimum(np.searchsorted(self.codes, some), len(self.codes) - 1)
-                    hit = self.codes[found] == some
-                    out[at] += value * np.bincount(row[hit], self.weights[found[hit]], minlength=len(at))
+                out[at] += value * self.table[code].sum(axis=1)
         return out
 
     def margins(self, found: list[str]) -> np.ndarray:
@@ -238,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     counts = stage(_unit_counts(sample), "units")
     sizes = sample.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not all(sizes):
-        return Model(np.empty(0, np.uint64), np.empty(0), -1.0)
+        return Model(np.empty(0, np.int32), np.empty(0), -1.0)
     # How much likelier in toxic than in clean texts, shrunk for rare units.
     lift = F.log((F.col("toxic") + 0.1) / sizes[0]) - F.log((F.col("clean") + 0.3) / sizes[1])
     rated = counts.withColumn("rate", F.col("toxic") * lift)
@@ -326,7 +317,7 @@ def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
     with their counts in clean texts, as clean.
     """
     if not guilty:
-        return Model(np.empty(0, np.uint64), np.empty(0), -1.0)
+        return Model(np.empty(0, np.int32), np.empty(0), -1.0)
     # Each also as people disguise it: one character inside, or one between all letters.
     shown = [(v, g[1] / (4.0 if v != g[0] else 1.0)) for g in guilty for v in dict.fromkeys(disguises(g[0]))]
     positive = [g[0] for g in guilty]
