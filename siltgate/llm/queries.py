@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import html_text, mixing, packing, shards, simhash, small_world, toxicity, tree_index, url_rules
-from siltgate.llm.common import table
+from siltgate.llm import html_text, mixing, packing, shards, simhash, small_world, toxicity, transcripts, tree_index, url_rules
+from siltgate.llm.common import stage, table
 from siltgate.llm.registry import query
 
 
@@ -94,3 +94,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_dedup")
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_world.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_chat_formatting")
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as transcripts, their roles recovered, and rendered turn by turn."""
+    lines = stage(transcripts.from_turns(table(spark, sf_dir, "conversations")), "lines")
+    model = transcripts.train(lines)
+    return transcripts.turns(transcripts.recover(lines, model))
