@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +33,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = "/tmp/siltgate-checkpoints"  # one machine, as in tests
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 

@@ -16,9 +16,9 @@ MAX_ROUNDS = 60
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Rows (node, root) for every node of an edge between two different nodes.
+    """Rows (node, root) for every node of an edge between two different nodes, but the roots.
 
-    ``root`` is the least node reachable. Self-loops and edges with a null end are ignored,
+    ``root`` is the least node reachable; a root has no row of its own. Self-loops and edges with a null end are ignored,
     so an empty or loop-only edge table gives no rows.
     """
     current = stage(
