@@ -6,7 +6,7 @@ in shared storage, survives the loss of executors.
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +29,22 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only for a local master."""
-    global _local_folder
+    """The folder named by spark.checkpoint.dir, or on one machine the one given to use_folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    one_machine = re.match(r"local(\[|$)", spark.sparkContext.master)
+    if not one_machine or _local_folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return _local_folder
 
 
+def use_folder(path: str) -> None:
+    """The folder for staged tables of a local master whose spark.checkpoint.dir is unset."""
+    global _local_folder
+    _local_folder = path.rstrip("/")
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/siltgate/{label}-{uuid.uuid4().hex}"
 
