@@ -125,7 +125,7 @@ def to_target(df: DataFrame, schema: str) -> TypedRows:
     changing = [c for c in df.columns if c in wanted and df.schema[c].dataType != wanted[c]]
     # Cast once, below the check and the result that both use it.
     cast = df.selectExpr(
-        "*", *[f"try_cast({name(c)} as {wanted[c].simpleString()}) as {name('_to_' + c)}" for c in changing]
+        "*", *[f"{_fitted(c, df.schema[c].dataType, wanted[c])} as {name('_to_' + c)}" for c in changing]
     )
     checks = [
         f"when {name(c)} is not null and {name('_to_' + c)} is null"
@@ -135,3 +135,13 @@ def to_target(df: DataFrame, schema: str) -> TypedRows:
     fault = f"case {' '.join(checks)} end" if checks else "cast(null as string)"
     columns = [f"{name('_to_' + c)} as {name(c)}" if c in changing else name(c) for c in df.columns]
     return TypedRows(cast.selectExpr(*columns, f"{fault} as fault"))
+
+
+def _fitted(column: str, have: T.DataType, wanted: T.DataType) -> str:
+    """SQL for a lenient cast. A double beyond a decimal's range is told by comparison, which
+    is far cheaper than a cast that overflows."""
+    cast = f"try_cast({name(column)} as {wanted.simpleString()})"
+    if not isinstance(have, (T.DoubleType, T.FloatType)) or not isinstance(wanted, T.DecimalType):
+        return cast
+    whole, half = "1" + "0" * (wanted.precision - wanted.scale), "0." + "0" * wanted.scale + "5"
+    return f"case when abs({name(column)}) < {whole}D - {half}D then {cast} end"
