@@ -134,6 +134,11 @@ def require_authorized(final: DataFrame) -> DataFrame:
 # --- pages ------------------------------------------------------------------
 
 
+# Messages of this library alone.
+NOT_ENDED = "no attempt brought an answer; the last asks for: "
+NEVER_LANDED = "an earlier page never landed."
+
+
 def parse(pages: DataFrame, paging: Paging) -> DataFrame:
     """Add ``payload`` (VARIANT records), ``n_records``, ``total`` and ``error``.
 
@@ -154,6 +159,9 @@ def parse(pages: DataFrame, paging: Paging) -> DataFrame:
         f" when _kind not in ('{v.LIST}', '{v.OBJECT}') then {lit(NEITHER)} end"
     )
     before = "error" if "error" in pages.columns else "null"
+    if "outcome" in pages.columns:
+        # A page that no attempt ended has a body, but not that of an answer.
+        before = f"coalesce({before}, case when outcome <> 'success' then concat({lit(NOT_ENDED)}, outcome) end)"
     payload = (
         f"case _kind when '{v.LIST}' then {v.items('_records')}"
         f" when '{v.OBJECT}' then array(_records) end"
@@ -182,32 +190,45 @@ def _last_pages(parsed: DataFrame, paging: Paging) -> DataFrame:
     """
     facts = parsed.select(*PAGE, "n_records", "total", F.col("error").isNotNull().alias("failed"))
     if not paging.page_size:
-        return facts.groupBy("source").agg(F.min("page_index").alias("last_page"))
+        one = facts.groupBy("source").agg(F.min("page_index").alias("last_page"))
+        return one.withColumn("gap_page", F.lit(None).cast("bigint"))
     stop = f"failed or n_records < {paging.page_size}"
     if paging.max_pages:
         stop += f" or page_index >= {paging.max_pages - 1}"
+    facts = facts.withColumns({"n_records": F.coalesce("n_records", F.lit(0)), "_one": F.lit(1)})
+    facts = running_total_before(stage(facts, "pages"), ["source"], "page_index", "_one", "pages_before")
+    # The walk cannot pass a page that is not there.
+    stop += " or pages_before <> page_index"
     if paging.total_path:
-        facts = stage(facts.withColumn("n_records", F.coalesce("n_records", F.lit(0))), "pages")
         facts = running_total_before(facts, ["source"], "page_index", "n_records", "before")
         stop += " or before + n_records >= total"
     last = facts.groupBy("source").agg(
         F.expr(f"min(case when {stop} then page_index end)").alias("_stop"),
         F.max("page_index").alias("_end"),
+        F.min(F.when(F.col("pages_before") != F.col("page_index"), F.col("page_index"))).alias("gap_page"),
     )
-    return last.select("source", F.coalesce("_stop", "_end").alias("last_page"))
+    return last.select("source", F.coalesce("_stop", "_end").alias("last_page"), "gap_page")
 
 
 def assemble(parsed: DataFrame, paging: Paging) -> DataFrame:
     """The pages the walk reaches, in order of ``page_index``, with their ``page`` label.
 
     Later pages are dropped, as they would not have been asked for. A page with an
-    ``error`` ends the walk; it is kept, without records, as that source's error.
+    ``error`` ends the walk; it is kept, without records, as that source's error. So does
+    the first page after one that never landed.
     """
     last = stage(_last_pages(parsed, paging), "last-pages")
+    after_gap = F.coalesce(F.col("page_index") >= F.col("gap_page"), F.lit(False))
     return (
         parsed.join(broadcast_if_small(last), "source")
         .filter("page_index <= last_page")
-        .drop("last_page")
+        .withColumns(
+            {
+                "error": F.when(after_gap, F.coalesce("error", F.lit(NEVER_LANDED))).otherwise(F.col("error")),
+                "n_records": F.when(~after_gap, F.col("n_records")),
+            }
+        )
+        .drop("last_page", "gap_page")
         .withColumn("page", F.expr(paging.label("page_index")))
     )
 

@@ -186,6 +186,7 @@ def run_all(
     for source in sources:
         if source.name in batches:
             _require_clean(batches[source.name], source, options.get("on_source_error", "fail"))
+    options["on_source_error"] = "keep"  # looked at already
     return {
         source.name: run_source(spark, batches[source.name], source, folder, run_ts, **options)
         for source in sources
