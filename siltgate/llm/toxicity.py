@@ -306,8 +306,7 @@ def _unit_margins(found: DataFrame, model: Model) -> DataFrame:
 
 
 def disguises(unit: str) -> list[str]:
-    middle = len(unit) // 2
-    return [unit, f"{unit[:middle]}-{unit[middle:]}", ".".join(unit)]
+    return [unit, *(f"{unit[:i]}-{unit[i:]}" for i in range(1, len(unit))), ".".join(unit)]
 
 
 def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
@@ -319,7 +318,7 @@ def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
     if not guilty:
         return Model(np.empty(0, np.int32), np.empty(0), -1.0)
     # Each also as people disguise it: one character inside, or one between all letters.
-    shown = [(v, g[1] / (4.0 if v != g[0] else 1.0)) for g in guilty for v in dict.fromkeys(disguises(g[0]))]
+    shown = [(v, g[1] / (1.0 if v == g[0] else len(g[0]))) for g in guilty for v in dict.fromkeys(disguises(g[0]))]
     positive = [g[0] for g in guilty]
     chosen = set(positive)
     negative = [u for u in innocent if u not in chosen]
