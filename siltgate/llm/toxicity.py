@@ -322,7 +322,8 @@ def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
     positive = [g[0] for g in guilty]
     chosen = set(positive)
     negative = [u for u in innocent if u not in chosen]
-    marks = positive[: 3 * LANDMARKS // 4]
+    # Units first, then the disguises of the strongest.
+    marks = list(dict.fromkeys([*positive, *(v for v, _ in shown)]))[: 3 * LANDMARKS // 4]
     # The hardest clean units come last.
     marks += negative[::-1][: LANDMARKS - len(marks)]
     positive = [v for v, _ in shown]
