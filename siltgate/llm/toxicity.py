@@ -41,6 +41,7 @@ GUILTY = 1_000
 INNOCENT = 4_000
 ROUNDS = 2
 CACHED_UNITS = 800_000
+BLOCK_UNITS = 200_000  # texts are scored together until they have so many
 
 _PATTERNS = [(0, a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¡¿«»„“”‘’…–—"
@@ -170,17 +171,29 @@ class Model:
 
     def worst(self, texts: list[str | None]) -> Iterator[float]:
         """The largest margin of each text's units; the bias for a text without any."""
-        known = self.known
+        block: list[set[str]] = []
+        held = 0
         for text in texts:
-            found = units(text)
-            new = [u for u in found if u not in known]
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                if len(known) > CACHED_UNITS:
-                    known.clear()
-                    new += [u for u in found if u not in known and u not in part and u not in new[at:]]
-                known.update(zip(part, self.margins(part).tolist()))
-            yield max((known[u] for u in found if u in known), default=self.bias)
+            block.append(units(text))
+            held += len(block[-1])
+            if held >= BLOCK_UNITS:
+                yield from self._worst_of(block)
+                block, held = [], 0
+        yield from self._worst_of(block)
+
+    def _worst_of(self, block: list[set[str]]) -> Iterator[float]:
+        """The same for the units of some texts; what is new among them is scored together."""
+        known = self.known
+        new = set().union(*block).difference(known)
+        if len(known) + len(new) > CACHED_UNITS:
+            known.clear()
+            new = set().union(*block)
+        unseen = list(new)
+        for at in range(0, len(unseen), 20_000):
+            part = unseen[at : at + 20_000]
+            known.update(zip(part, self.margins(part).tolist()))
+        for found in block:
+            yield max(map(known.__getitem__, found), default=self.bias)
 
 
 # --- training -------------------------------------------------------------------
