@@ -14,6 +14,7 @@ is packed on its own. A second pass takes apart the sequences that stayed emptie
 
 from __future__ import annotations
 
+import string
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -32,6 +33,7 @@ GROUP = 16_384
 LOOSE = 0.98
 END = 0  # the id after every document
 CACHED_WORDS = 500_000
+MARKS = string.punctuation.encode()
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -55,8 +57,9 @@ class WordIds:
 
     The tokenizer drops white space, ignores case and never merges across white space or between
     letters and punctuation, so a text's ids are those of its white-space-delimited parts in a
-    row, and a full stop or comma after an ASCII letter or digit is a part of its own. Parts seen before come from a cache of two generations: when the
-    younger is full it replaces the older. Texts that may hold special tokens are read whole.
+    row, and a tail of ASCII marks after an ASCII letter or digit is a part of its own. Parts
+    seen before come from a cache of two generations: when the younger is full it replaces the
+    older. Texts that may hold special tokens are read whole.
     """
 
     def __init__(self, path: str):
@@ -78,50 +81,53 @@ class WordIds:
                 yield array("I", whole.ids).tobytes()
                 continue
             parts = text.lower().split() if text else []
-            try:
-                known = self.known
-                yield b"".join([known[p] for p in parts])
-            except KeyError:
-                found = []
-                for at in range(0, len(parts), CACHED_WORDS):
-                    some = parts[at : at + CACHED_WORDS]
-                    self._learn(some)
+            found = []
+            for at in range(0, len(parts), CACHED_WORDS):
+                some = parts[at : at + CACHED_WORDS]
+                ids = list(map(self.known.get, some))
+                if None in ids:
+                    self._learn({p for p, i in zip(some, ids) if i is None})
                     known = self.known
-                    found.append(b"".join([known[p] for p in some]))
-                yield b"".join(found)
+                    ids = [known[p] if i is None else i for p, i in zip(some, ids)]
+                found.append(b"".join(ids))
+            yield b"".join(found)
 
-    def _learn(self, parts: list[bytes]) -> None:
-        """Bring the ids of all ``parts`` into the younger generation."""
+    def _learn(self, parts: set[bytes]) -> None:
+        """Bring the ids of all ``parts``, none of them there yet, into the younger generation."""
         if len(self.known) > CACHED_WORDS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new, marked = [], []
-        for part in dict.fromkeys(parts):
-            if part not in known:
-                if part in older:
-                    known[part] = older[part]
-                elif part[-1:] in (b".", b",") and part[-2:-1].isalnum():
-                    marked.append(part)
-                else:
-                    new.append(part)
+        new = parts
+        if older:
+            kept = {p: older[p] for p in new if p in older}
+            known.update(kept)
+            new.difference_update(kept)
+        # Letters and a tail of marks are two parts; the tails are few.
+        marked = []
+        for part in new:
+            if not part[-1:].isalnum():
+                head = part.rstrip(MARKS)
+                if head != part and head[-1:].isalnum():
+                    marked.append((part, head, part[len(head) :]))
         if marked:
-            new = [p for p in dict.fromkeys([*new, b".", b",", *[m[:-1] for m in marked]]) if p not in known]
-        words = [p.decode("utf-8", "replace") for p in new]
-        plain = [(p, w) for p, w in zip(new, words) if w.isalpha()]
+            new.difference_update([m[0] for m in marked])
+            new.update([m[1] for m in marked], {m[2] for m in marked})
+            new = new.difference(known)
+        words = {p: p.decode("utf-8", "replace") for p in new}
+        plain = [p for p, w in words.items() if w.isalpha()]
         if plain:
             # Words of letters end in exactly one closing token each, so they can be encoded in a row.
-            ids = np.array(self.tokenizer.encode(" ".join(w for _, w in plain), add_special_tokens=False).ids, dtype="<u4")
+            row = " ".join(map(words.__getitem__, plain))
+            ids = np.array(self.tokenizer.encode(row, add_special_tokens=False).ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(plain):
-                joined, at = ids.tobytes(), 0
-                for (part, _), cut in zip(plain, (4 * cuts).tolist()):
-                    known[part] = joined[at:cut]
-                    at = cut
-        for part, word in zip(new, words):
-            if part not in known:
-                known[part] = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        for part in marked:
-            known[part] = known[part[:-1]] + known[part[-1:]]
+                joined, stops = ids.tobytes(), (4 * cuts).tolist()
+                known.update((p, joined[i:j]) for p, i, j in zip(plain, [0, *stops], stops))
+                new.difference_update(plain)
+        for part in new:
+            known[part] = array("I", self.tokenizer.encode(words[part], add_special_tokens=False).ids).tobytes()
+        for part, head, tail in marked:
+            known[part] = known[head] + known[tail]
 
 
 _loaded: dict[str, WordIds] = {}
