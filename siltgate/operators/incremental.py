@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from siltgate.functions import numbers
 from siltgate.functions import variants as v
 from siltgate.functions.text import lit, name
+from siltgate.session import broadcast_if_small, stage
 
 WIDE = "decimal(38,0)"
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -69,7 +70,9 @@ def keep_new_by_source(
 ) -> DataFrame:
     """As keep_new with each row's own source's checkpoint.
 
-    The checkpoint table has one row per source; its size decides the join.
+    The checkpoint table has one row per source. It is staged, so that the size of its files
+    decides the join whatever it is derived from: a small one goes to every task, and the rows
+    of a hot source stay where they are.
     """
     marks = checkpoints.selectExpr(
         "source_name as _mark_source",
@@ -90,6 +93,7 @@ def keep_new_by_source(
             f" else {found} is not null or {column} > _mark end"
         )
     keep = f"_mark is null or {column} is null or {newer}"
+    marks = broadcast_if_small(stage(marks, "marks"))
     joined = df.join(marks, F.col(source_column) == F.col("_mark_source"), "left")
     return joined.filter(keep).drop("_mark_source", "_mark", "_mark_small", "_mark_wide")
 

@@ -63,6 +63,16 @@ def page_plan(spark: SparkSession, paging: Paging, pages: int) -> DataFrame:
     )
 
 
+def landed_requests(pages: DataFrame, paging: Paging) -> DataFrame:
+    """Per source, the requests of a walk up to its last landed page, landed or not."""
+    last = pages.groupBy("source").agg(F.max("page_index").cast("bigint").alias("last"))
+    steps = last.selectExpr("source", "explode(sequence(0L, last)) as page_index")
+    size = "null" if paging.page_size is None else paging.page_size
+    return steps.selectExpr(
+        "source", "page_index", f"{paging.label('page_index')} as page_value", f"cast({size} as int) as page_size"
+    )
+
+
 # --- attempts ---------------------------------------------------------------
 
 

@@ -57,17 +57,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# A table of at most this many narrow rows is sent to every task.
-BROADCAST_ROWS = 200_000
+# A staged table of at most this many bytes of parquet is sent to every task.
+BROADCAST_BYTES = 4 << 20
 
 
 def broadcast_if_small(staged: DataFrame) -> DataFrame:
-    """Mark a staged table for broadcast when its row count allows it.
+    """Mark a staged table for broadcast when the size of its files allows it.
 
     Decided before the join: the larger side is then never shuffled, which a
-    switch at run time would come too late for.
+    switch at run time would come too late for. The size comes from the file
+    listing, so no job runs.
     """
-    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
+    size = staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(staged) if int(str(size)) <= BROADCAST_BYTES else staged
 
 
 def counted(df: DataFrame, label: str, **metrics: str) -> DataFrame:

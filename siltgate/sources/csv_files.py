@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from urllib.parse import unquote
@@ -23,8 +24,8 @@ from siltgate.sources.files import first_line, list_files
 from siltgate.sources.quoted_lines import stitch
 
 SHORT_ROW = "Row has missing column value(s)."
-# Headers are read one file at a time; beyond this many files they must be declared.
-HEADER_FILES = 1000
+# First lines are read by so many threads at once.
+HEADER_READERS = 32
 BLANK_LINE = r"^\s+$"
 
 
@@ -118,11 +119,10 @@ def _headers(
     """Files by header. Like schema inference this runs before the query, on first lines only."""
     if options.columns is not None:
         return {tuple(options.columns): paths}
-    if len(paths) > HEADER_FILES:
-        raise ValueError(f"more than {HEADER_FILES} files: declare their columns")
     found: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        line = first_line(spark, path, options.encoding)
+    with ThreadPoolExecutor(HEADER_READERS) as readers:
+        lines = list(readers.map(lambda path: first_line(spark, path, options.encoding), paths))
+    for path, line in zip(paths, lines):
         if line is None:
             continue
         fields = next(csv.reader([line], delimiter=options.delimiter), [])
@@ -142,10 +142,13 @@ def _line_modes(
     splits when no line of it has an odd number of quotes, which proves that no
     quoted value spans lines, and no line is made of blanks, which Spark's line
     reader would not count. Other large files are stitched, if they are UTF-8.
+    Encodings whose line ends are more than one byte, such as UTF-16, cannot be cut at all.
     """
     every = {p for p, _ in files}
     if options.multi_line is not None:
         return (every, set(), set()) if options.multi_line else (set(), every, set())
+    if not _splittable(options):
+        return every, set(), set()
     limit = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     large = [p for p, length in files if length > limit]
     if not large:
@@ -163,6 +166,14 @@ def _line_modes(
     return every - split - spanning, split, spanning
 
 
+def _splittable(options: CsvOptions) -> bool:
+    """Whether a line ends with the single byte that Spark looks for when it cuts a file."""
+    try:
+        return "\n".encode(options.encoding) == b"\n"
+    except LookupError:
+        return False
+
+
 def _is_utf8(options: CsvOptions) -> bool:
     return options.encoding.lower().replace("-", "") == "utf8"
 

@@ -63,6 +63,22 @@ def test_each_row_against_its_own_source(spark):
     assert {(r["source_name"], r["id"]) for r in whole.collect()} == set(numbers) - {("a", 1)}
 
 
+def test_derived_checkpoints_leave_the_rows_in_place(spark):
+    marks = spark.range(3).selectExpr("concat('s', id) as source_name", "id").groupBy("source_name").agg(
+        F.max("id").cast("string").alias("last_processed_id")
+    )
+    rows = spark.range(90).selectExpr("id", "concat('s', id % 3) as source_name")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = keep_new_by_source(rows, marks, "id")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 87
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_document_ids_as_text(documents, spark):
     frame = documents(5, 5.7, True, "x", None, [1]).withColumn("id", F.expr(id_text("document")))
     assert [r["id"] for r in frame.orderBy("pos").collect()] == ["5", "5", "1", "x", None, None]

@@ -122,6 +122,28 @@ def test_row_numbers_across_splits(spark, tmp_path):
     assert [e["error"] for e in errors] == ["Failed to process file: row 3000 has more values than the header"]
 
 
+@pytest.mark.parametrize("encoding", ["utf-16", "utf-8", "iso-8859-1"])
+@pytest.mark.parametrize("split", ["2k", "128m"])
+def test_encodings_above_one_split(spark, tmp_path, encoding, split):
+    text = "id,v\n" + "".join(f"{i},é{i % 7}\n" for i in range(1, 1001))
+    folder = write(tmp_path, a__csv=text.encode(encoding))
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        scan = read_csv(spark, folder, RUN_TS, CsvOptions(encoding=encoding))
+        rows = scan.rows.select("row_number", "id", "v").collect()
+        assert scan.errors.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert sorted(tuple(x) for x in rows) == [(i, str(i), f"é{i % 7}") for i in range(1, 1001)]
+
+
+def test_more_than_a_thousand_files(spark, tmp_path):
+    folder = write(tmp_path, **{f"f{i}__csv": f"id,v\n{i},x\n" for i in range(1100)})
+    scan = read_csv(spark, folder, RUN_TS)
+    assert (scan.file_count, scan.records.count(), scan.errors.count()) == (1100, 1100, 0)
+
+
 # --- documents ---------------------------------------------------------------------
 
 
@@ -212,6 +234,12 @@ def test_an_error_page_ends_the_walk(spark):
     assert errors == [(12, r.NOT_JSON)]
 
 
+def test_requests_of_landed_pages(spark):
+    pages = spark.createDataFrame([("a", 0), ("a", 2), ("b", 0)], "source string, page_index long")
+    found = r.landed_requests(pages, Paging("offset", start_page=0, page_size=5)).orderBy("source", "page_index")
+    assert [tuple(x) for x in found.collect()] == [("a", 0, 0, 5), ("a", 1, 5, 5), ("a", 2, 10, 5), ("b", 0, 0, 5)]
+
+
 def test_page_plan(spark):
     def values(paging, n=3):
         return [x["page_value"] for x in r.page_plan(spark, paging, n).orderBy("page_index").collect()]

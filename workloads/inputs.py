@@ -211,9 +211,9 @@ from events
 
 # --- CSV files, from customer -------------------------------------------------------
 
-# At most 1000 files, of at least 400 data rows; the row kinds depend on the key.
+# Files of 400 data rows; the row kinds depend on the key.
 FILE_ROWS = """
-select cast(floor(c_custkey / (select greatest(400, ceil(max(c_custkey) / 1000)) from customer)) as bigint) as file_no,
+select cast(floor(c_custkey / 400) as bigint) as file_no,
   c_custkey as pos,
   case when c_custkey % 83 = 5 then 'short' when c_custkey % 71 = 6 then 'blank'
        when c_custkey % 701 = 650 then 'long' when c_custkey % 61 = 7 then 'padded'

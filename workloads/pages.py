@@ -103,12 +103,12 @@ def page_summary(spark, sf_dir):
 
 @query(
     "page_plan",
-    f"""select page_index, {PAGE_SIZE} * page_index as page_value, {PAGE_SIZE} as page_size from (select unnest(range(0,
-      (select count(*) // {PAGE_SIZE} + 1 from part))) as page_index) p""",
+    EXPECTED
+    + f"""select source, page_index, {PAGE_SIZE} * page_index as page_value, {PAGE_SIZE} as page_size from
+      (select source, unnest(range(0, max(page_index) + 1)) as page_index from facts group by source) p""",
 )
 def page_plan(spark, sf_dir):
-    wanted = sql(spark, sf_dir, f"select count(*) div {PAGE_SIZE} + 1 as n from part", "part").first()["n"]
-    return r.page_plan(spark, PAGING, wanted)
+    return r.landed_requests(land(spark, sf_dir, "pages", LANDED, "part"), PAGING)
 
 
 # --- attempts -------------------------------------------------------------------------
