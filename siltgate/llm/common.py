@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +43,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_held: dict[Any, Any] = {}
+
+
+def held_in_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in a worker process from task to task, such as look-ups it has made.
+
+    Workers serve one operator after another, so only the last one's is held: caches of several
+    operators never add up in an executor's memory.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import stage
+from siltgate.llm.common import held_in_worker, stage
 
 TOKENS = 2048
 GROUP = 16_384
@@ -150,14 +150,9 @@ class WordIds:
             known[part] = known[head] + known[tail]
 
 
-_loaded: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """One tokenizer per worker process and file."""
-    if path not in _loaded:
-        _loaded[path] = WordIds(path)
-    return _loaded[path]
+    return held_in_worker(("tokenizer", path), lambda: WordIds(path))
 
 
 def default_tokenizer() -> str:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import stage
+from siltgate.llm.common import held_in_worker, stage
 
 DECAY = 0.85
 SPAN = 7
@@ -418,16 +418,9 @@ def margins(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return narrow.mapInArrow(run, f"{schema}, margin double" if keep else "margin double")
 
 
-_models: dict[bytes, Model] = {}
-
-
 def _in_worker(model: Model) -> Model:
     """The same model object for all tasks of a worker process, with what it has scored."""
-    key = model.weights.tobytes()
-    if key not in _models:
-        _models.clear()
-        _models[key] = model
-    return _models[key]
+    return held_in_worker(("toxicity", model.weights.tobytes()), lambda: model)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
