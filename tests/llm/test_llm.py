@@ -238,6 +238,30 @@ def test_quotas_are_highest_quotients(spark):
         assert {s: got.get((s, shard), 0) for s in "abc"} == {s: part.count(s) for s in "abc"}
 
 
+def test_mix_takes_sources_smaller_than_a_block(spark):
+    rows = [(i, "word " * 100, "big") for i in range(400)] + [(900, "one two three", "tiny"), (901, "four words in here", None)]
+    rows += [(1000 + i, "a b c d e", f"site{i}") for i in range(40)]
+    found = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken, sizes = {}, {}
+    for r in mixing.mix(found, seats=20).collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+    want = plain_targets(sizes)
+    assert all(abs(taken[s] - want[s]) <= 1 for s in want) and taken["tiny"] == 6 and taken[None] == 8
+    assert sum(taken.values()) == int(1.5 * sum(sizes.values()) + 0.5)
+
+
+def test_words_given_are_highest_quotients(spark):
+    rng = np.random.default_rng(4)
+    sizes = {f"s{i:03}": int(n) for i, n in enumerate(rng.integers(1, 9, 150))} | {"z": 700}
+    share = {s: float(rng.uniform(0.2, 1.9)) * n for s, n in sizes.items()}
+    goals = spark.createDataFrame([(s, sizes[s], share[s]) for s in sizes], "source string, source_size bigint, target double")
+    got = {r["source"]: r["drawn"] for r in mixing.words_given(goals).collect()}
+    total = int(sum(share.values()) + 0.5)
+    quotients = sorted((-share[s] / (2 * k + 1), s) for s in sizes for k in range(2 * sizes[s]))[:total]
+    assert got == {s: sum(q[1] == s for q in quotients) for s in sizes}
+
+
 # --- op4 ------------------------------------------------------------------------------
 
 
