@@ -2,15 +2,17 @@
 
 Every shard's vectors get a graph of several layers; every vector queries every shard. A query's
 beam widens while all of it lies above the threshold, so large groups of copies are found whole;
-and all beams widen, doubling, until the audit passes: for a sample of vectors the links found
-are compared with those of a brute-force pass over all rows. Links are verified by cosine in
-double precision; components come from distributed star contraction.
+and all beams widen, doubling, until the audit passes: for a sample of vectors that have links, the
+links found are compared with those of a brute-force pass over all rows, vector by vector. If the
+widest beam fails, the pass goes on over the rest, and its links are the answer. Links are verified
+by cosine in double precision; components come from distributed star contraction.
 
 Equal vectors are one class with a count and its smallest id, and one node of a graph.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import stage
+from siltgate.llm.common import shared_folder, stage
 from siltgate.llm.graph import components
 from siltgate.llm.vectors import classes, matrix, unit_rows, usable
 
@@ -31,7 +33,10 @@ BUILD_BEAM = 48
 BEAM = 16
 WIDEST = 4_096
 QUERY_ROWS = 10_000
-AUDIT = 200  # vectors the recall is measured on
+AUDIT = 200  # linked vectors the recall is measured on
+FEW = 10  # vectors with no more links are measured on their own too, as a large group outnumbers them
+AUDIT_ROWS = 400  # vectors compared with all rows in the first step of the audit
+MOST_ROWS = 4_000  # and at most in a later one
 RECALL = 0.98
 BLOCK = 256  # vectors inserted, or queries run, at once
 
@@ -225,39 +230,79 @@ def near_duplicates(
 
 
 def _audited_pairs(nodes: DataFrame, shards: int, threshold: float, recall: float) -> DataFrame:
-    """Verified pairs (a, b), a < b, staged, at a beam whose recall on the audit passed."""
-    # Bounded by AUDIT.
-    sample = nodes.orderBy(F.xxhash64("class", F.lit(3))).limit(AUDIT).toPandas()
-    wanted = _brute(nodes, sample, threshold)
+    """Verified pairs (a, b), a < b, staged, at a beam whose recall on the audit passed; else all pairs."""
+    links = f"{shared_folder(nodes.sparkSession)}/audit-{uuid.uuid4().hex}"
+    count = nodes.count()
+    done = _brute(nodes, count, threshold, links, 0, AUDIT)
+    if done == PLACES:
+        return _pairs_of(nodes.sparkSession.read.parquet(links))
+    wanted = nodes.sparkSession.read.parquet(links)
     graphs = _graphs(nodes, shards)
-    blocks = -(-nodes.count() // QUERY_ROWS)
+    blocks = -(-count // QUERY_ROWS)
     beam = BEAM
     while True:
         pairs = stage(_pairs(nodes, shards, threshold, beam, graphs, blocks), "pairs")
-        keys = sample["class"].tolist()
-        mine = pairs.where(F.col("a").isin(keys) | F.col("b").isin(keys))
-        hits, all_ = wanted.join(mine, ["a", "b"], "left_semi").count(), wanted.count()
-        if hits >= recall * all_ or beam >= WIDEST:
+        if _measured(wanted, pairs) >= recall:
             return pairs
+        if beam >= WIDEST:
+            break
         beam *= 2
+    _brute(nodes, count, threshold, links, done, None)
+    return _pairs_of(nodes.sparkSession.read.parquet(links))
+
+
+def _pairs_of(links: DataFrame) -> DataFrame:
+    return links.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
+
+
+def _measured(wanted: DataFrame, pairs: DataFrame) -> float:
+    """The mean share of an audited vector's links that was found, or that of the vectors with few links if lower."""
+    asked = wanted.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
+    hits = asked.join(pairs, ["a", "b"], "left_semi").groupBy("own").agg(F.count("*").alias("hits"))
+    share = asked.groupBy("own").agg(F.count("*").alias("n")).join(hits, "own", "left").withColumn(
+        "share", F.coalesce("hits", F.lit(0)) / F.col("n")
+    )
+    return min(x for x in share.agg(F.avg("share"), F.avg(F.when(F.col("n") <= FEW, F.col("share")))).first() if x is not None)
+
+
+PLACES = 1 << 31
 
 
-def _brute(nodes: DataFrame, sample: pd.DataFrame, threshold: float) -> DataFrame:
-    """All links of the sampled vectors, by comparing them with every row."""
+def _brute(nodes: DataFrame, count: int, threshold: float, path: str, done: int, enough: int | None) -> int:
+    """Append to ``path`` the links (own, other) of vectors compared with every row, from place ``done`` of a hashed order on.
+
+    It ends after the step in which ``enough`` vectors with links were found, or with the last
+    vector, and returns the place reached.
+    """
+    placed = nodes.withColumn("place", F.pmod(F.xxhash64("class", F.lit(3)), F.lit(PLACES)))
+    rows_wanted = AUDIT_ROWS if enough else MOST_ROWS
+    while done < PLACES:
+        upto = min(PLACES, done + max(1, PLACES * rows_wanted // count))
+        # Some MOST_ROWS vectors.
+        sample = placed.where((F.col("place") >= done) & (F.col("place") < upto)).drop("place").toPandas()
+        _links(nodes, sample, threshold).write.mode("append").parquet(path)
+        done, rows_wanted = upto, min(2 * rows_wanted, MOST_ROWS)
+        if enough and nodes.sparkSession.read.parquet(path).select("own").distinct().count() >= enough:
+            break
+    return done
+
+
+def _links(nodes: DataFrame, sample: pd.DataFrame, threshold: float) -> DataFrame:
+    """All links (own, other) of the sampled vectors, by comparing them with every row."""
     keys = sample["class"].to_numpy()
-    rows = unit_rows(np.stack(sample["vector"].to_numpy()))
+    rows = unit_rows(np.stack(sample["vector"].to_numpy())) if len(sample) else None
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                own = batch.column(0).to_numpy()
-                at, place = np.nonzero(unit_rows(matrix(batch.column(1))) @ rows.T >= threshold)
-                a, b = own[at], keys[place]
-                keep = a != b
-                low, high = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
-
-    return stage(nodes.mapInArrow(run, "a bigint, b bigint").distinct(), "audit")
+            if batch.num_rows and rows is not None:
+                every, others = unit_rows(matrix(batch.column(1))), batch.column(0).to_numpy()
+                for start in range(0, len(every), 1_000):  # bounds the scores
+                    at, place = np.nonzero(every[start : start + 1_000] @ rows.T >= threshold)
+                    own, other = keys[place], others[start + at]
+                    keep = own != other
+                    yield pa.RecordBatch.from_arrays([pa.array(own[keep]), pa.array(other[keep])], ["own", "other"])
+
+    return nodes.mapInArrow(run, "own bigint, other bigint")
 
 
 def _pairs(nodes: DataFrame, shards: int, threshold: float, beam: int, graphs: DataFrame, blocks: int) -> DataFrame:

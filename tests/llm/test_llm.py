@@ -190,6 +190,33 @@ def test_embedding_near_duplicates(spark, vectors):
     assert small_world.near_duplicates(vectors.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 500])
+def test_links_the_graphs_lose_are_still_found(spark, monkeypatch, copies):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(1_200, 24))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(base)]
+    rows += [(2_000 + i, [float(x) for x in base[i] + 0.05 * rng.normal(size=24)]) for i in range(copies)]
+    found = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    pairs = small_world._pairs
+    monkeypatch.setattr(small_world, "_pairs", lambda *a: pairs(*a).where("false"))
+    monkeypatch.setattr(small_world, "WIDEST", small_world.BEAM)
+    monkeypatch.setattr(small_world, "AUDIT", 100)
+    ids, unit = good_rows(found)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    got = small_world.near_duplicates(found).collect()
+    assert sorted((r["vec_id"], r["n_links"]) for r in got) == sorted((i, int(n)) for i, n in zip(ids, near.sum(axis=1)))
+    assert {r["vec_id"]: r["component_id"] for r in got}[2_000] == 0
+
+
+def test_recall_is_measured_by_vector(spark):
+    large = [(a, b) for a in range(30) for b in range(30) if a != b]
+    small = [(100 + i, 100 + (i ^ 1)) for i in range(10)]
+    wanted = spark.createDataFrame(large + small, "own bigint, other bigint")
+    pairs = spark.createDataFrame([p for p in large + small[:4] if p[0] < p[1]], "a bigint, b bigint")
+    assert abs(small_world._measured(wanted, pairs) - 0.4) < 1e-9
+
+
 # --- op3 ------------------------------------------------------------------------------
 
 
