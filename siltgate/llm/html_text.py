@@ -3,7 +3,8 @@
 Every paragraph-like block earns points for its length and its commas and passes them to its
 ancestors, half as much each step up. A container's points are discounted by the share of its
 text inside links. The best container and those of its siblings that score well beside it are
-the article; boilerplate inside is left out and its blocks are joined in page order.
+the article; boilerplate inside is left out and its blocks are joined in page order. A class or id
+that names boilerplate is a doubt only, settled by what the element holds.
 
 Pages are independent, so this is one map over them; only the tags are parsed by hand, as pages
 need not be well-formed.
@@ -50,14 +51,16 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
+DOUBT = 0.3  # what points count for above an element whose name is noise
 SIBLING = 0.2  # of the best score that a sibling needs
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "noise", "score", "length", "linked")
+    __slots__ = ("tag", "parent", "items", "noise", "doubt", "score", "length", "linked", "points", "holds")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool, doubt: int = 0):
+        self.tag, self.parent, self.noise, self.doubt = tag, parent, noise, doubt
+        self.points, self.holds = 0.0, False
         self.items: list[Node | str] = []
         self.score, self.length, self.linked = 0.0, 0, 0
 
@@ -71,11 +74,24 @@ def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and NOISE.search(value):
-            return True
     return False
 
 
+def _doubt(tag: str, attributes: str, inside_article: bool) -> int:
+    """2 if a whole class or id is a noise word, 1 if a part of one is, else 0."""
+    most = 0
+    if tag in ("html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
+        return most
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        if name.lower() in ("class", "id"):
+            for token in next((v for v in values if v), "").lower().split():
+                if NOISE.fullmatch(token) and not (inside_article and token == "header"):
+                    most = 2
+                elif NOISE.search(token):
+                    most = max(most, 1)
+    return most
+
+
 def parse(page: str) -> Node:
     """The page's tree. Unclosed and misnested tags are closed where the language would."""
     root = here = Node("html", None, False)
@@ -117,7 +133,7 @@ def parse(page: str) -> Node:
         if tag in CLOSES:
             here = _close(here, *CLOSES[tag])
         inside = _inside(here)
-        node = Node(tag, here, _is_noise(tag, found[3], inside))
+        node = Node(tag, here, _is_noise(tag, found[3], inside), _doubt(tag, found[3], inside))
         here.items.append(node)
         if tag not in VOID and not found[3].endswith("/"):
             here = node
@@ -173,31 +189,59 @@ def blocks(node: Node) -> list[str]:
     return found
 
 
-def _score(root: Node) -> Node | None:
-    """Give every container its score; the best one."""
+PASSED_UP = {"p", "pre", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "dd", "dt"}
+
+
+def _points(node: Node) -> float:
+    """What the text of a block earns by itself."""
+    inline = [i for i in node.items if isinstance(i, str) or i.tag not in BLOCKS]
+    size = sum(len(i.strip()) if isinstance(i, str) else i.length for i in inline if isinstance(i, str) or not i.noise)
+    if size == 0 or node.tag not in BLOCKS:
+        return 0.0
+    return 1 + sum(i.count(",") for i in inline if isinstance(i, str)) + min(size / 100, 3)
+
+
+def _measure(root: Node) -> list[Node]:
+    """The elements that are no noise, parents first, with their lengths, points and what they hold."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
         order.append(node)
         todo += [i for i in node.items if isinstance(i, Node) and not i.noise]
     for node in reversed(order):  # children first
-        own = "".join([i for i in node.items if isinstance(i, str)])
-        length = len(own.strip())
         children = [i for i in node.items if isinstance(i, Node) and not i.noise]
-        node.length = length + sum(c.length for c in children)
+        node.length = len("".join([i for i in node.items if isinstance(i, str)]).strip()) + sum(c.length for c in children)
         node.linked = node.length if node.tag == "a" else sum(c.linked for c in children)
+        free = 1 - node.linked / node.length if node.length else 0.0
+        node.points = _points(node) * free + sum(c.points for c in children)
+        node.holds = any(c.holds or c.tag in ("article", "main") for c in children)
+    return order
+
+
+def _settle(root: Node) -> None:
+    """Doubted elements become noise, but for those that hold an article or most of the page's points.
+
+    Where only a part of a name is a noise word, the element must be mostly links besides.
+    """
+    for node in _measure(root):
+        if node.doubt and not node.holds and 2 * node.points <= root.points:
+            node.noise = node.doubt == 2 or 2 * node.linked > node.length
+
+
+def _score(root: Node) -> Node | None:
+    """Give every container its score; the best one."""
+    _settle(root)
+    order = _measure(root)
     for node in order:
-        inline = [i for i in node.items if isinstance(i, str) or i.tag not in BLOCKS]
-        size = sum(len(i.strip()) if isinstance(i, str) else i.length for i in inline if isinstance(i, str) or not i.noise)
-        if size == 0 or node.tag not in BLOCKS:
+        points = _points(node)
+        if not points:
             continue
-        commas = sum(i.count(",") for i in inline if isinstance(i, str))
-        points = 1 + commas + min(size / 100, 3)
         # A block's own text counts for the block, then for what contains it, half as much a step.
-        target, share = (node.parent if node.tag in ("p", "pre", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "dd", "dt") else node), 1.0
+        target, share = (node.parent if node.tag in PASSED_UP else node), 1.0
         while target is not None and share > 0.05:
             target.score += points * share
-            target, share = target.parent, share / 2
+            share *= DOUBT / 2 if target.doubt == 2 and not target.holds else 0.5
+            target = target.parent
     best, most = None, 0.0
     for node in order:
         if node.tag not in BLOCKS and node is not root:

@@ -311,6 +311,20 @@ def test_html(spark):
     assert html_text.extract(frame.where("false")).count() == 0
 
 
+PROSE = "One paragraph, with commas, and with enough words in it to count as the text of a page. " * 3
+
+
+def test_html_names_are_doubts_only():
+    text = PROSE.strip()
+    assert html_text.main_text(f'<div class="content has-sidebar"><article><p>{PROSE}</article></div>') == text
+    assert html_text.main_text(f'<div class="elementor-widget-container"><p>{PROSE}</div><div class=widget>Shop, now, here</div>') == text
+    assert html_text.main_text(f'<div class="widget"><p>{PROSE}</div>') == text
+    page = f'<article><h1 class="entry-header">Head</h1><p>{PROSE}<section class="related-work"><p>{PROSE}</section></article>'
+    assert html_text.main_text(page) == f"Head\n{text}\n{text}"
+    page = f'<div id=c><p>{PROSE}<p>{PROSE}<div class="sharing">Share it</div><div class="social-links"><a href="/">Follow</a></div></div>'
+    assert html_text.main_text(page) == f"{text}\n{text}"
+
+
 # --- op5 ------------------------------------------------------------------------------
 
 
