@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Elements of the language by what they do to text.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "noembed", "noframes"}
+RAW = {"script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
+SKIPPED = {"svg", "noscript", "template", "annotation", "annotation-xml"}
+FOREIGN = {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
@@ -50,7 +52,11 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_EMPTY = re.compile(r"(?:\A|[\s\"'])/\Z")  # but not the slash that ends an unquoted value
 _SPACE = re.compile(r"\s+")
+CHROME = {"header", "nav", "footer", "aside"}  # they tell the level of a page
+# Siblings that are text by their kind, however short.
+PROSE = {"p", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "ul", "ol", "dl", "table", "figure", "section", "details", "hgroup", "address"}
 DOUBT = 0.3  # what points count for above an element whose name is noise
 SIBLING = 0.2  # of the best score that a sibling needs
 
@@ -66,7 +72,7 @@ class Node:
 
 
 def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in DROPPED or (tag == "header" and not inside_article):
+    if tag in DROPPED or tag in SKIPPED or (tag == "header" and not inside_article):
         return True
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next((v for v in values if v), "").lower()
@@ -96,7 +102,6 @@ def parse(page: str) -> Node:
     """The page's tree. Unclosed and misnested tags are closed where the language would."""
     root = here = Node("html", None, False)
     at, articles = 0, 0
-    lowered = None
     while True:
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else page[at:]
@@ -112,7 +117,7 @@ def parse(page: str) -> Node:
             above = here
             while above is not None and above.tag != tag:
                 # An inline end tag does not close the block around it.
-                above = None if tag not in BLOCKS and above.tag in BLOCKS else above.parent
+                above = None if tag not in BLOCKS and tag not in SKIPPED and above.tag in BLOCKS else above.parent
             if above is not None and above.parent is not None:
                 here = above.parent
             elif tag == "p":
@@ -120,22 +125,27 @@ def parse(page: str) -> Node:
             continue
         if tag in ("html", "body"):
             continue
+        empty = _EMPTY.search(found[3]) is not None
         if tag in RAW:
-            lowered = page.lower() if lowered is None or len(lowered) != len(page) else lowered
+            if empty:
+                continue
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
             if end is None:
-                return root
+                if tag in ("script", "style"):
+                    return root
+                continue
             close = page.find(">", end.start())
             at = close + 1 if close >= 0 else len(page)
             continue
         if tag in BLOCKS:
+            here = _close(here, FOREIGN, set())
             here = _close(here, {"p"}, {"table", "td", "th", "button", "caption"})
         if tag in CLOSES:
             here = _close(here, *CLOSES[tag])
         inside = _inside(here)
         node = Node(tag, here, _is_noise(tag, found[3], inside), _doubt(tag, found[3], inside))
         here.items.append(node)
-        if tag not in VOID and not found[3].endswith("/"):
+        if tag not in VOID and not empty:
             here = node
         del inside
 
@@ -268,17 +278,44 @@ def main_text(page: str | None) -> str:
     best = above if above is not None else best
     if best.parent is None:
         return "\n".join(blocks(best))
-    chosen = []
-    for item in best.parent.items:
-        if isinstance(item, Node) and not item.noise:
+    return "\n".join(text for run in _beside(best) for text in blocks(run))
+
+
+def _beside(best: Node) -> list[Node]:
+    """The best container with the siblings that belong to it, in page order; loose text as runs of its own."""
+    items = best.parent.items
+    # A page's own level has all sorts beside the article; inside a container of its own, all is of a piece.
+    page_level = best.parent.parent is None or any(isinstance(i, Node) and i.tag in CHROME for i in items)
+    kept = []
+    for place, item in enumerate(items):
+        if not isinstance(item, Node) or item.noise:
+            continue
+        dense = item.length and item.linked / item.length > 0.3
+        if item is best:
+            kept.append(place)
+        elif best.tag == "article":
+            if item.tag == "article" and item.score >= SIBLING * best.score:
+                kept.append(place)
+        elif item.length and not dense and item.doubt < 2 and item.tag in BLOCKS:
+            if not page_level or item.tag in PROSE or item.score >= SIBLING * best.score:
+                kept.append(place)
+    first, last = kept[0], kept[-1]
+    runs: list[Node] = []
+    loose: Node | None = None
+    for place in range(first, last + 1):
+        item = items[place]
+        if isinstance(item, Node) and item.tag in BLOCKS:
+            loose = None
             dense = item.length and item.linked / item.length > 0.3
-            if item is best or (item.score >= max(10, SIBLING * best.score) and not dense and best.tag != "article"):
-                chosen.append(item)
-            elif best.tag != "article" and item.tag in ("p", "h1", "h2") and item.length > 0 and not dense:
-                chosen.append(item)
-            elif best.tag == "article" and item.tag == "article" and item.score >= SIBLING * best.score:
-                chosen.append(item)
-    return "\n".join(text for item in chosen for text in blocks(item))
+            between = best.tag != "article" and not item.noise and item.doubt < 2 and not dense
+            if place in kept or between:
+                runs.append(item)
+        elif best.tag != "article":
+            if loose is None:
+                loose = Node("div", None, False)
+                runs.append(loose)
+            loose.items.append(item)
+    return runs
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

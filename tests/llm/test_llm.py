@@ -325,6 +325,23 @@ def test_html_names_are_doubts_only():
     assert html_text.main_text(page) == f"{text}\n{text}"
 
 
+def test_html_keeps_what_stands_beside_the_best():
+    text = PROSE.strip()
+    page = (
+        f"<div id=content><section><p>{PROSE}<p>{PROSE}<p>{PROSE}</section>bare <b>text</b><section><p>A short one.</section><h3>Points</h3>"
+        "<ul><li>red<li>green</ul><blockquote>Said so.</blockquote><table><tr><td>cell</table></div><nav><a href=/>Home</a></nav>"
+    )
+    want = [text, text, text, "bare text", "A short one.", "Points", "red", "green", "Said so.", "cell"]
+    assert html_text.main_text(page).split("\n") == want
+
+
+def test_html_reads_on_after_foreign_elements():
+    text = PROSE.strip()
+    for odd in ("<svg width=1/ />", "<svg/>", "<svg><g><path d=''/></g></svg>", "<svg><path>", "<template/>", "<noscript><p>Enable it</noscript>", "<iframe src='x'/>", "<iframe>"):
+        assert html_text.main_text(f"<article><p>{PROSE}</p>{odd}<p>{PROSE}</p></article>") == f"{text}\n{text}", odd
+    assert html_text.main_text(f"<article><p>{PROSE}<math><mi>x</mi></math></p></article>") == f"{text} x"
+
+
 # --- op5 ------------------------------------------------------------------------------
 
 
