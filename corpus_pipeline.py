@@ -35,8 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = stage(simhash.near_duplicates(docs), "near")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp"))
     kept = found.groupBy("root").agg(first.alias("first")).select("first.doc_id", "first.fp")
-    # Most ids are in the table once; then the id alone tells the row.
-    copies = found.groupBy("doc_id").agg((F.count("*") > 1).alias("shared"))
+    # Most ids are in the table once; then the id alone tells the row. A null id tells none.
+    copies = found.groupBy("doc_id").agg(((F.count("*") > 1) | F.col("doc_id").isNull()).alias("shared"))
     marked = stage(kept.join(copies, kept["doc_id"].eqNullSafe(copies["doc_id"])).select(kept["doc_id"], "fp", "shared"), "kept")
     alone = docs.join(marked.where("not shared").select("doc_id"), "doc_id", "left_semi")
     shared = marked.where("shared")

@@ -525,3 +525,11 @@ def test_pipeline(spark, no_docs):
     empty = spark.createDataFrame([], schema)
     for _, function in corpus_pipeline.STAGES:
         assert function(spark, empty, SF).count() == 0
+
+
+def test_pipeline_keeps_a_lone_null_id(spark):
+    import corpus_pipeline
+
+    rows = [(1, "some words of one text here", "s", "en", 1), (None, "nothing resembles this row at all", "s", "en", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()} == {1, None}
