@@ -5,10 +5,13 @@ The kernel of two strings sums over all subsequences of four characters, each we
 normalized by the strings' lengths. Characters put between the letters of an insult only stretch its subsequences, so
 ``id-iot`` and ``i.d.i.o.t`` stay near ``idiot``.
 
-Texts are read as sentences of units: words, runs of lone characters joined ("i d i o t"), and
-overlapping windows of over-long words. A text is as toxic as its worst unit, which is also how
-labels are learned: every unit of a clean text is clean, and a toxic text vouches only for the
-units that its kind of text has and clean texts lack.
+Texts are read as units: words, neighbouring words as one string in which the space is a gap like
+any other ("idi ot"), up to ``JOINED`` short words in a row as one ("id i ot"), runs of lone
+characters, and overlapping windows of what is over-long. Units with spaces or marks inside are also
+scored without them ("i--d--i--o--t"). A text is as toxic
+as its worst unit, which is also how labels are learned: every unit of a clean text is clean, and a
+toxic text vouches only for the units that its kind of text has and clean texts lack. Neighbouring
+words are learned as toxic from the texts that no word explains.
 
 Landmarks are units of the training texts. With K the landmarks' kernel matrix, the Nyström
 features of a unit x are K^-1/2 k(x); a linear machine w on them is a weighted sum of kernels to
@@ -32,6 +35,7 @@ from siltgate.llm.common import held_in_worker, stage
 DECAY = 0.85
 SPAN = 7
 LENGTH = 4
+JOINED = 8  # short words in a row that are joined at most
 LONGEST = 24  # longer words are read in windows of this length
 # The documented bounds of what the model is fitted on.
 TRAIN_TOXIC = 4_000
@@ -46,24 +50,45 @@ BLOCK_UNITS = 200_000  # texts are scored together until they have so many
 _PATTERNS = [(0, a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¡¿«»„“”‘’…–—"
 _LONE = re.compile(r"(?<!\S)\S(?:\s+\S){3,}(?!\S)")
+_SHORT = re.compile(r"(?<!\S)\S{1,3}(?:\s+\S{1,3})+(?!\S)")
+_MARKS = re.compile(r"[^\w\s]+|_+")
+_GAPS = re.compile(r"[\W_]+")
 
 
 def units(text: str | None) -> set[str]:
-    """The raw units of a text: its words, and its runs of lone characters joined."""
+    """The raw units of a text: its words, its pairs of neighbours, and its runs of short words joined."""
     if not text:
         return set()
     lowered = text.lower()
-    found = set(lowered.split())
+    words = lowered.split()
+    found = set(words)
+    found.update(map(" ".join, zip(words, words[1:])))
     for run in _LONE.findall(lowered):
         found.add("".join(run.split()))
+    for run in _SHORT.findall(lowered):
+        parts = run.split()
+        for size in range(3, min(len(parts), JOINED) + 1):
+            found.update("".join(parts[i : i + size]) for i in range(len(parts) - size + 1))
     return found
 
 
-def windows(unit: str) -> list[str]:
-    """The strings a unit is compared by: itself without outer punctuation, or windows of it."""
+def windows(unit: str, gaps: re.Pattern[str] = _GAPS) -> list[str]:
+    """The strings a unit is compared by: itself without outer punctuation, or windows of it; then the same without gaps.
+
+    Training takes marks alone as gaps, so that a pair of words stays one. Units of two and three characters are framed, so that they have subsequences.
+    """
     bare = unit.strip(_EDGES)
+    found = _cut(bare)
+    if not bare.isalnum():
+        plain = gaps.sub("", bare)
+        if plain != bare:
+            found += _cut(plain)
+    return found
+
+
+def _cut(bare: str) -> list[str]:
     if len(bare) <= LONGEST:
-        return [bare] if len(bare) >= LENGTH else []
+        return [bare] if len(bare) >= LENGTH else [f"\x02{bare}\x03"] if len(bare) > 1 else []
     step = LONGEST // 2
     return [bare[i : i + LONGEST] for i in range(0, len(bare) - step, step)]
 
@@ -223,7 +248,7 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
             texts, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             unit, toxic = [], []
             for text, mark in zip(texts, marks):
-                found = {w for u in units(text) for w in windows(u)}
+                found = {w for u in units(text) for w in windows(u, _MARKS)}
                 unit += found
                 toxic += [mark] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(unit, pa.string()), pa.array(toxic, pa.int32())], ["unit", "toxic"])
@@ -246,14 +271,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # How much likelier in toxic than in clean texts, shrunk for rare units.
     lift = F.log((F.col("toxic") + 0.1) / sizes[0]) - F.log((F.col("clean") + 0.3) / sizes[1])
     rated = counts.withColumn("rate", F.col("toxic") * lift)
-    top = rated.where("toxic >= 2 and rate > 0").orderBy(F.desc("rate"), "unit").limit(GUILTY).collect()
+    pair = F.col("unit").contains(" ")
+    top, beside = (
+        rated.where("toxic >= 2 and rate > 0").where(kind).orderBy(F.desc("rate"), "unit").limit(GUILTY).collect() for kind in (~pair, pair)
+    )
     guilty = [(r["unit"], r["toxic"], r["clean"]) for r in top]
     innocent = {
         r["unit"]: r["clean"]
-        for r in counts.where("clean > 0").orderBy(F.xxhash64("unit"), "unit").limit(INNOCENT).collect()
+        for kind in (pair, ~pair)
+        for r in counts.where("clean > 0").where(kind).orderBy(F.xxhash64("unit"), "unit").limit(INNOCENT).collect()
     }
-    seen = _occurrences(sample, [g[0] for g in guilty])
-    bad = witnesses(guilty, seen, sizes)
+    seen = _occurrences(sample, [r["unit"] for r in (*top, *beside)])
+    bad = witnesses(guilty, [[i for i in row if i < len(top)] for row in seen], sizes)
+    # Pairs count by the texts that no word explains.
+    telling = {u for u, _ in bad}
+    rest = [{i - len(top) for i in row if i >= len(top)} for row in seen if not any(i < len(top) and top[i]["unit"] in telling for i in row)]
+    left = [sum(i in row for row in rest) for i in range(len(beside))]
+    pairs = [(r["unit"], n, r["clean"]) for r, n in zip(beside, left)]
+    bad += witnesses(pairs, [sorted(row) for row in rest], sizes)
     model = fit(bad, innocent)
     for _ in range(ROUNDS):
         rated = _unit_margins(counts.where("clean > 0").select("unit", "clean"), model)
@@ -270,7 +305,7 @@ def _occurrences(sample: DataFrame, names: list[str]) -> list[list[int]]:
     def run(batches):
         for batch in batches:
             found = [
-                [number[w] for u in units(text) for w in windows(u) if w in number] for text in batch.column(0).to_pylist()
+                [number[w] for u in units(text) for w in windows(u, _MARKS) if w in number] for text in batch.column(0).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["units"])
 
@@ -334,13 +369,15 @@ def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
     shown = [(v, g[1] / (1.0 if v == g[0] else len(g[0]))) for g in guilty for v in dict.fromkeys(disguises(g[0]))]
     positive = [g[0] for g in guilty]
     chosen = set(positive)
-    negative = [u for u in innocent if u not in chosen]
+    # Clean pairs are shown as they are scored, with their space and without.
+    weighed = {v: n for u, n in innocent.items() for v in (u.replace(" ", ""), u)}
+    negative = [u for u in weighed if u not in chosen]
     # Units first, then the disguises of the strongest.
     marks = list(dict.fromkeys([*positive, *(v for v, _ in shown)]))[: 3 * LANDMARKS // 4]
     # The hardest clean units come last.
     marks += negative[::-1][: LANDMARKS - len(marks)]
     positive = [v for v, _ in shown]
-    weight = np.r_[np.sqrt([n for _, n in shown]), np.sqrt([innocent[u] for u in negative])]
+    weight = np.r_[np.sqrt([n for _, n in shown]), np.sqrt([weighed[u] for u in negative])]
     weight[: len(positive)] *= weight[len(positive) :].sum() / weight[: len(positive)].sum()
     strings, labels = positive + negative, np.r_[np.ones(len(positive)), -np.ones(len(negative))]
     values, vectors = np.linalg.eigh(kernel(marks, marks))

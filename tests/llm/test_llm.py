@@ -476,6 +476,28 @@ def test_toxicity(spark, no_docs):
     assert toxicity.score(docs, blank).where("predicted = 1").count() == 0
 
 
+def test_toxicity_beyond_single_words(spark):
+    rng = np.random.default_rng(2)
+    plain = ["".join(rng.choice(["ti", "on", "the", "re", "la", "mo"], 3)) for _ in range(80)]
+    rows, marks = [], []
+    for i in range(600):
+        text = rng.choice(plain, 12).tolist()
+        if i % 4 == 0:
+            text[3:5] = (["idiot"], ["scumbag"], ["gonna", "hurt"])[i % 3]
+        elif i % 4 == 1:
+            text[i % 9] = ("gonna", "hurt")[i % 8 == 1]
+        rows.append((i, " ".join(text)))
+        marks.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.train(docs, spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    bad = ["an i.d.iot", "the idi ot", "the id iot", "an id i ot", "i--d--i--o--t", "they gonna hurt"]
+    fine = ["the only motion", "they gonna leave", "it may hurt", "it is on the"]
+    texts = spark.createDataFrame(list(enumerate(bad + fine)), "doc_id int, text string")
+    scores = {r["doc_id"]: r["predicted"] for r in toxicity.score(texts, model).collect()}
+    assert [scores[i] for i in range(len(scores))] == [1] * len(bad) + [0] * len(fine)
+    assert toxicity.windows("ass,") and toxicity.windows("fu")
+
+
 def test_folded_weights_are_the_kernel():
     strings = ["idiot", "id-iot", "another", "xyz", "ididid"]
     marks = ["idiot", "other"]
