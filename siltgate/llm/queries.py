@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import html_text, mixing, packing, shards, simhash, small_world, toxicity, transcripts, tree_index, url_rules
+from siltgate.llm import (
+    example_packing,
+    html_text,
+    mixing,
+    packing,
+    periodic_runs,
+    shards,
+    simhash,
+    small_world,
+    toxicity,
+    transcripts,
+    tree_index,
+    url_rules,
+    vector_codes,
+)
+from siltgate.llm import oracles
 from siltgate.llm.common import stage, table
 from siltgate.llm.registry import query
 
@@ -102,3 +119,47 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = stage(transcripts.from_turns(table(spark, sf_dir, "conversations")), "lines")
     model = transcripts.train(lines)
     return transcripts.turns(transcripts.recover(lines, model))
+
+
+@query("op11_example_packing")
+def op11_example_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = example_packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op12_vector_codes", oracles.VECTOR_CODES)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(stage(found.rows, "codes"))
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
+def repeats_put_in(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's change of one document in ten: from some word on, a stretch over and over."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n = len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    stretch = words[a : a + period]
+    return words[:a] + (stretch * (-(-(n - a) // period)))[: n - a]
+
+
+@query("op13_periodic_runs", oracles.PERIODIC_RUNS)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row without a doc_id keeps its words as they are."""
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), prepare=repeats_put_in)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"], r["start"].alias("start"), r["period"].alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.array_max(ranked)).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
