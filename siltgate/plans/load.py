@@ -14,6 +14,7 @@ from siltgate.operators.canonical import flatten
 from siltgate.operators.incremental import advanced, next_checkpoint
 from siltgate.operators.upsert import last_wins, mark_existing, require_key, upsert
 from siltgate.session import stage
+from siltgate.sinks.buckets import BucketedTable
 from siltgate.sinks.tables import TargetTable, to_target
 
 MODES = ("insert_new", "upsert")
@@ -56,7 +57,7 @@ def load_summary(marked: DataFrame, flag: str, mode: str = "insert_new") -> Data
 
 def load(
     records: DataFrame,
-    target: TargetTable,
+    target: TargetTable | BucketedTable,
     checkpoints: TargetTable,
     source: str,
     run_ts: datetime,
@@ -66,7 +67,9 @@ def load(
     """Write the batch and return inserted, updated and skipped.
 
     ``insert_new`` adds rows whose key the target lacks and only appends files;
-    ``upsert`` also overwrites matched rows, which writes a new version. Of rows
+    ``upsert`` also overwrites matched rows, which writes a new version of a plain
+    table and the touched buckets of a bucketed one. A plain table counts rows, a
+    bucketed one keys, so that rows with the same key count once there. Of rows
     with the same key the last in ``order`` is written. An empty batch writes
     nothing. The checkpoint is written last: after a failure in between a rerun
     skips the rows that were loaded.
@@ -77,7 +80,12 @@ def load(
     require_key(flat, target.key)
     order = order or [target.key]
     typed = to_target(flat, target.schema).rows
-    batch = stage(mark_existing(typed, target.read(), target.key, "_exists"), "batch")
+    bucketed = isinstance(target, BucketedTable)
+    if bucketed:  # finds out for itself which keys it has
+        marked = typed.withColumn("_exists", F.lit(False))
+    else:
+        marked = mark_existing(typed, target.read(), target.key, "_exists")
+    batch = stage(marked, "batch")
 
     key = name(target.key)
     facts = batch.agg(
@@ -107,7 +115,10 @@ def load(
     stamp = _load_time(target)
     if stamp:
         fresh = fresh.withColumn(stamp, F.to_timestamp(F.lit(run_ts.isoformat())))
-    if inserting:
+    if bucketed:
+        written = target.insert_new(fresh) if inserting else target.upsert(fresh)
+        counts = {"inserted": written.inserted, "updated": written.updated, "skipped": written.known if inserting else 0}
+    elif inserting:
         if counts["inserted"]:
             target.append(fresh)
     else:
@@ -118,6 +129,6 @@ def load(
     return counts
 
 
-def _load_time(target: TargetTable) -> str | None:
+def _load_time(target: TargetTable | BucketedTable) -> str | None:
     table = target.path.rsplit("/", 1)[-1]
     return LOAD_TIME_COLUMN.get(table)

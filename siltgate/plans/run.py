@@ -15,6 +15,7 @@ from siltgate.operators.rulesets import Registry, default_registry
 from siltgate.operators.validate import Validation, error_rows, validate
 from siltgate.plans.load import last_processed_id, load
 from siltgate.session import configure, stage
+from siltgate.sinks.buckets import BucketedTable
 from siltgate.sinks.tables import TargetTable
 
 

@@ -21,6 +21,36 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small text file whole, such as a manifest."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that is there whole or not at all; one that is there already stays."""
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    started = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}")
+    stream = fs.create(started, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(started, target):
+        raise FileExistsError(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def require_folder(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     if not fs.exists(target):

@@ -25,6 +25,7 @@ from siltgate.operators.upsert import (
 )
 from siltgate.plans.load import load, load_summary, upsert_checkpoint
 from siltgate.session import new_path
+from siltgate.sinks.buckets import BucketedTable
 from siltgate.sinks.tables import TargetTable, evolve, to_target
 from workloads.inputs import sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
@@ -261,6 +262,58 @@ def load_twice(spark, sf_dir):
     )
 
 
+@query(
+    "load_upsert",
+    """with first as (select concat('C', user_id) as user_id, event_type as full_name, cast(ts as date) as signup_date
+        from (select *, row_number() over (partition by user_id order by event_id desc) as rn from events) r where rn = 1),
+      second as (select concat('C', c_custkey) as user_id, c_name as full_name from customer),
+      marks as (select greatest((select max(user_id) from first), (select max(user_id) from second)) as mark)
+      select coalesce(s.user_id, f.user_id) as user_id, coalesce(s.full_name, f.full_name) as full_name,
+        cast(f.signup_date as varchar) as signup_date, mark as last_processed_id,
+        (select count(*) from second where user_id not in (select user_id from first)) as inserted,
+        (select count(*) from second where user_id in (select user_id from first)) as updated
+      from first f full join second s on f.user_id = s.user_id, marks""",
+)
+def load_upsert(spark, sf_dir):
+    """A bucketed table takes every event's user, then every customer over it."""
+    folder = new_path(spark, "targets")
+    target = BucketedTable.named(spark, folder, "etl_csv_users")
+    checkpoints = TargetTable.named(spark, folder, "etl_metadata")
+    load(sql(spark, sf_dir, FIRST, "events"), target, checkpoints, "csv_users", RUN_TS, ["seq"], "upsert")
+    counts = load(sql(spark, sf_dir, SECOND, "customer"), target, checkpoints, "csv_users", RUN_TS, ["seq"], "upsert")
+    mark = checkpoints.read().first()["last_processed_id"]
+    return target.read().selectExpr(
+        "user_id",
+        "full_name",
+        "cast(signup_date as string) as signup_date",
+        f"'{mark}' as last_processed_id",
+        f"{counts['inserted']}L as inserted",
+        f"{counts['updated']}L as updated",
+    )
+
+
+# Customers' keys in three loads: the older half, the newer half, and all of them again.
+HALVES = [
+    f"select * from ({BATCH}) b where user_id {side} (select max(c_custkey) / 2 from customer)" for side in ("<", ">=")
+]
+
+
+@query(
+    "insert_new_by_sketch",
+    f"select user_id, full_name, 0::bigint as again from (select concat('C', lpad(cast(user_id as varchar), 9, '0')) as user_id, name as full_name from ({BATCH}) b) x",
+)
+def insert_new_by_sketch(spark, sf_dir):
+    """Only folders whose range and sketch can hold a key are opened; a second run adds nothing."""
+    target = BucketedTable.named(spark, new_path(spark, "targets"), "etl_csv_users")
+    users_of = "concat('C', lpad(cast(user_id as string), 9, '0')) as user_id"
+    for half in HALVES:
+        rows = sql(spark, sf_dir, half, "customer").selectExpr(users_of, "name as full_name")
+        target.insert_new(rows)
+    every = sql(spark, sf_dir, BATCH, "customer").selectExpr(users_of, "'again' as full_name")
+    again = target.insert_new(every).inserted
+    return target.read().selectExpr("user_id", "full_name", f"{again}L as again")
+
+
 @query(
     "loader_flatten",
     """select concat('C', user_id) as user_id, event_type as full_name, cast(cast(ts as date) as varchar) as signup_date,
