@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from siltgate.sinks.buckets import BucketedTable
 from siltgate.sinks.tables import TargetTable, to_target
 
 MODES = ("insert_new", "upsert")
+# Sources loaded side by side move their marks in one table, one after another.
+_checkpoints_in_use = Lock()
 
 
 def last_processed_id(checkpoints: DataFrame, source: str) -> str | None:
@@ -123,9 +126,9 @@ def load(
             target.append(fresh)
     else:
         target.replace(upsert(target.read(), fresh, target.key))
-    checkpoints.replace(
-        upsert_checkpoint(checkpoints.read(), checkpoint_row(batch, target.key, source, run_ts))
-    )
+    row = stage(checkpoint_row(batch, target.key, source, run_ts), "checkpoint")
+    with _checkpoints_in_use:
+        checkpoints.replace(upsert_checkpoint(checkpoints.read(), row))
     return counts
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +45,9 @@ SOURCES = (CSV_USERS, API_PRODUCTS, DOCUMENT_USERS)
 class Batch:
     """What a source delivered: flat text columns, or a VARIANT ``document`` column.
 
-    ``errors`` are rows the source could not read. ``order`` names a column that
-    orders the records; of rows with one key the last is loaded.
+    ``errors`` are rows the source could not read, ``error_count`` their number where the
+    source counted them while it was read. ``order`` names a column that orders the records;
+    of rows with one key the last is loaded.
     """
 
     records: DataFrame
@@ -51,6 +55,13 @@ class Batch:
     errors: DataFrame | None = None
     order: str | None = None
     null_is_missing: bool = False
+    error_count: int | None = None
+
+
+class Extractor(Protocol):
+    """A source to be read: a run asks it for its batch."""
+
+    def extract(self, spark: SparkSession, run_ts: datetime) -> Batch: ...
 
 
 @dataclass(frozen=True)
@@ -119,7 +130,7 @@ def accepted_per_source(prepared: dict[str, Prepared]) -> DataFrame:
 def _require_clean(batch: Batch, source: Source, on_source_error: str) -> None:
     if on_source_error not in ("fail", "keep"):
         raise ValueError("on_source_error must be 'fail' or 'keep'")
-    if on_source_error == "fail" and batch.errors is not None:
+    if on_source_error == "fail" and batch.errors is not None and batch.error_count != 0:
         first = batch.errors.first()
         if first is not None:
             raise RuntimeError(f"{source.name} reported errors, such as: {first.asDict()}")
@@ -127,7 +138,7 @@ def _require_clean(batch: Batch, source: Source, on_source_error: str) -> None:
 
 def run_source(
     spark: SparkSession,
-    batch: Batch,
+    batch: Batch | Extractor,
     source: Source,
     folder: str,
     run_ts: datetime,
@@ -135,12 +146,15 @@ def run_source(
     strict: bool = True,
     mode: str = "insert_new",
     registry: Registry | None = None,
+    buckets: int | None = None,
 ) -> RunResult:
     """Read past the checkpoint, validate, map and load one source into ``folder``.
 
-    ``strict`` fails the run when a validated record cannot be mapped.
+    ``strict`` fails the run when a validated record cannot be mapped. With ``buckets`` the
+    target is laid out by key, so that a load rewrites only what it touches.
     """
     configure(spark)
+    batch = _extracted(spark, batch, run_ts)
     _require_clean(batch, source, on_source_error)
     checkpoints = TargetTable.named(spark, folder, "etl_metadata")
     last_id = last_processed_id(checkpoints.read(), source.name)
@@ -150,7 +164,10 @@ def run_source(
         first = transformation.rejected.first()
         if first is not None:
             raise RuntimeError(f"transformation rejected records, such as: {first['error']}")
-    target = TargetTable.named(spark, folder, source.table)
+    if buckets:
+        target = BucketedTable.named(spark, folder, source.table, buckets)
+    else:
+        target = TargetTable.named(spark, folder, source.table)
     order = [batch.order] if batch.order else None
     counts = load(_loadable(transformation, batch), target, checkpoints, source.name, run_ts, order, mode)
     return RunResult(
@@ -174,22 +191,49 @@ def _loadable(transformation: Transformation, batch: Batch) -> DataFrame:
     )
 
 
+def _extracted(spark: SparkSession, given: Batch | Extractor, run_ts: datetime) -> Batch:
+    return given if isinstance(given, Batch) else given.extract(spark, run_ts)
+
+
+class RunFailed(RuntimeError):
+    """Some sources failed; ``results`` has the others', which were loaded all the same."""
+
+    def __init__(self, failures: dict[str, Exception], results: dict[str, RunResult]):
+        super().__init__("; ".join(f"{name}: {failure}" for name, failure in failures.items()))
+        self.failures, self.results = failures, results
+
+
 def run_all(
     spark: SparkSession,
-    batches: dict[str, Batch],
+    batches: dict[str, Batch | Extractor],
     folder: str,
     run_ts: datetime,
     sources: tuple[Source, ...] = SOURCES,
     **options,
 ) -> dict[str, RunResult]:
-    """Every source into its own table. A source without records loads nothing and
-    leaves its checkpoint alone."""
-    for source in sources:
-        if source.name in batches:
-            _require_clean(batches[source.name], source, options.get("on_source_error", "fail"))
-    options["on_source_error"] = "keep"  # looked at already
-    return {
-        source.name: run_source(spark, batches[source.name], source, folder, run_ts, **options)
-        for source in sources
-        if source.name in batches
-    }
+    """Every source into its own table, side by side, each read in its own thread.
+
+    A source's jobs go to a scheduler pool of its name, so under ``spark.scheduler.mode=FAIR``
+    a long source does not hold up a short one. A source without records loads nothing and
+    leaves its checkpoint alone. One that fails does not stop the others: the run raises
+    RunFailed when all have ended.
+    """
+    chosen = [s for s in sources if s.name in batches]
+
+    def one(source: Source) -> RunResult | Exception:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", source.name)
+        try:
+            return run_source(spark, batches[source.name], source, folder, run_ts, **options)
+        except Exception as failure:  # told after the others have ended
+            return failure
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, len(chosen))) as threads:
+        ended = [threads.submit(inheritable_thread_target(spark)(one), s) for s in chosen]
+    outcomes = {s.name: e.result() for s, e in zip(chosen, ended)}
+    results = {n: o for n, o in outcomes.items() if isinstance(o, RunResult)}
+    failures = {n: o for n, o in outcomes.items() if not isinstance(o, RunResult)}
+    if failures:
+        raise RunFailed(failures, results)
+    return results

@@ -7,10 +7,12 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltgate.functions import variants as v
 from siltgate.functions.text import lit, name
 from siltgate.session import counted
+from siltgate.sources.delivery import deliver
 
 COMPARISONS = {"$gt": ">", "$gte": ">=", "$lt": "<", "$lte": "<="}
 
@@ -22,6 +24,8 @@ class DocumentScan:
 
     documents: DataFrame
     errors: DataFrame
+    # Known once the scan is landed.
+    error_count: int | None = None
 
     def find(self, query: dict[str, Any] | None = None) -> DataFrame:
         return self.documents.filter(find_filter(query or {}, "document"))
@@ -41,19 +45,42 @@ def documents_from(lines: DataFrame, column: str, collection: str, run_ts: datet
         *others, f"{name(column)} as _line", f"try_parse_json({name(column)}) as document"
     ).selectExpr("*", f"{v.kind('document')} as _kind")
     parsed = counted(parsed, f"scan {collection}", documents=f"count_if(_kind = '{v.OBJECT}')", lines="count(1)")
-    documents = parsed.filter(f"_kind = '{v.OBJECT}'").selectExpr(
+    good, bad = parsed.filter(f"_kind = '{v.OBJECT}'"), parsed.filter(f"_kind != '{v.OBJECT}'")
+    return _scan(good, bad, others, collection, run_ts)
+
+
+def land_documents(lines: DataFrame, column: str, collection: str, run_ts: datetime) -> DocumentScan:
+    """As documents_from, by one pass over ``lines``, which nothing after reads again."""
+    others = [name(c) for c in lines.columns if c != column]
+    parsed = lines.selectExpr(*others, f"{name(column)} as _line", f"try_parse_json({name(column)}) as document")
+    parsed = parsed.selectExpr("*", f"{v.kind('document')} as _kind")
+    # A record needs its line no more.
+    parsed = parsed.withColumn("_line", F.expr(f"case when _kind != '{v.OBJECT}' then _line end"))
+    landed = deliver(parsed, f"_kind != '{v.OBJECT}'", collection)
+    return _scan(landed.records, landed.errors, others, collection, run_ts, landed.error_count)
+
+
+def _scan(
+    good: DataFrame,
+    bad: DataFrame,
+    others: list[str],
+    collection: str,
+    run_ts: datetime,
+    error_count: int | None = None,
+) -> DocumentScan:
+    documents = good.selectExpr(
         *others,
         f"{lit(collection)} as source_collection",
         f"{lit(run_ts.isoformat())} as ingestion_timestamp",
         "document",
     )
-    errors = parsed.filter(f"_kind != '{v.OBJECT}'").selectExpr(
+    errors = bad.selectExpr(
         *others,
         f"{lit(collection)} as source_collection",
         f"case when _kind = '{v.MISSING}' then 'not valid JSON' else 'not a document' end as error",
         "_line as row",
     )
-    return DocumentScan(documents, errors)
+    return DocumentScan(documents, errors, error_count)
 
 
 def key_text(document: str, key: str = "_id") -> str:

@@ -142,6 +142,12 @@ def scan_summary(spark, sf_dir):
 USER_FIELDS = "user_id full_name email phone signup_date country age status newsletter_opt_in".split()
 
 
+def write_users(users: DataFrame, folder: str) -> None:
+    users.select(*USER_FIELDS).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).option("emptyValue", "").csv(folder)
+
+
 @query(
     "scan_csv_users",
     f"""select trim(user_id) as user_id, {', '.join(f'trim({c}) as {c}' for c in USER_FIELDS[1:])} from ({USERS}) raw""",
@@ -149,7 +155,5 @@ USER_FIELDS = "user_id full_name email phone signup_date country age status news
 def scan_csv_users(spark, sf_dir):
     users = sql(spark, sf_dir, USERS, "customer", "nation")
     folder = new_path(spark, "users")
-    users.select(*USER_FIELDS).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).option("emptyValue", "").csv(folder)
+    write_users(users, folder)
     return read_csv(spark, folder, RUN_TS).rows.select(*USER_FIELDS)

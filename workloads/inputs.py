@@ -49,6 +49,17 @@ def land(spark: SparkSession, sf_dir: str, label: str, text: str, *names: str) -
     return spark.read.parquet(_landed[key])
 
 
+def land_files(spark: SparkSession, sf_dir: str, label: str, write, text: str, *names: str) -> str:
+    """A folder that ``write(rows, folder)`` has filled from the rows of ``text``, once per application."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _landed:
+        path = new_path(spark, label)
+        write(sql(spark, sf_dir, text, *names), path)
+        _landed[key] = path
+    return _landed[key]
+
+
 # --- CSV users, from customer and nation --------------------------------------
 
 USERS = """
@@ -197,6 +208,41 @@ select source, source_no, page_index, {PAGE_STATE} as state, {PAGE_TOTAL} as tot
 from ({PAGE_ROWS}) page_rows group by source, source_no, page_index
 """
 
+# --- API response log, from part ---------------------------------------------------
+
+# An API holds 120 parts, a page 10 of them; what goes wrong depends on the API.
+API_SIZE, API_PAGE = 120, 10
+API_ROWS = f"""
+select concat('log', lpad(cast(cast(floor(p_partkey / {API_SIZE}) as int) as string), 6, '0')) as source,
+  cast(floor(p_partkey / {API_SIZE}) as int) % 6 as kind,
+  cast(floor((p_partkey % {API_SIZE}) / {API_PAGE}) as bigint) as page_index,
+  p_partkey as pos, concat('{{"id": ', cast(p_partkey as string), '}}') as item
+from part
+"""
+API_ATTEMPTS = """case when kind = 0 and page_index % 2 = 0 then 2 when kind = 2 and page_index = 4 then 5
+  when kind = 4 and page_index = 3 then 0 when kind = 5 and page_index = 1 then 2 else 1 end"""
+API_STATUS = """case when kind = 0 and page_index % 2 = 0 and attempt = 1 then 503 when kind = 1 and page_index = 5 then 404
+  when kind = 2 and page_index = 4 and attempt <= 4 then 503 when kind = 5 and page_index = 1 and attempt = 1 then null else 200 end"""
+API_LOG = f"""
+select source, page_index, attempt, {API_STATUS} as status,
+  concat('https://example.org/', source, '?skip=', cast(page_index * {API_PAGE} as string)) as url,
+  case when coalesce({API_STATUS}, 0) != 200 then 'try later'
+    when kind = 3 and page_index = 6 then '{{"data": ['
+    else concat('{{"data": {{"products": [', items, ']}}, "total": ', case when kind = 5 then '35' else '10000' end, '}}') end as body
+from (
+  select source, kind, page_index, array_join(transform(array_sort(collect_list(struct(pos, item))), x -> x.item), ', ') as items
+  from ({API_ROWS}) api_rows group by source, kind, page_index
+) grouped lateral view explode(sequence(1, 5)) steps as attempt
+where attempt <= {API_ATTEMPTS}
+"""
+# All products as the pages of one API, each landed at its first attempt.
+PRODUCT_LOG = f"""
+select 'products' as source, cast(floor(pos / {PAGE_SIZE}) as bigint) as page_index, 1 as attempt, 200 as status,
+  'https://example.org/products' as url,
+  concat('{{"products": [', array_join(transform(array_sort(collect_list(struct(pos, line))), x -> x.line), ', '), ']}}') as body
+from ({PRODUCTS}) lines group by cast(floor(pos / {PAGE_SIZE}) as bigint)
+"""
+
 # --- response log, from events ----------------------------------------------------
 
 RESPONSES = """

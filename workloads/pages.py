@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltgate.operators import responses as r
 from siltgate.operators.responses import Paging
-from workloads.inputs import LANDED, PAGE_FACTS, PAGE_SIZE, RESPONSES, land, sql
+from siltgate.sources.api import ApiScan, read_responses
+from workloads.inputs import API_LOG, API_PAGE, API_ROWS, LANDED, PAGE_FACTS, PAGE_SIZE, RESPONSES, land, sql
 from workloads.registry import query
 
 PAGING = Paging(
@@ -140,3 +141,67 @@ def classify_responses(spark, sf_dir):
 )
 def final_attempt(spark, sf_dir):
     return r.final_attempts(sql(spark, sf_dir, RESPONSES, "events")).drop("body")
+
+
+# --- an API read from its log --------------------------------------------------------
+
+API_PAGING = Paging("offset", start_page=0, page_size=API_PAGE, records_path="data.products", total_path="total")
+
+
+def api_scan(spark: SparkSession, sf_dir: str) -> ApiScan:
+    return read_responses(land(spark, sf_dir, "api-log", API_LOG, "part"), API_PAGING)
+
+
+# The first page each kind of API does not give records for, and why.
+API_END = "case kind when 1 then 5 when 2 then 4 when 3 then 6 when 4 then 3 when 5 then 4 else 1000 end"
+API_ERROR = """case kind when 1 then 'Non-success response status 404: try later' when 2 then 'Non-success response status 503: try later'
+  when 3 then 'Response body is not valid JSON' when 4 then 'an earlier page never landed.' end"""
+API_ERROR_PAGE = "case kind when 1 then 5 when 2 then 4 when 3 then 6 when 4 then 4 end"
+
+
+@query(
+    "api_records",
+    f"""select source, page_index, row_number() over (partition by source, page_index order by pos) - 1 as position, pos as id
+      from ({API_ROWS}) r where page_index < {API_END}""",
+)
+def api_records(spark, sf_dir):
+    return api_scan(spark, sf_dir).records.selectExpr(
+        "source", "page_index", "position", "variant_get(document, '$.id', 'bigint') as id"
+    )
+
+
+@query(
+    "api_errors",
+    f"""select distinct source, page_index * {API_PAGE} as page, case kind when 1 then 404 when 2 then 503 else 200 end as status,
+      {API_ERROR} as error from ({API_ROWS}) r where page_index = {API_ERROR_PAGE}""",
+)
+def api_errors(spark, sf_dir):
+    return api_scan(spark, sf_dir).errors.selectExpr("source", "page", "status", "error")
+
+
+@query(
+    "api_summary",
+    f"""select source, count(distinct page_index) filter (page_index < {API_END}) as pages_fetched,
+      count(*) filter (page_index < {API_END}) as record_count,
+      coalesce(max((page_index = {API_ERROR_PAGE})::int), 0)::bigint as error_count from ({API_ROWS}) r group by source""",
+)
+def api_summary(spark, sf_dir):
+    return api_scan(spark, sf_dir).summary.selectExpr(
+        "source", "pages_fetched", "record_count", "error_count"
+    )
+
+
+@query(
+    "api_new_records",
+    f"""select source, pos as id from ({API_ROWS}) r join (select source as s, max(pos) - 60 as mark from ({API_ROWS}) m
+      where kind != 3 group by source) marks on source = s and pos > mark where page_index < {API_END}
+      union all select source, pos from ({API_ROWS}) r where kind = 3 and page_index < {API_END}""",
+)
+def api_new_records(spark, sf_dir):
+    """Past each API's own checkpoint; those of one kind have none yet."""
+    scan = api_scan(spark, sf_dir)
+    marks = f"""select source as source_name, cast(max(pos) - 60 as string) as last_processed_id from ({API_ROWS}) m
+      where kind != 3 group by source"""
+    return scan.newer_than(sql(spark, sf_dir, marks, "part")).selectExpr(
+        "source", "variant_get(document, '$.id', 'bigint') as id"
+    )

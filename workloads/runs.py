@@ -5,30 +5,43 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.operators.canonical import flatten, route
+from siltgate.operators.canonical import route
+from siltgate.operators.responses import Paging
+from siltgate.plans.extract import ApiLog, CsvFolder, DocumentExport
 from siltgate.plans.run import (
     API_PRODUCTS,
     CSV_USERS,
     DOCUMENT_USERS,
-    Batch,
+    Extractor,
     Prepared,
+    RunFailed,
     accepted_per_source,
     merged,
     prepare,
     run_all,
+    run_source,
 )
 from siltgate.session import new_path
 from siltgate.sinks.tables import TargetTable
 from workloads import documents, products, users
+from workloads.files import write_users
+from workloads.inputs import DOCUMENTS, PAGE_SIZE, PRODUCT_LOG, USERS, land_files
 from workloads.registry import RUN_TS, query
 
+PRODUCT_PAGING = Paging("offset", start_page=0, page_size=PAGE_SIZE, records_path="products")
 
-def batches(spark: SparkSession, sf_dir: str) -> dict[str, Batch]:
-    found = documents.scan(spark, sf_dir)
+
+def extractors(spark: SparkSession, sf_dir: str) -> dict[str, Extractor]:
+    """A CSV folder, an API's response log and a document export, derived from the tables."""
+    users_folder = land_files(spark, sf_dir, "csv-users", write_users, USERS, "customer", "nation")
+    log = land_files(spark, sf_dir, "product-log", lambda rows, path: rows.write.parquet(path), PRODUCT_LOG, "part")
+    export = land_files(
+        spark, sf_dir, "export", lambda rows, path: rows.select("line").write.text(path), DOCUMENTS, "customer", "nation"
+    )
     return {
-        "csv_users": Batch(users.users(spark, sf_dir), order="pos"),
-        "api_products": Batch(products.products(spark, sf_dir), "document", order="pos"),
-        "mongo_users": Batch(found.documents, "document", found.errors, order="pos"),
+        "csv_users": CsvFolder(users_folder),
+        "api_products": ApiLog(log, PRODUCT_PAGING),
+        "mongo_users": DocumentExport(export, documents.COLLECTION),
     }
 
 
@@ -46,9 +59,9 @@ union all select 'mongo', 'unknown', rid, full_name, clean_mail
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> dict[str, Prepared]:
-    delivered = batches(spark, sf_dir)
+    found = extractors(spark, sf_dir)
     return {
-        s.source_type: prepare(delivered[s.name], s, RUN_TS)
+        s.source_type: prepare(found[s.name].extract(spark, RUN_TS), s, RUN_TS)
         for s in (CSV_USERS, API_PRODUCTS, DOCUMENT_USERS)
     }
 
@@ -95,16 +108,50 @@ def accepted_counts(spark, sf_dir):
     return accepted_per_source(prepared(spark, sf_dir))
 
 
+CSV_GOOD = f"""{users.EXPECTED} select trim(user_id) as user_id, full_name, mail as email, clean_age as age, state as status,
+  state = 'active' as is_active from outcome where n_errors = 0"""
+
+
 @query(
     "run_csv_users",
-    users.EXPECTED
-    + """select user_id, full_name, email, age, status, is_active from (
-        select trim(user_id) as user_id, full_name, mail as email, clean_age as age, state as status, state = 'active' as is_active,
-          row_number() over (partition by trim(user_id) order by pos desc) as rn from outcome where n_errors = 0) r where rn = 1""",
+    f"""select *, timestamp '2024-06-01 12:00:00' as updated_at, (select count(*) from ({CSV_GOOD}) n) as inserted,
+      (select count(*) from customer) - (select count(*) from ({CSV_GOOD}) n) as rejected from ({CSV_GOOD}) good""",
 )
 def run_csv_users(spark, sf_dir):
-    ready = prepare(batches(spark, sf_dir)["csv_users"], CSV_USERS, RUN_TS).transformation.transformed
-    return flatten(ready, "user_id").select("user_id", "full_name", "email", "age", "status", "is_active")
+    """From CSV files to the loaded table, with the load time and what the run counted."""
+    folder = new_path(spark, "warehouse")
+    result = run_source(spark, extractors(spark, sf_dir)["csv_users"], CSV_USERS, folder, RUN_TS)
+    rejected = result.validation_summary.first()["rejected_records"]
+    return TargetTable.named(spark, folder, CSV_USERS.table).read().selectExpr(
+        "user_id", "full_name", "email", "age", "status", "is_active", "updated_at",
+        f"{result.counts['inserted']}L as inserted", f"{rejected}L as rejected",
+    )
+
+
+@query(
+    "source_error_policies",
+    f"""select 'fail' as policy, 'failed' as outcome, 0::bigint as loaded, 0::bigint as others_loaded
+      union all select 'keep', 'loaded', (select count(distinct k) from (select case when record_id = 'True' then 1
+        else cast(regexp_replace(record_id, '[.]0$', '') as bigint) end as k from ({MERGED_SQL}) m where source_type = 'mongo') d), 0
+      union all select 'fail beside another', 'failed', 0, (select count(*) from ({CSV_GOOD}) n)""",
+)
+def source_error_policies(spark, sf_dir):
+    """A document export with unreadable lines: its run fails or keeps the rest; other sources load."""
+    found = extractors(spark, sf_dir)
+
+    def run(policy: str, *names: str):
+        folder = new_path(spark, "warehouse")
+        try:
+            run_all(spark, {n: found[n] for n in names}, folder, RUN_TS, on_source_error=policy, strict=False)
+            outcome = "loaded"
+        except RunFailed:
+            outcome = "failed"
+        loaded, others = (TargetTable.named(spark, folder, t).read().count() for t in ("etl_mongo_users", "etl_csv_users"))
+        return outcome, loaded, others
+
+    rows = [("fail", *run("fail", "mongo_users")), ("keep", *run("keep", "mongo_users"))]
+    rows.append(("fail beside another", *run("fail", "mongo_users", "csv_users")))
+    return spark.createDataFrame(rows, "policy string, outcome string, loaded bigint, others_loaded bigint")
 
 
 @query(
@@ -117,9 +164,8 @@ def run_csv_users(spark, sf_dir):
 def loaded_tables(spark, sf_dir):
     """Load all sources twice; the second run finds nothing new."""
     folder = new_path(spark, "warehouse")
-    delivered = batches(spark, sf_dir)
     for _ in range(2):
-        run_all(spark, delivered, folder, RUN_TS, on_source_error="keep", strict=False)
+        run_all(spark, extractors(spark, sf_dir), folder, RUN_TS, on_source_error="keep", strict=False)
     marks = TargetTable.named(spark, folder, "etl_metadata").read()
     tables = None
     for s in (CSV_USERS, API_PRODUCTS, DOCUMENT_USERS):
