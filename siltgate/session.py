@@ -61,7 +61,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 BROADCAST_BYTES = 4 << 20
 
 
-def broadcast_if_small(staged: DataFrame) -> DataFrame:
+def broadcast_if_small(staged: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a staged table for broadcast when the size of its files allows it.
 
     Decided before the join: the larger side is then never shuffled, which a
@@ -69,7 +69,7 @@ def broadcast_if_small(staged: DataFrame) -> DataFrame:
     listing, so no job runs.
     """
     size = staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(staged) if int(str(size)) <= BROADCAST_BYTES else staged
+    return F.broadcast(staged) if int(str(size)) <= limit else staged
 
 
 def counted(df: DataFrame, label: str, **metrics: str) -> DataFrame:

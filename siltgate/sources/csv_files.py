@@ -3,37 +3,49 @@
 Every value stays text. The files are parsed once, into a staged table that
 keeps each row's file, split and place; row numbers, skipped rows, short rows
 and cut files all come from that table, so they agree with each other.
+
+A file is read whole by one task, many files side by side, so that a quoted value
+may hold line breaks; its lines end as its first line does, whatever its size.
+Files declared free of such values are read in splits.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from siltgate.functions.text import all_blank, lit, name, strip
-from siltgate.session import broadcast_if_small, stage
-from siltgate.sources.files import first_line, list_files
-from siltgate.sources.quoted_lines import stitch
+from siltgate.session import broadcast_if_small, new_path, stage
+from siltgate.sources.files import VISIBLE, Found, find_files, first_bytes, first_line, literal
 
 SHORT_ROW = "Row has missing column value(s)."
 # First lines are read by so many threads at once.
 HEADER_READERS = 32
-BLANK_LINE = r"^\s+$"
+# A row of numbers per split is sent to every task up to this many bytes of parquet; about a
+# million splits fit.
+SPLITS_BYTES = 32 << 20
+# Character sets that Spark's reader takes by these names.
+CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
 
 
 @dataclass(frozen=True)
 class CsvOptions:
     """``columns`` declares the header, which is then checked, not discovered.
 
-    ``multi_line`` allows line breaks inside quotes; None decides per file.
+    ``multi_line`` allows line breaks inside quotes. False declares that there are none: then
+    large files are read in splits, and each of \\n, \\r\\n and \\r ends a line. ``encoding`` is
+    any name Python knows that the JVM knows too; ``utf-16`` without a mark is little-endian.
     """
 
     delimiter: str = ","
@@ -41,7 +53,14 @@ class CsvOptions:
     has_header: bool = True
     columns: tuple[str, ...] | None = None
     pattern: str = "*.csv"
-    multi_line: bool | None = None
+    multi_line: bool = True
+
+    @property
+    def charset(self) -> str:
+        """The encoding by the name Spark has for it, else by Python's."""
+        known = codecs.lookup(self.encoding).name
+        spark_name = {"utf-16-le": "utf-16le", "utf-16-be": "utf-16be", "ascii": "us-ascii", "iso8859-1": "iso-8859-1"}
+        return spark_name.get(known, known)
 
 
 @dataclass(frozen=True)
@@ -81,107 +100,79 @@ class CsvScan:
 def read_csv(
     spark: SparkSession, folder: str, run_ts: datetime, options: CsvOptions = CsvOptions()
 ) -> CsvScan:
-    listing = list_files(spark, folder, options.pattern).orderBy("path")
-    files = [(r["path"], r["length"]) for r in listing.collect()]
-    headers = _headers(spark, [p for p, _ in files], options)
-    whole, split, spanning = _line_modes(spark, files, options)
-    stitched = None
-    if spanning:
-        stitched, left_out = stitch(spark, sorted(spanning), options.delimiter, options.has_header)
-        unstitched = {_listed(p) for p in left_out}
-        whole |= {p for p in spanning if _plain(p) in unstitched}
-        spanning = {p for p in spanning if _plain(p) not in unstitched}
-
+    files = find_files(spark, folder, options.pattern)
+    groups = _headers(spark, [f.path for f in files], options)
     columns: list[str] = []
-    for header in headers:
+    for header, _ in groups:
         columns += [c for c in header if c not in columns]
+    reader = _reading_session(spark, options)
     parsed = None
-    for header, paths in headers.items():
-        for multi_line, chosen in ((True, whole), (False, split)):
-            group = [p for p in paths if p in chosen]
-            if group:
-                part = _parse(_read(spark, group, header, multi_line, options), header, columns, options)
-                parsed = part if parsed is None else parsed.unionByName(part)
-        group = {_plain(p) for p in paths if p in spanning}
-        if group:
-            part = _parse(_read_records(stitched, group, header, options), header, columns, options)
-            parsed = part if parsed is None else parsed.unionByName(part)
+    for (header, charset), paths in groups.items():
+        part = _parse(_read(reader, paths, header, charset, options), header, columns, options)
+        parsed = part if parsed is None else parsed.unionByName(part)
     if parsed is None:
-        parsed = spark.createDataFrame([], _empty_schema(columns))
-    staged = stage(parsed, "csv")
-    undecodable = _undecodable(spark, [p for p, _ in files], staged, columns, options)
+        parsed = reader.createDataFrame([], _empty_schema(columns))
+    path = new_path(spark, "csv")
+    parsed.write.parquet(path)
+    staged = _as_found(spark, spark.read.schema(parsed.schema).parquet(path), files)
+    undecodable = _undecodable(spark, groups, staged, columns, files, options)
     return _scan(staged, columns, undecodable, len(files), folder, run_ts, options)
 
 
 def _headers(
     spark: SparkSession, paths: list[str], options: CsvOptions
-) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. Like schema inference this runs before the query, on first lines only."""
-    if options.columns is not None:
-        return {tuple(options.columns): paths}
-    found: dict[tuple[str, ...], list[str]] = {}
+) -> dict[tuple[tuple[str, ...], str], list[str]]:
+    """Files by header and character set. Like schema inference this runs before the query, on
+    first lines only."""
+    marked = options.charset == "utf-16"
+
+    def head(path: str) -> tuple[str, str | None]:
+        charset = options.charset
+        if marked and first_bytes(spark, path, 2) not in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
+            charset = "utf-16le"
+        return charset, None if options.columns is not None else first_line(spark, path, charset)
+
+    if options.columns is not None and not marked:
+        return {(tuple(options.columns), options.charset): paths} if paths else {}
+    found: dict[tuple[tuple[str, ...], str], list[str]] = {}
     with ThreadPoolExecutor(HEADER_READERS) as readers:
-        lines = list(readers.map(lambda path: first_line(spark, path, options.encoding), paths))
-    for path, line in zip(paths, lines):
-        if line is None:
+        heads = list(readers.map(head, paths))
+    for path, (charset, line) in zip(paths, heads):
+        if options.columns is not None:
+            fields = list(options.columns)
+        elif line is None:
             continue
-        fields = next(csv.reader([line], delimiter=options.delimiter), [])
-        if not options.has_header:
-            fields = [f"_c{i}" for i in range(len(fields))]
-        found.setdefault(tuple(fields), []).append(path)
+        else:
+            fields = next(csv.reader([line], delimiter=options.delimiter), [])
+            if not options.has_header:
+                fields = [f"_c{i}" for i in range(len(fields))]
+        found.setdefault((tuple(fields), charset), []).append(path)
     return found
 
 
-def _line_modes(
-    spark: SparkSession, files: list[tuple[str, int]], options: CsvOptions
-) -> tuple[set[str], set[str], set[str]]:
-    """Files read whole (line breaks inside quotes work), files read in splits, and
-    files whose lines are stitched together.
-
-    A file that fits one split is read whole at no cost. A larger one is read in
-    splits when no line of it has an odd number of quotes, which proves that no
-    quoted value spans lines, and no line is made of blanks, which Spark's line
-    reader would not count. Other large files are stitched, if they are UTF-8.
-    Encodings whose line ends are more than one byte, such as UTF-16, cannot be cut at all.
-    """
-    every = {p for p, _ in files}
-    if options.multi_line is not None:
-        return (every, set(), set()) if options.multi_line else (set(), every, set())
-    if not _splittable(options):
-        return every, set(), set()
-    limit = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    large = [p for p, length in files if length > limit]
-    if not large:
-        return every, set(), set()
-    odd = "(length(value) - length(replace(value, '\"', ''))) % 2 = 1"
-    unsafe = (
-        spark.read.text(large)
-        .filter(f"{odd} or value rlike {lit(BLANK_LINE)}")
-        .select("_metadata.file_path")
-        .distinct()
+def _reading_session(spark: SparkSession, options: CsvOptions) -> SparkSession:
+    """A sibling session with any of the JVM's character sets allowed, if one is needed."""
+    if options.charset in CHARSETS:
+        return spark
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return sibling
+
+
+def _as_found(spark: SparkSession, staged: DataFrame, files: list[Found]) -> DataFrame:
+    """Rows of copied files, whose names Spark hides, under the names they were found by."""
+    copied = [(_plain(f.path), f.origin) for f in files if f.path != f.origin]
+    if not copied:
+        return staged
+    origins = spark.createDataFrame(copied, "_copy string, _origin string")
+    plain = F.regexp_replace(F.url_decode(F.regexp_replace("_path", r"\+", "%2B")), "^file:/+", "/")
+    return (
+        # One row for each hidden name.
+        staged.withColumn("_copy", plain).join(F.broadcast(origins), "_copy", "left")
+        .withColumn("_path", F.coalesce("_origin", "_path"))
+        .withColumn("source_file", F.expr(f"case when _origin is null then source_file else substring(source_file, {len(VISIBLE) + 1}) end"))
+        .drop("_copy", "_origin")
     )
-    tangled = {_listed(r["file_path"]) for r in unsafe.collect()}
-    split = {p for p in large if _plain(p) not in tangled}
-    spanning = set(large) - split if _is_utf8(options) else set()
-    return every - split - spanning, split, spanning
-
-
-def _splittable(options: CsvOptions) -> bool:
-    """Whether a line ends with the single byte that Spark looks for when it cuts a file."""
-    try:
-        return "\n".encode(options.encoding) == b"\n"
-    except LookupError:
-        return False
-
-
-def _is_utf8(options: CsvOptions) -> bool:
-    return options.encoding.lower().replace("-", "") == "utf8"
-
-
-def _bytes(size: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    text = size.strip().lower().removesuffix("b") or "0"
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
 
 
 def _plain(path: str) -> str:
@@ -204,18 +195,18 @@ def _text_schema(header: tuple[str, ...]) -> str:
 
 
 def _read(
-    spark: SparkSession, paths: list[str], header: tuple[str, ...], multi_line: bool, options: CsvOptions
+    spark: SparkSession, paths: list[str], header: tuple[str, ...], charset: str, options: CsvOptions
 ) -> DataFrame:
     """Fields by position, with each row's file, split and place."""
     read = (
         spark.read.schema(_text_schema(header))
         .option("header", options.has_header)
         .option("sep", options.delimiter)
-        .option("encoding", options.encoding)
-        .option("multiLine", multi_line)
+        .option("encoding", charset)
+        .option("multiLine", options.multi_line)
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", "_bad")
-        .csv(paths)
+        .csv([literal(p) for p in paths])
     )
     return read.select(
         *_positions(header),
@@ -227,22 +218,6 @@ def _read(
     )
 
 
-def _read_records(
-    stitched: DataFrame, paths: set[str], header: tuple[str, ...], options: CsvOptions
-) -> DataFrame:
-    """The same columns as ``_read`` from record texts."""
-    found = [r["_path"] for r in stitched.select("_path").distinct().collect()]
-    chosen = stitched.filter(F.col("_path").isin([p for p in found if _listed(p) in paths]))
-    parsed = F.from_csv(
-        "record",
-        _text_schema(header),
-        {"sep": options.delimiter, "escape": '"', "columnNameOfCorruptRecord": "_bad"},
-    )
-    return chosen.withColumn("_fields", parsed).select(
-        "_fields.*", "_path", "source_file", "_block", "_place"
-    )
-
-
 def _parse(
     rows: DataFrame, header: tuple[str, ...], columns: list[str], options: CsvOptions
 ) -> DataFrame:
@@ -278,23 +253,63 @@ def _empty_schema(columns: list[str]) -> str:
 
 
 def _undecodable(
-    spark: SparkSession, paths: list[str], staged: DataFrame, columns: list[str], options: CsvOptions
+    spark: SparkSession,
+    groups: dict[tuple[tuple[str, ...], str], list[str]],
+    staged: DataFrame,
+    columns: list[str],
+    files: list[Found],
+    options: CsvOptions,
 ) -> list[tuple[str, str]]:
     """Path and name of the files that are not valid in their encoding.
 
-    The reader puts U+FFFD where it cannot decode; only files that show one are
-    read again to see whether their bytes are at fault.
+    The reader puts U+FFFD where it cannot decode. In a character set without that character
+    this is proof; in the others the file's bytes are decoded once more, strictly.
     """
-    if not _is_utf8(options) or not columns:
+    if not columns:
         return []
-    marked = " or ".join([f"instr({name(c)}, '�') > 0" for c in [*columns, "_bad"]])
-    suspects = {_listed(r["_path"]) for r in staged.filter(marked).select("_path").distinct().collect()}
-    chosen = [p for p in paths if _plain(p) in suspects]
-    if not chosen:
-        return []
-    broken = spark.read.text(chosen).filter("not is_valid_utf8(value)")
-    named = broken.select("_metadata.file_path", "_metadata.file_name").distinct()
-    return [(r["file_path"], r["file_name"]) for r in named.collect()]
+    marked = " or ".join([f"instr({name(c)}, '\ufffd') > 0" for c in [*columns, "_bad"]])
+    # Paths as rows carry them: URL-encoded, but for copied files.
+    shown = {_listed(r["_path"]): r["_path"] for r in staged.filter(marked).select("_path").distinct().collect()}
+    named = {p for (header, _), paths in groups.items() if any("\ufffd" in c for c in header) for p in paths}
+    chosen = [f for f in files if f.path in named or _plain(f.origin) in shown]
+    if named:
+        shown |= {_listed(r["_path"]): r["_path"] for r in staged.select("_path").distinct().collect()}
+    if chosen and _can_encode("\ufffd", options.encoding):
+        charsets = {_plain(p): charset for (_, charset), paths in groups.items() for p in paths}
+        broken: set[str] = set()
+        for charset in set(charsets.values()):
+            paths = [f.path for f in chosen if charsets.get(_plain(f.path)) == charset]
+            if paths:
+                found = spark.read.format("binaryFile").load([literal(p) for p in paths]).select("path", "content")
+                broken |= {_plain(r["path"]) for r in found.mapInPandas(_broken(charset), "path string").collect()}
+        chosen = [f for f in chosen if _plain(f.path) in broken]
+    return [(shown.get(_plain(f.origin), f.origin), f.origin.rsplit("/", 1)[1]) for f in chosen]
+
+
+def _can_encode(character: str, encoding: str) -> bool:
+    try:
+        return bool(character.encode(encoding))
+    except UnicodeEncodeError:
+        return False
+
+
+def _broken(charset: str):
+    """Paths of the files whose bytes are not valid, a chunk of a file decoded at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bad = []
+            for path, content in zip(batch["path"], batch["content"]):
+                decoder = codecs.getincrementaldecoder(charset)("strict")
+                try:
+                    for at in range(0, len(content), 1 << 20):
+                        decoder.decode(content[at : at + (1 << 20)])
+                    decoder.decode(b"", True)
+                except UnicodeDecodeError:
+                    bad.append(path)
+            yield pd.DataFrame({"path": bad}, dtype=object)
+
+    return run
 
 
 def _scan(
@@ -353,18 +368,20 @@ def _numbered(staged: DataFrame) -> DataFrame:
     first row of its split plus the rows of earlier splits. Only per-split counts
     are aggregated and windowed; rows are joined to them, never sorted per file.
     """
-    splits = staged.groupBy("_path", "_block").agg(
+    # Paths are told apart by a hash here, so that a split's row is a few numbers.
+    staged = staged.withColumn("_file", F.xxhash64("_path"))
+    splits = staged.groupBy("_file", "_block").agg(
         F.min("_place").alias("_first"),
         F.count("*").alias("_rows"),
         F.min(F.expr("case when _state = 'long' then _place end")).alias("_long"),
     )
-    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    cut = F.min(F.expr("_long - _first + _offset + 1")).over(Window.partitionBy("_path"))
+    cut = F.min(F.expr("_long - _first + _offset + 1")).over(Window.partitionBy("_file"))
     splits = stage(
-        splits.withColumn("_cut", cut).select("_path", "_block", "_first", "_offset", "_cut"), "splits"
+        splits.withColumn("_cut", cut).select("_file", "_block", "_first", "_offset", "_cut"), "splits"
     )
-    return staged.join(broadcast_if_small(splits), ["_path", "_block"]).withColumn(
+    return staged.join(broadcast_if_small(splits, SPLITS_BYTES), ["_file", "_block"]).withColumn(
         "row_number", F.expr("_place - _first + _offset + 1")
     )
 

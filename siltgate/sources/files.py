@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
+from siltgate.session import new_path
+
 
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -59,26 +65,115 @@ def require_folder(spark: SparkSession, path: str) -> None:
         raise ValueError(f"input path must be a directory: {path}")
 
 
+@dataclass(frozen=True)
+class Found:
+    """A file to be read at ``path``, found at ``origin``; the two differ for names Spark hides."""
+
+    path: str
+    origin: str
+
+
+# Spark's file sources leave out names that start with an underscore, but for those with an
+# equals sign. Such a file is read from a copy whose name starts like this.
+VISIBLE = "silt="
+COPIERS = 16
+
+
+def find_files(spark: SparkSession, folder: str, pattern: str) -> list[Found]:
+    """Every matching file below ``folder`` whose name does not start with a dot, in order of path.
+
+    Spark lists the folder, many subfolders in parallel, and hides whatever starts with an
+    underscore or a dot. So folders it hides are listed as roots of their own, and files it
+    hides, which are few, are copied to the shared folder under a name it shows.
+    """
+    require_folder(spark, folder)
+    roots, hidden = _hidden_below(spark, folder, pattern)
+    listed: set[str] = set()
+    for root in [folder, *roots]:
+        listed |= {r["path"] for r in list_files(spark, root, pattern).select("path").collect()}
+    found = [Found(path, path) for path in listed] + _copies(spark, folder, hidden)
+    return sorted(found, key=lambda f: f.origin)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """path and length of every matching file below the folder, listed by Spark.
 
     As in every Spark file source, names starting with ``_`` or ``.`` are not seen.
     """
-    require_folder(spark, folder)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(folder)
+        .load(literal(folder))
         .select("path", "length")
     )
 
 
-def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+def literal(path: str) -> str:
+    """A path that Spark and globs take as it is, special characters and all."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _hidden_below(spark: SparkSession, folder: str, pattern: str) -> tuple[list[str], list[str]]:
+    """Folders, and matching files that start with an underscore, which Spark would not list."""
+    fs, top = _file_system(spark, folder)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    base = literal(fs.resolvePath(top).toString())
+    folders: list[str] = []
+    files: list[str] = []
+    depth = 0
+    while True:
+        at = base + "/*" * depth
+        if not len(fs.globStatus(path_of(f"{at}/*")) or []):
+            return folders, files
+        for status in fs.globStatus(path_of(at + "/{_*,.*}")) or []:
+            if status.isDirectory():
+                folders.append(status.getPath().toString())
+        for status in fs.globStatus(path_of(f"{at}/{_underscored(pattern)}")) or []:
+            if status.isFile() and status.getPath().getName().startswith("_"):
+                files.append(status.getPath().toString())
+        depth += 1
+
+
+def _underscored(pattern: str) -> str:
+    """A pattern for the same names, as far as it can tell only those that start with an underscore."""
+    if pattern.startswith("*"):
+        return f"_{pattern}"
+    return f"_{pattern[1:]}" if pattern.startswith("?") else pattern
+
+
+def _copies(spark: SparkSession, folder: str, origins: list[str]) -> list[Found]:
+    if not origins:
+        return []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = new_path(spark, "hidden-names")
+
+    def copy(number: int) -> Found:
+        fs, source = _file_system(spark, origins[number])
+        target = f"{place}/{number}/{VISIBLE}{source.getName()}"
+        to, target_path = _file_system(spark, target)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, to, target_path, False, conf)
+        return Found(to.resolvePath(target_path).toString(), origins[number])
+
+    with ThreadPoolExecutor(COPIERS) as copiers:
+        return list(copiers.map(copy, range(len(origins))))
+
+
+def first_line(spark: SparkSession, path: str, charset: str) -> str | None:
     fs, target = _file_system(spark, path)
     java = spark.sparkContext._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(fs.open(target), encoding))
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(target), charset))
     try:
         return reader.readLine()
     finally:
         reader.close()
+
+
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        found = [stream.read() for _ in range(n)]
+    finally:
+        stream.close()
+    return bytes(b for b in found if b >= 0)

@@ -61,10 +61,9 @@ MESSY = (
 )
 
 
-@pytest.mark.parametrize("multi_line", [None, True])
-def test_messy_file(spark, tmp_path, multi_line):
+def test_messy_file(spark, tmp_path):
     folder = write(tmp_path, m__csv=MESSY, n__csv="id, name ,note\n7,E,f\n")
-    scan = read_csv(spark, folder, RUN_TS, CsvOptions(multi_line=multi_line))
+    scan = read_csv(spark, folder, RUN_TS)
     assert normalized(scan) == [
         ("m.csv", 1, {"id": "1", "name": "Ann", "note": "x"}),
         ("m.csv", 4, {"id": "3", "name": 'Bo "B"\nsecond', "note": "y"}),
@@ -104,14 +103,15 @@ def test_undecodable_file_fails_alone(spark, tmp_path):
     )
 
 
-def test_row_numbers_across_splits(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_row_numbers_across_splits(spark, tmp_path, multi_line):
     lines = "".join(f"{i},{'x' * (i % 40)}\n" for i in range(1, 4001))
     spoiled = lines.replace("3000," + "x" * (3000 % 40), "3000,a,b,c")
     folder = write(tmp_path, a__csv="id,v\n" + lines, b__csv="id,v\n" + spoiled)
     limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
-        scan = read_csv(spark, folder, RUN_TS)
+        scan = read_csv(spark, folder, RUN_TS, CsvOptions(multi_line=multi_line))
         rows = scan.rows.select("source_file", "row_number", "id").collect()
         errors = scan.errors.collect()
     finally:
@@ -122,10 +122,15 @@ def test_row_numbers_across_splits(spark, tmp_path):
     assert [e["error"] for e in errors] == ["Failed to process file: row 3000 has more values than the header"]
 
 
-@pytest.mark.parametrize("encoding", ["utf-16", "utf-8", "iso-8859-1"])
+ENCODINGS = ["utf-8", "utf-16", "utf-16-le", "utf-16-be", "latin-1", "cp1252", "shift_jis"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("encoding", ENCODINGS)
 @pytest.mark.parametrize("split", ["2k", "128m"])
-def test_encodings_above_one_split(spark, tmp_path, encoding, split):
-    text = "id,v\n" + "".join(f"{i},é{i % 7}\n" for i in range(1, 1001))
+def test_encodings_above_one_split(spark, tmp_path, encoding, split, end):
+    letter = "ア" if encoding == "shift_jis" else "é"
+    text = f"id,v{end}" + "".join(f'{i},"{letter}{i % 7},\n"{end}' for i in range(1, 1001))
     folder = write(tmp_path, a__csv=text.encode(encoding))
     limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
@@ -135,7 +140,64 @@ def test_encodings_above_one_split(spark, tmp_path, encoding, split):
         assert scan.errors.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
-    assert sorted(tuple(x) for x in rows) == [(i, str(i), f"é{i % 7}") for i in range(1, 1001)]
+    assert sorted(tuple(x) for x in rows) == [(i, str(i), f"{letter}{i % 7},") for i in range(1, 1001)]
+
+
+BROKEN = {
+    "utf-8": b"\xff", "utf-16": b"\x00\xd8", "utf-16-le": b"\x00\xd8", "utf-16-be": b"\xd8\x00", "cp1252": b"\x81", "shift_jis": b"\x81\xff",
+}
+
+
+@pytest.mark.parametrize("encoding", ENCODINGS)
+@pytest.mark.parametrize("split", ["2k", "128m"])
+def test_undecodable_bytes_in_any_encoding(spark, tmp_path, encoding, split):
+    """A broken file gives one error; a file that holds the replacement character itself none."""
+    good = "id,v\n" + "".join(f"{i},abc\n" for i in range(1, 400))
+    files = {"good__csv": good.encode(encoding)}
+    if encoding in BROKEN:
+        # After the last whole line, as two bytes a character would shift what follows.
+        tail = "400,x".encode(encoding)[2 if encoding == "utf-16" else 0 :]
+        files["bad__csv"] = files["good__csv"] + tail + BROKEN[encoding] + ("\n".encode(encoding)[-2:] if "16" in encoding else b"\n")
+    if encoding.startswith("utf"):
+        files["shown__csv"] = (good + "400,\ufffd\n").encode(encoding)
+    folder = write(tmp_path, **files)
+    rows, errors = scan_in_splits(spark, folder, split, encoding=encoding)
+    assert {r["source_file"] for r in rows} == {n.replace("__", ".") for n in files} - {"bad.csv"}
+    expected = [("bad.csv", None, f"Failed to process file: not valid {encoding}")] if encoding in BROKEN else []
+    assert [(e["source_file"], e["row_number"], e["error"]) for e in errors] == expected
+
+
+def test_utf_16_without_a_mark_and_a_broken_header(spark, tmp_path):
+    folder = write(
+        tmp_path, marked__csv="id,v\n1,é\n".encode("utf-16"), plain__csv="id,v\n2,ü\n".encode("utf-16-le")
+    )
+    scan = read_csv(spark, folder, RUN_TS, CsvOptions(encoding="utf-16"))
+    assert [x[2] for x in normalized(scan)] == [{"id": "1", "v": "é"}, {"id": "2", "v": "ü"}]
+    folder = write(tmp_path / "odd", a__csv=b"id,v\xff\n1,x\n", b__csv="id,v\n2,y\n")
+    scan = read_csv(spark, folder, RUN_TS)
+    assert [x[0] for x in normalized(scan)] == ["b.csv"] and scan.errors.first()["source_file"] == "a.csv"
+
+
+def test_names_and_folders_that_spark_hides(spark, tmp_path):
+    for place in ("", "sub", ".dot", "_under", "sub/.deep [x]/_in", "a=b"):
+        write(tmp_path / place, plain__csv="id,v\n1,a\n", **{"_x__csv": "id,v\n2,b\n3,�\n", "__y__csv": "id,v\n4,c\n"})
+    write(tmp_path, **{"_x__txt": "id,v\n9,z\n"})
+    scan = read_csv(spark, str(tmp_path), RUN_TS)
+    assert scan.file_count == 12 and scan.errors.count() == 0
+    rows = scan.rows.select("source_path", "source_file", "row_number", "id").collect()
+    assert len(rows) == 6 * 3 and {r["source_file"] for r in rows} == {"plain.csv", "_x.csv"}
+    hidden = sorted(r["source_path"].split(tmp_path.name, 1)[1] for r in rows if r["id"] == "2")
+    assert hidden == sorted(f"{p}/_x.csv" for p in ("", "/sub", "/.dot", "/_under", "/sub/.deep [x]/_in", "/a=b"))
+    assert {(r["id"], r["row_number"]) for r in rows} == {("1", 1), ("2", 1), ("3", 2)}
+    bad = write(tmp_path / "bad", **{"_z__csv": b"id,v\n1,\xff\n"})
+    assert read_csv(spark, bad, RUN_TS).errors.first()["source_file"] == "_z.csv"
+
+
+def test_row_numbers_of_many_splits_shuffle_no_row(spark, tmp_path):
+    folder = write(tmp_path, **{f"f{i}__csv": "id,v\n" + "1,x\n" * 5 for i in range(40)})
+    rows = read_csv(spark, folder, RUN_TS).rows
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and rows.count() == 200
 
 
 def test_more_than_a_thousand_files(spark, tmp_path):

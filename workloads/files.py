@@ -157,3 +157,49 @@ def scan_csv_users(spark, sf_dir):
     folder = new_path(spark, "users")
     write_users(users, folder)
     return read_csv(spark, folder, RUN_TS).rows.select(*USER_FIELDS)
+
+
+# Files of 4 rows each.
+SMALL_FILE = 4
+SMALL_LINES = f"""
+select cast(floor(c_custkey / {SMALL_FILE}) as bigint) as file_no, c_custkey as pos,
+  concat(cast(c_custkey as string), ',', c_name) as line from customer
+union all select distinct cast(floor(c_custkey / {SMALL_FILE}) as bigint), -1, 'id,name' from customer
+"""
+
+
+@query(
+    "scan_csv_many_files",
+    f"""select c_custkey // {SMALL_FILE} as file_no, cast(c_custkey as varchar) as id, c_name as name,
+      row_number() over (partition by c_custkey // {SMALL_FILE} order by c_custkey) as row_number,
+      (select count(distinct c_custkey // {SMALL_FILE}) from customer) as files from customer""",
+)
+def scan_csv_many_files(spark, sf_dir):
+    """A file for every four customers."""
+    folder = write_lines(sql(spark, sf_dir, SMALL_LINES, "customer"), "many-files")
+    found = read_csv(spark, folder, RUN_TS, TEXT_FILES)
+    return found.rows.selectExpr(FILE_NO, "id", "name", "row_number", f"{found.file_count}L as files")
+
+
+# A column of letters beyond ASCII, two bytes a character and no mark; values without line breaks.
+UTF16_LINES = f"""select file_no, pos, concat(replace(line, chr(10), ' '), case when pos = -1 then ',é' when line = ' , ,' then ','
+  else concat(',ü', cast(pos as string)) end) as line from ({FILE_LINES}) l"""
+
+
+@query(
+    "scan_csv_utf16",
+    EXPECTED
+    + f"""select file_no, row_number, cast(pos as varchar) as id, replace({NAME}, chr(10), ' ') as name, concat('ü', pos) as mark
+      from kept where kind not in ('short', 'blank')""",
+)
+def scan_csv_utf16(spark, sf_dir):
+    lines = sql(spark, sf_dir, UTF16_LINES, "customer")
+    folder = new_path(spark, "utf16")
+    placed = lines.repartition("file_no").sortWithinPartitions("file_no", "pos")
+    # One column without quotes: the lines as they are.
+    writer = placed.select("file_no", "line").write.partitionBy("file_no").option("encoding", "UTF-16LE")
+    writer.option("quote", "\u0000").option("escapeQuotes", False).option("sep", "\u0001").option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    found = read_csv(spark, folder, RUN_TS, CsvOptions(encoding="utf-16"))
+    return found.rows.selectExpr(FILE_NO, "row_number", "id", "name", "`é` as mark")
