@@ -8,8 +8,10 @@ from siltgate.fixed_values import MONGO
 from siltgate.functions import variants as v
 from siltgate.operators import rules
 from siltgate.operators.canonical import transform
-from siltgate.operators.rulesets import DOCUMENT_USERS, STRICT_USERS
+from siltgate.operators.rulesets import DOCUMENT_USERS, STRICT_USERS, default_registry
+from siltgate.operators.shapes import enveloped, outcomes
 from siltgate.operators.validate import Validation, apply_rule, error_counts, validate
+from siltgate.operators.versions import RULE_TABLE, register_rule_table, validate_versions
 from siltgate.sources.documents import DocumentScan, documents_from, key_text, limited
 from workloads.inputs import DOCUMENT_PARTS, DOCUMENTS, land, sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
@@ -253,3 +255,70 @@ select field_name, error_code, count(*) as n from problems group by all""",
 )
 def validate_strict_users(spark, sf_dir):
     return error_counts(checked_documents(spark, sf_dir, STRICT_USERS).checked)
+
+
+# --- versions in one batch -------------------------------------------------------------
+
+VERSION = "case pos % 5 when 0 then 'v2' when 1 then 'v9' when 2 then cast(null as string) else 'v1' end"
+SECOND_VERSION = [
+    (MONGO, "v2", "field", 1, "user_id", "positive_int", None),
+    (MONGO, "v2", "field", 2, "email", "email", None),
+    (MONGO, "v2", "field", 3, "sex", "non_blank", "gender"),
+]
+
+
+@query(
+    "validate_by_version",
+    EXPECTED
+    + """, versions as (select pos, case pos % 5 when 0 then 'v2' when 1 then 'v9' else 'v1' end as version from parts),
+    second as (
+      select pos, 'user_id' as field_name from ids where clean_id is null or clean_id < 1
+      union all select pos, 'email' from ids where email = 'null' or position('@' in mail) = 0 or position('.' in mail) = 0
+      union all select pos, 'sex' from ids where gender = 'null' or trim(regexp_replace(gender, '"', '', 'g')) = ''),
+    found as (
+      select pos, field_name from errors where pos in (select pos from versions where version = 'v1')
+      union all select pos, field_name from second where pos in (select pos from versions where version = 'v2')
+      union all select pos, 'No schema registered for source_type=mongo version=v9' from versions where version = 'v9')
+    select v.pos, v.version as schema_version, count(f.field_name) as n_errors,
+      coalesce(string_agg(f.field_name, ',' order by f.field_name), '') as fields
+    from versions v left join found f on v.pos = f.pos group by v.pos, v.version""",
+)
+def validate_by_version(spark, sf_dir):
+    """Rows of two registered versions, of none named, and of one that nobody registered."""
+    registry = register_rule_table(default_registry(), spark.createDataFrame(SECOND_VERSION, RULE_TABLE))
+    rows = scan(spark, sf_dir).documents.selectExpr("pos", "document", f"{VERSION} as schema_version")
+    checked = validate_versions(rows, registry, MONGO, RUN_TS, document="document", carry=["pos"]).checked
+    told = "transform(errors, e -> case when e.message like 'No schema%' then e.message else e.field_name end)"
+    return checked.selectExpr(
+        "pos", "schema_version", "cast(size(errors) as bigint) as n_errors", f"array_join(array_sort({told}), ',') as fields"
+    )
+
+
+@query(
+    "validation_outcomes",
+    EXPECTED
+    + """select i.rid as record_id, 'mongo' as source_type, count(e.field_name) = 0 as valid, count(e.field_name) as n_errors,
+      case when count(e.field_name) = 0 then any_value(i.clean_id) end as user_id,
+      coalesce(string_agg(e.error_code, ',' order by e.error_code), '') as codes from ids i left join errors e on e.pos = i.pos
+      group by i.pos, i.rid""",
+)
+def validation_outcomes(spark, sf_dir):
+    return outcomes(checked_documents(spark, sf_dir).checked).selectExpr(
+        "record_id", "source_type", "valid", "cast(size(errors) as bigint) as n_errors",
+        "validated_record.normalized_record.user_id as user_id",
+        "array_join(array_sort(transform(errors, e -> e.error_code)), ',') as codes",
+    )
+
+
+@query(
+    "base_envelope",
+    f"""select 'unknown' as source_name, 'csv' as source_type, cast(s_suppkey as varchar) as record_id,
+      epoch_us(timestamp '{RUN_TS:%Y-%m-%d %H:%M:%S}') as ingested_us, s_name as name, cast(s_nationkey as varchar) as nation,
+      2 as n_fields from supplier""",
+)
+def base_envelope(spark, sf_dir):
+    rows = sql(spark, sf_dir, "select s_suppkey as id, s_name as name, s_nationkey as nation from supplier", "supplier")
+    return enveloped(rows, "csv", "id", RUN_TS).selectExpr(
+        "source_name", "source_type", "record_id", "unix_micros(ingestion_timestamp) as ingested_us",
+        "raw_record['name'] as name", "normalized_record['nation'] as nation", "size(normalized_record) - 1 as n_fields",
+    )
