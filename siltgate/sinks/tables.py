@@ -9,13 +9,14 @@ that older files lack are NULL.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltgate.fixed_values import TARGET_TABLES
+from siltgate.fixed_values import LOAD_TIME_COLUMN, TARGET_TABLES
 from siltgate.functions.text import lit, name
 from siltgate.sources.files import child_names, exists
 
@@ -72,11 +73,32 @@ class TargetTable:
         ]
 
 
-def create_statement(table: str, location: str | None = None) -> str:
-    """Spark DDL for a target as a catalog table."""
+def create_statement(table: str, location: str | None = None, as_name: str | None = None) -> str:
+    """Spark DDL for a target as a catalog table, which fills its load time by itself.
+
+    ``as_name`` is the table's name in the catalog, if another than the layout's.
+    """
     _, schema = TARGET_TABLES[table]
+    stamped = LOAD_TIME_COLUMN.get(table)
+    columns = [
+        f"{name(f.name)} {f.dataType.simpleString()}" + (" default current_timestamp()" if f.name == stamped else "")
+        for f in T.StructType.fromDDL(schema)
+    ]
     place = f" location {lit(location)}" if location else ""
-    return f"create table if not exists {table} ({schema}) using parquet{place}"
+    return f"create table if not exists {as_name or table} ({', '.join(columns)}) using parquet{place}"
+
+
+def insert_rows(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Append rows to a catalog table; columns they lack take the table's default, else NULL."""
+    target = spark.table(table)
+    have = [f for f in target.schema if f.name in rows.columns]
+    typed = rows.select(*[F.col(name(f.name)).cast(f.dataType).alias(f.name) for f in have])
+    view = f"insert_{uuid.uuid4().hex}"
+    typed.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"insert into {table} ({', '.join(name(f.name) for f in have)}) select * from {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def missing_columns(spark: SparkSession, table: str) -> str | None:

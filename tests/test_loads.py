@@ -16,7 +16,7 @@ from siltgate.operators.prefix import running_total_before
 from siltgate.operators.upsert import last_wins, new_records, payload_rows, skipped_records, upsert
 from siltgate.plans.load import last_processed_id, load
 from siltgate.sinks import jdbc
-from siltgate.sinks.tables import TargetTable, ensure_table, to_target
+from siltgate.sinks.tables import TargetTable, create_statement, ensure_table, insert_rows, to_target
 
 
 def ids(frame, column="id"):
@@ -168,6 +168,17 @@ def test_ensure_table_creates_and_adds_columns(spark):
     spark.sql("drop table etl_csv_users")
 
 
+def test_a_table_fills_the_load_time_it_is_not_given(spark):
+    spark.sql("drop table if exists stamped_users")
+    spark.sql(create_statement("etl_csv_users", as_name="stamped_users"))
+    insert_rows(spark, "stamped_users", spark.sql("select 'a' as user_id, '7' as age, 'x' as unknown_column"))
+    insert_rows(spark, "stamped_users", spark.sql("select 'b' as user_id, timestamp '2020-01-01 00:00:00' as updated_at"))
+    rows = {r["user_id"]: r for r in spark.table("stamped_users").collect()}
+    assert rows["a"]["age"] == 7 and rows["a"]["updated_at"] is not None and rows["a"]["full_name"] is None
+    assert rows["b"]["updated_at"].year == 2020
+    spark.sql("drop table stamped_users")
+
+
 def users(spark, *rows):
     return spark.createDataFrame(list(rows), "user_id string, full_name string, seq int").selectExpr(
         "named_struct('user_id', user_id, 'full_name', full_name, 'seq', seq) as canonical_record"

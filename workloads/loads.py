@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from siltgate.fixed_values import TARGET_TABLES
@@ -26,7 +28,7 @@ from siltgate.operators.upsert import (
 from siltgate.plans.load import load, load_summary, upsert_checkpoint
 from siltgate.session import new_path
 from siltgate.sinks.buckets import BucketedTable
-from siltgate.sinks.tables import TargetTable, evolve, to_target
+from siltgate.sinks.tables import TargetTable, create_statement, evolve, insert_rows, to_target
 from workloads.inputs import sql
 from workloads.registry import RUN_TEXT, RUN_TS, query
 from workloads.users import USERS, users
@@ -364,6 +366,26 @@ def target_types(spark, sf_dir):
     )
 
 
+@query(
+    "load_time_default",
+    """select concat('C', c_custkey) as user_id, c_name as full_name, cast(null as varchar) as country, c_custkey % 2 = 0 as stamped_by_table
+      from customer""",
+)
+def load_time_default(spark, sf_dir):
+    """Rows without a load time get it from the table; rows with one keep it."""
+    table, place = f"load_time_{uuid.uuid4().hex}", new_path(spark, "defaults")
+    spark.sql(create_statement("etl_csv_users", place, table))
+    rows = "select concat('C', cast(c_custkey as string)) as user_id, c_name as full_name from customer where c_custkey % 2 = {}"
+    insert_rows(spark, table, sql(spark, sf_dir, rows.format(0), "customer"))
+    stamped = sql(spark, sf_dir, rows.format(1), "customer").withColumn("updated_at", F.to_timestamp(F.lit(RUN_TEXT)))
+    insert_rows(spark, table, stamped)
+    schema = spark.table(table).schema
+    spark.sql(f"drop table {table}")  # its files stay where they are
+    return spark.read.schema(schema).parquet(place).selectExpr(
+        "user_id", "full_name", "country", f"updated_at > to_timestamp('{RUN_TEXT}') as stamped_by_table"
+    )
+
+
 # --- redaction ----------------------------------------------------------------------------------
 
 
