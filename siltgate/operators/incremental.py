@@ -66,9 +66,14 @@ def keep_new(df: DataFrame, id_column: str, last_id: str | None) -> DataFrame:
 
 
 def keep_new_by_source(
-    df: DataFrame, checkpoints: DataFrame, id_column: str, source_column: str = "source_name"
+    df: DataFrame,
+    checkpoints: DataFrame,
+    id_column: str,
+    source_column: str = "source_name",
+    mark: str | None = None,
 ) -> DataFrame:
-    """As keep_new with each row's own source's checkpoint.
+    """As keep_new with each row's own source's checkpoint. With ``mark`` all rows stay, and a
+    column of that name tells the new ones.
 
     The checkpoint table has one row per source. It is staged, so that the size of its files
     decides the join whatever it is derived from: a small one goes to every task, and the rows
@@ -95,7 +100,8 @@ def keep_new_by_source(
     keep = f"_mark is null or {column} is null or {newer}"
     marks = broadcast_if_small(stage(marks, "marks"))
     joined = df.join(marks, F.col(source_column) == F.col("_mark_source"), "left")
-    return joined.filter(keep).drop("_mark_source", "_mark", "_mark_small", "_mark_wide")
+    kept = joined.withColumn(mark, F.expr(f"coalesce({keep}, true)")) if mark else joined.filter(keep)
+    return kept.drop("_mark_source", "_mark", "_mark_small", "_mark_wide")
 
 
 def filter_counts(df: DataFrame, id_column: str, last_id: str | None) -> DataFrame:

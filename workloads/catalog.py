@@ -1,3 +1,3 @@
 """Imports every query module, which fills the registry."""
 
-from workloads import documents, files, loads, pages, products, runs, users  # noqa: F401
+from workloads import documents, files, loads, pages, products, runs, streams, users  # noqa: F401
