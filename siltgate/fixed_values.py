@@ -62,6 +62,27 @@ MESSAGES = {
     "datetime_from_date_parsing": "Input should be a valid datetime or date",
 }
 
+# What a value_error says after "Value error, "; values that failed follow where a text ends in a blank.
+VALUE_ERRORS = {
+    "null": "field is required and must not be None",
+    "required": "{field} is required",
+    "blank": "{field} must not be blank",
+    "email": "email is malformed{hint}: ",
+    "status": "status must be one of {{{allowed}}}, got: ",
+    "opt_in": "{field} must be yes/no/true/false/y/n/1/0, got: ",
+    "active": "is_active must be a boolean, got: ",
+    "date": "{field} must be YYYY-MM-DD, got: ",
+    "moment": "datetime field must be ISO format, got: ",
+    "order": "updated_at must be equal to or after created_at",
+}
+STRICT_EMAIL_ERROR = "value is not a valid email address"
+EMAIL_HINT = " (missing @ or domain)"
+
+# Errors of pages and of CSV rows.
+NOT_JSON = "Response body is not valid JSON"
+NEITHER = "Normalized response payload is neither a list nor an object."
+SHORT_ROW = "Row has missing column value(s)."
+
 # Target tables: columns in order with their stored types, and the key.
 TARGET_TABLES = {
     "etl_csv_users": (

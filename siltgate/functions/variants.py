@@ -56,10 +56,6 @@ def exported_date(value: str) -> str:
     return f"regexp_replace({inner}, 'Z$', '')"
 
 
-def is_object(value: str) -> str:
-    return f"{kind(value)} = '{OBJECT}'"
-
-
 def items(value: str) -> str:
     """The elements of a list value as array<variant>."""
     return f"try_variant_get({value}, '$', 'array<variant>')"

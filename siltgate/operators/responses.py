@@ -17,6 +17,8 @@ from siltgate.fixed_values import (
     BACKOFF_SECONDS,
     BODY_EXCERPT,
     MAX_RETRIES,
+    NEITHER,
+    NOT_JSON,
     RETRY_STATUSES,
 )
 from siltgate.functions import variants as v
@@ -24,8 +26,6 @@ from siltgate.functions.text import lit
 from siltgate.operators.prefix import running_total_before
 from siltgate.session import broadcast_if_small, counted, stage
 
-NOT_JSON = "Response body is not valid JSON"
-NEITHER = "Normalized response payload is neither a list nor an object."
 PAGE = ["source", "page_index"]
 
 

@@ -16,8 +16,10 @@ from siltgate.fixed_values import (
     OPT_IN_FALSE,
     OPT_IN_TRUE,
     STATUSES,
+    STRICT_EMAIL_ERROR,
     STRICT_FALSE,
     STRICT_TRUE,
+    VALUE_ERRORS,
 )
 from siltgate.functions import moments, numbers
 from siltgate.functions import variants as v
@@ -188,7 +190,7 @@ def stripped_text(cell: Cell) -> Outcome:
         value,
         [
             (cell.missing, MISSING),
-            (cell.absent, value_error("field is required and must not be None")),
+            (cell.absent, value_error(VALUE_ERRORS["null"])),
             (f"{value} = ''", _too_short(1)),
         ],
     )
@@ -200,8 +202,8 @@ def non_blank(cell: Cell) -> Outcome:
         value,
         [
             (cell.missing, MISSING),
-            (cell.absent, value_error(f"{cell.name} is required")),
-            (f"{value} = ''", value_error(f"{cell.name} must not be blank")),
+            (cell.absent, value_error(VALUE_ERRORS["required"].format(field=cell.name))),
+            (f"{value} = ''", value_error(VALUE_ERRORS["blank"].format(field=cell.name))),
         ],
     )
 
@@ -230,9 +232,9 @@ def email(hint: str = "") -> Rule:
             value,
             [
                 (cell.missing, MISSING),
-                (cell.absent, value_error("email is required")),
-                (f"{value} = ''", value_error("email must not be blank")),
-                (malformed_email(value), value_error(f"email is malformed{hint}: ", quoted(value))),
+                (cell.absent, value_error(VALUE_ERRORS["required"].format(field="email"))),
+                (f"{value} = ''", value_error(VALUE_ERRORS["blank"].format(field="email"))),
+                (malformed_email(value), value_error(VALUE_ERRORS["email"].format(hint=hint), quoted(value))),
             ],
         )
 
@@ -255,7 +257,7 @@ def strict_email(cell: Cell) -> Outcome:
             (f"not {cell.is_kind(v.TEXT)}", problem("string_type")),
             (
                 f"not ({matches(value, STRICT_EMAIL)})",
-                Problem("value_error", lit("value is not a valid email address")),
+                Problem("value_error", lit(STRICT_EMAIL_ERROR)),
             ),
         ],
     )
@@ -275,7 +277,7 @@ def status(cell: Cell) -> Outcome:
             (cell.missing, MISSING),
             (
                 f"{value} not in {words(STATUSES)}",
-                value_error(f"status must be one of {{{allowed}}}, got: ", quoted(value)),
+                value_error(VALUE_ERRORS["status"].format(allowed=allowed), quoted(value)),
             ),
         ],
     )
@@ -293,7 +295,7 @@ def opt_in(cell: Cell) -> Outcome:
     word = cell.let("word", f"lower({strip(cell.text)})")
     value = _word_flag(word, OPT_IN_TRUE, OPT_IN_FALSE)
     unknown = f"not {cell.absent} and {word} not in {words(('', *OPT_IN_TRUE, *OPT_IN_FALSE))}"
-    message = f"{cell.name} must be yes/no/true/false/y/n/1/0, got: "
+    message = VALUE_ERRORS["opt_in"].format(field=cell.name)
     return Outcome(value, [(unknown, value_error(message, quoted(cell.text)))])
 
 
@@ -311,7 +313,7 @@ def active_flag(cell: Cell) -> Outcome:
         value,
         [
             (cell.missing, MISSING),
-            (f"{value} is null", value_error("is_active must be a boolean, got: ", got)),
+            (f"{value} is null", value_error(VALUE_ERRORS["active"], got)),
         ],
     )
 
@@ -371,7 +373,7 @@ def iso_date(cell: Cell) -> Outcome:
             (cell.missing, MISSING),
             (
                 f"{value} is null",
-                value_error(f"{cell.name} must be YYYY-MM-DD, got: ", quoted(shown)),
+                value_error(VALUE_ERRORS["date"].format(field=cell.name), quoted(shown)),
             ),
         ],
     )
@@ -386,7 +388,7 @@ def iso_moment(cell: Cell) -> Outcome:
             (cell.missing, MISSING),
             (
                 f"{cell.part('at')} is null",
-                value_error("datetime field must be ISO format, got: ", quoted(shown)),
+                value_error(VALUE_ERRORS["moment"], quoted(shown)),
             ),
         ],
     )

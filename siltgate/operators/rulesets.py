@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from siltgate.fixed_values import API, CSV, DEFAULT_VERSION, MONGO, SOURCE_TYPES
+from siltgate.fixed_values import API, CSV, DEFAULT_VERSION, EMAIL_HINT, MONGO, SOURCE_TYPES, VALUE_ERRORS
 from siltgate.functions import variants
 from siltgate.operators import rules
 from siltgate.operators.rules import Cell, Outcome, Rule
@@ -59,7 +59,7 @@ def updated_after_created(cells: dict[str, Cell]) -> tuple[str, Outcome]:
     reason = "\"can't compare offset-naive and offset-aware datetimes\""
     return "updated_at", Outcome(
         updated.text,
-        [(early, rules.value_error("updated_at must be equal to or after created_at"))],
+        [(early, rules.value_error(VALUE_ERRORS["order"]))],
         f"case when {both} and {mixed} then {reason} end",
     )
 
@@ -70,7 +70,7 @@ CSV_USERS = RuleSet(
     (
         FieldRule("user_id", rules.any_as_text),
         FieldRule("full_name", rules.required_text),
-        FieldRule("email", rules.email(" (missing @ or domain)")),
+        FieldRule("email", rules.email(EMAIL_HINT)),
         FieldRule("phone", rules.optional_phone),
         FieldRule("signup_date", rules.iso_date),
         FieldRule("country", rules.required_text),

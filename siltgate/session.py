@@ -46,7 +46,17 @@ def use_folder(path: str) -> None:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/siltgate/{label}-{uuid.uuid4().hex}"
+    return f"{_staged_by(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _staged_by(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/siltgate/{spark.sparkContext.applicationId}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Remove all this application has staged, once nothing that reads it is needed any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged_by(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

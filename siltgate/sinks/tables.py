@@ -1,7 +1,8 @@
 """Target tables as versioned parquet folders.
 
 A new state is written to a new version folder and counts once its ``_SUCCESS``
-marker is there, so a failed write leaves the old state in place. New rows are
+marker is there, so a failed write leaves the old state in place. The state before
+it stays for those who are still reading it; older ones are removed. New rows are
 appended to the current version. Reading applies the declared schema: columns
 that older files lack are NULL.
 """
@@ -18,9 +19,10 @@ from pyspark.sql import types as T
 
 from siltgate.fixed_values import LOAD_TIME_COLUMN, TARGET_TABLES
 from siltgate.functions.text import lit, name
-from siltgate.sources.files import child_names, exists
+from siltgate.sources.files import child_names, exists, remove
 
 VERSION = re.compile(r"^v(\d{9})$")
+KEPT_VERSIONS = 2
 
 
 @dataclass(frozen=True)
@@ -35,11 +37,16 @@ class TargetTable:
         key, schema = TARGET_TABLES[table]
         return TargetTable(spark, f"{folder.rstrip('/')}/{table}", key, schema)
 
-    def _version(self) -> int:
+    def _versions(self) -> list[int]:
+        """Versions begun, the newest first."""
         found = [VERSION.match(n) for n in child_names(self.spark, self.path)]
-        numbers = sorted((int(m.group(1)) for m in found if m), reverse=True)
-        done = (n for n in numbers if exists(self.spark, f"{self._folder(n)}/_SUCCESS"))
-        return next(done, 0)
+        return sorted((int(m.group(1)) for m in found if m), reverse=True)
+
+    def _done(self) -> list[int]:
+        return [n for n in self._versions() if exists(self.spark, f"{self._folder(n)}/_SUCCESS")]
+
+    def _version(self) -> int:
+        return next(iter(self._done()), 0)
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/v{version:09d}"
@@ -52,7 +59,11 @@ class TargetTable:
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
     def replace(self, df: DataFrame) -> None:
-        df.select(*self._typed(df)).write.parquet(self._folder(self._next()))
+        df.select(*self._typed(df)).write.parquet(self._folder(max(self._versions(), default=0) + 1))
+        kept = self._done()[:KEPT_VERSIONS]
+        for version in self._versions():
+            if version < kept[-1]:
+                remove(self.spark, self._folder(version))
 
     def append(self, df: DataFrame) -> None:
         version = self._version()
@@ -61,10 +72,6 @@ class TargetTable:
         else:
             df.select(*self._typed(df)).write.mode("append").parquet(self._folder(version))
 
-    def _next(self) -> int:
-        found = [VERSION.match(n) for n in child_names(self.spark, self.path)]
-        return max((int(m.group(1)) for m in found if m), default=0) + 1
-
     def _typed(self, df: DataFrame) -> list:
         wanted = T.StructType.fromDDL(self.schema)
         return [

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from siltgate.fixed_values import SHORT_ROW
 from siltgate.functions.text import all_blank, lit, name, strip
 from siltgate.session import broadcast_if_small, new_path, stage
 from siltgate.sources.files import VISIBLE, Found, find_files, first_bytes, first_line, literal
 
-SHORT_ROW = "Row has missing column value(s)."
 # First lines are read by so many threads at once.
 HEADER_READERS = 32
 # A row of numbers per split is sent to every task up to this many bytes of parquet; about a

@@ -209,3 +209,16 @@ def test_one_failure_does_not_stop_the_others(spark, tmp_path, documents):
     assert set(ended.value.failures) == {"mongo_users"}
     assert ended.value.results["api_products"].counts["inserted"] == 1
     assert TargetTable.named(spark, str(tmp_path), API_PRODUCTS.table).read().count() == 1
+
+
+def test_staged_tables_are_removed_on_demand(tmp_path, spark):
+    from siltgate.session import new_path, remove_staged, stage
+
+    other = "/".join(new_path(spark, "x").split("/")[:-2]) + "/another-application/kept"
+    spark.range(3).write.parquet(other)
+    staged = stage(spark.range(5), "gone")
+    assert staged.count() == 5
+    remove_staged(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(*staged.inputFiles()).count()
+    assert spark.read.parquet(other).count() == 3

@@ -234,6 +234,16 @@ def test_an_unfinished_version_is_not_read(spark, tables, tmp_path):
     assert target.read().count() == 1
 
 
+def test_old_versions_are_removed(spark, tables, tmp_path):
+    target, _ = tables
+    for i in range(4):
+        former = target.read()
+        target.replace(spark.sql(f"select 'u{i}' as user_id"))
+        assert former.count() == min(i, 1)  # still there for its readers
+    assert sorted(p.name for p in (tmp_path / "etl_csv_users").iterdir()) == ["v000000003", "v000000004"]
+    assert target.read().first()["user_id"] == "u3"
+
+
 def test_relational_statements():
     text = jdbc.postgres_upsert("t", "s", ["id", "a", "b"], "id")
     assert text == (
