@@ -106,7 +106,7 @@ def test_fingerprints_and_components(spark, docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("bucket,halves", [(1024, True), (3, True), (1024, False)])
+@pytest.mark.parametrize("bucket,halves", [(1024, True), (12, True), (3, True), (1, True), (1024, False), (3, False)])
 def test_links_connect_all_near_fingerprints(spark, bucket, halves):
     rng = np.random.default_rng(5)
     values = {0}
@@ -526,6 +526,25 @@ def test_simhash_query(spark):
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in QUERIES["op1_simhash"](spark, SF).collect()}
     marks = {i: plain_fingerprint(t) for i, t in texts.items()}
     assert {i: f"{m:016x}" for i, m in marks.items()} == {i: f for i, (f, _) in got.items()}
+    least = {i: i for i in marks}
+    while True:  # every pair, until nothing moves
+        moved = {
+            i: min(least[j] for j, other in marks.items() if (mark ^ other).bit_count() <= 4) for i, mark in marks.items()
+        }
+        if moved == least:
+            break
+        least = moved
+    assert {i: c for i, (_, c) in got.items()} == least
+
+
+def test_a_large_group_of_near_copies_is_one_component(spark):
+    rng = np.random.default_rng(2)
+    masks = [sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for _ in range(3000)]
+    values = sorted({0x5DEECE66D1234567 ^ m for m in masks})
+    frame = spark.createDataFrame([(v,) for v in values], "fp bigint")
+    for bucket in (simhash.BUCKET, 100):
+        roots = graph.components(simhash.links(frame, bucket=bucket)).collect()
+        assert len(roots) == len(values) - 1 and len({r["root"] for r in roots}) == 1
 
 
 def test_pipeline(spark, no_docs):
