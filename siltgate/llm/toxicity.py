@@ -44,8 +44,8 @@ LANDMARKS = 384
 GUILTY = 1_000
 INNOCENT = 4_000
 ROUNDS = 2
-CACHED_UNITS = 800_000
-BLOCK_UNITS = 200_000  # texts are scored together until they have so many
+MARGIN = "silt_margin"
+BLOCK_CHARS = 300_000  # texts are scored together until they have so many
 
 _PATTERNS = [(0, a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "¡¿«»„“”‘’…–—"
@@ -155,6 +155,15 @@ def cosines(strings: list[str]) -> np.ndarray:
     return found / size[:, None] / size[None, :]
 
 
+_NORMS = np.array(
+    [
+        sum((length - p[-1]) * DECAY ** (2 * p[-1] + 2) for p in _PATTERNS if p[-1] < length) ** 0.5 or 1.0
+        for length in range(LONGEST + 1)
+    ]
+)
+_SPANS = range(LENGTH - 1, SPAN)
+
+
 @dataclass
 class Model:
     """One weight per subsequence, a bias, and the logistic curve of the score."""
@@ -164,21 +173,27 @@ class Model:
     bias: float
     slope: float = 4.0
     middle: float = 0.0
-    known: dict[str, float] = field(default_factory=dict, repr=False)
+    # Look-ups a worker makes once: 64 MB, 4 MB and 3 MB.
     table: np.ndarray | None = field(default=None, repr=False)
+    framed: np.ndarray | None = field(default=None, repr=False)
+    kinds: tuple[np.ndarray, np.ndarray, np.ndarray] | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}, "table": None}
+        return {**self.__dict__, "table": None, "framed": None, "kinds": None}
 
-    def sums(self, strings: list[str]) -> np.ndarray:
-        """The weighted sum of each string's subsequences."""
+    def weight_of(self) -> np.ndarray:
         if self.table is None:  # 24 bits of code, 64 MB
             self.table = np.zeros(1 << 24, dtype=np.float32)
             self.table[self.codes] = self.weights
+        return self.table
+
+    def sums(self, strings: list[str]) -> np.ndarray:
+        """The weighted sum of each string's subsequences."""
+        table = self.weight_of()
         out = np.zeros(len(strings))
         for at, chars in by_length(strings):
             for code, value in coded(chars):
-                out[at] += value * self.table[code].sum(axis=1)
+                out[at] += value * table[code].sum(axis=1)
         return out
 
     def margins(self, found: list[str]) -> np.ndarray:
@@ -194,31 +209,212 @@ class Model:
         np.maximum.at(out, owner, self.sums(strings) + self.bias)
         return out
 
+    def short_sums(self) -> np.ndarray:
+        """The sums of all framed strings of two and three characters, by their classes."""
+        if self.framed is None:
+            table = self.weight_of()
+            classes = np.arange(1 << 18, dtype=np.int32)
+            inner = [(classes >> shift) & 63 for shift in (12, 6, 0)]
+            first, last = (np.full(len(classes), _CLASS[c], dtype=np.int32) for c in (2, 3))
+            out = np.zeros((2, len(classes)))
+            for row, chars in ((0, [first, inner[1], inner[2], last]), (1, [first, *inner, last])):
+                for code, value in coded(np.stack(chars, axis=1)):
+                    out[row] += value * table[code].sum(axis=1)
+            self.framed = out
+        return self.framed
+
     def worst(self, texts: list[str | None]) -> Iterator[float]:
         """The largest margin of each text's units; the bias for a text without any."""
-        block: list[set[str]] = []
+        block: list[str] = []
         held = 0
         for text in texts:
-            block.append(units(text))
+            block.append(text.lower() if text else "")
             held += len(block[-1])
-            if held >= BLOCK_UNITS:
+            if held >= BLOCK_CHARS:
                 yield from self._worst_of(block)
                 block, held = [], 0
         yield from self._worst_of(block)
 
-    def _worst_of(self, block: list[set[str]]) -> Iterator[float]:
-        """The same for the units of some texts; what is new among them is scored together."""
-        known = self.known
-        new = set().union(*block).difference(known)
-        if len(known) + len(new) > CACHED_UNITS:
-            known.clear()
-            new = set().union(*block)
-        unseen = list(new)
-        for at in range(0, len(unseen), 20_000):
-            part = unseen[at : at + 20_000]
-            known.update(zip(part, self.margins(part).tolist()))
-        for found in block:
-            yield max(map(known.__getitem__, found), default=self.bias)
+    def _worst_of(self, block: list[str]) -> Iterator[float]:
+        """The same for some lowered texts: every window of every unit from running sums."""
+        best = np.full(len(block), -np.inf)
+        if len(self.codes):
+            self.kinds = self.kinds or _kinds()
+            for chars, owner, start, stop in spelled(block, *self.kinds):
+                np.maximum.at(best, owner, self._window_sums(chars, start, stop))
+        return iter(np.maximum(best, 0.0) + self.bias)
+
+    def _window_sums(self, chars: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The normalized sums of the windows [start, stop) of a row of character classes."""
+        length = stop - start
+        out = np.full(len(start), -np.inf)
+        fits = np.flatnonzero(length >= LENGTH)
+        first, last, size = start[fits], stop[fits], length[fits]
+        total = np.zeros(len(fits))
+        for span, running in self._running(chars):
+            total += np.where(size > span, running[np.maximum(last - span, first)] - running[first], 0.0)
+        out[fits] = total / _NORMS[size]
+        for row, size in ((0, 2), (1, 3)):
+            framed = np.flatnonzero(length == size)
+            code = np.zeros(len(framed), dtype=np.int64)
+            for i in range(size):
+                code = (code << 6) | chars[start[framed] + i]
+            out[framed] = self.short_sums()[row][code]
+        return out
+
+    def _running(self, chars: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(span, running sums): what the subsequences of each span that begin before a place weigh."""
+        table, n = self.weight_of(), len(chars)
+        pairs = {d: (chars[: n - d] << 6) | chars[d:] for d in range(1, SPAN) if d < n}
+        for span in _SPANS:
+            running = np.zeros(n + 1)
+            if n > span:
+                here = np.zeros(n - span, dtype=np.float32)
+                for _, a, b, c in _PATTERNS:
+                    if c == span:
+                        code = (pairs[a][: n - span] << 12) | pairs[c - b][b : b + n - span]
+                        here += table[code]
+                np.cumsum(here, dtype=np.float64, out=running[1 : n - span + 1])
+                running[n - span + 1 :] = running[n - span]
+                running *= DECAY ** (span + 1)
+            yield span, running
+
+
+# --- units as places in a row of characters -----------------------------------------
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: whether it is white space, a letter or digit, or one of the outer marks."""
+    every = [chr(c) for c in range(0x110000)]
+    blank = np.fromiter((c.isspace() for c in every), dtype=bool, count=len(every))
+    alnum = np.fromiter((c.isalnum() for c in every), dtype=bool, count=len(every))
+    edge = np.zeros(len(every), dtype=bool)
+    edge[[ord(c) for c in _EDGES]] = True
+    return blank, alnum, edge
+
+
+def spelled(
+    block: list[str], blank: np.ndarray, alnum: np.ndarray, edge: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(character classes, text number, start, stop) of all windows that ``windows`` gives for the
+    units of some lowered texts, in three spellings: words one space apart, letters and digits
+    alone, and runs of short words without their spaces."""
+    joined = "\n".join(block) + "\n"
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    sizes = np.fromiter(map(len, block), dtype=np.int64, count=len(block)) + 1
+    inside = ~blank[codes]
+    turn = np.flatnonzero(np.diff(inside, prepend=False))
+    start, stop = turn[0::2], turn[1::2]  # of words
+    n = len(start)
+    if not n:
+        return
+    text = np.searchsorted(np.cumsum(sizes), start, side="right")
+    plain = alnum[codes]
+    letters = np.concatenate([[0], np.cumsum(plain)])  # before each place
+    clean = letters[stop] - letters[start] == stop - start
+    classes = _CLASS[codes & 0xFFFF]
+    next_same = np.zeros(n, dtype=bool)
+    next_same[:-1] = text[1:] == text[:-1]
+    first = np.flatnonzero(next_same)  # words with a neighbour after them
+    # Where a word begins and ends without its outer marks; an empty one begins at its end.
+    solid = np.flatnonzero(inside & ~edge[codes])
+    solid = np.append(solid, len(codes))
+    low = np.minimum(solid[np.searchsorted(solid, start)], stop)
+    high = np.where(low < stop, solid[np.searchsorted(solid, stop) - 1] + 1, stop)
+
+    # Words one space apart: a word's place is the letters before it and a space for each word.
+    kept = inside.copy()
+    kept[stop] = True
+    place = np.concatenate([[0], np.cumsum(kept)])
+    row = np.where(inside, classes, _CLASS[32])[kept]
+    # A neighbour of marks alone is stripped to the space.
+    left = np.where(low[first] < stop[first], low[first], stop[first])
+    right = np.where(low[first + 1] < stop[first + 1], high[first + 1], start[first + 1])
+    lone = (low[first] >= stop[first]) & (low[first + 1] >= stop[first + 1])
+    pair_left, pair_right = place[left], place[right]
+    yield row, *_windows_of(
+        np.concatenate([text, text[first][~lone]]),
+        np.concatenate([place[low], pair_left[~lone]]),
+        np.concatenate([place[high], pair_right[~lone]]),
+    )
+
+    # Letters and digits alone, for units that have anything else: words with marks, all pairs,
+    # and short words in a row.
+    runs_owner, runs_start, runs_stop, marked = _short_runs(text, stop - start, clean)
+    marked_words = np.flatnonzero(~clean)
+    yield classes[plain], *_windows_of(
+        np.concatenate([text[marked_words], text[first], runs_owner]),
+        letters[np.concatenate([start[marked_words], start[first], start[runs_start]])],
+        letters[np.concatenate([stop[marked_words], stop[first + 1], stop[runs_stop]])],
+    )
+    # The same runs with their inner marks.
+    owner, begin, end = runs_owner[marked], runs_start[marked], runs_stop[marked]
+    if len(owner):
+        # Words at the ends that are marks alone go with their marks.
+        used = np.zeros(n + 1, dtype=np.int64)
+        np.add.at(used, begin, 1)
+        np.add.at(used, end + 1, -1)
+        word_used = np.cumsum(used)[:n] > 0
+        mask = np.zeros(len(codes) + 1, dtype=np.int64)
+        mask[start[word_used]] += 1
+        mask[stop[word_used]] -= 1
+        mask = np.cumsum(mask)[: len(codes)] > 0
+        at = np.concatenate([[0], np.cumsum(mask)])
+        from_, to = solid[np.searchsorted(solid, start[begin])], solid[np.searchsorted(solid, stop[end]) - 1] + 1
+        whole = from_ < to
+        yield classes[mask], *_windows_of(owner[whole], at[from_[whole]], at[to[whole]])
+
+
+def _windows_of(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units as they are, but over-long ones in overlapping windows, as ``_cut`` cuts them."""
+    length = stop - start
+    short = (length <= LONGEST) & (length > 1)
+    long = np.flatnonzero(length > LONGEST)
+    if not len(long):
+        return owner[short], start[short], stop[short]
+    step = LONGEST // 2
+    counts = -(-(length[long] - step) // step)
+    which = np.repeat(long, counts)
+    number = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+    begin = start[which] + number * step
+    return (
+        np.concatenate([owner[short], owner[which]]),
+        np.concatenate([start[short], begin]),
+        np.concatenate([stop[short], np.minimum(begin + LONGEST, stop[which])]),
+    )
+
+
+def _short_runs(
+    text: np.ndarray, length: np.ndarray, clean: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, last word, whether any word has marks) of the joined units: three to
+    ``JOINED`` short words in a row, and all of four or more lone characters in a row."""
+    n = len(text)
+    marks_before = np.concatenate([[0], np.cumsum(~clean)])
+    first: list[np.ndarray] = []
+    last: list[np.ndarray] = []
+    for size_limit in (3, 1):
+        member = length <= size_limit
+        begins = np.flatnonzero(member & ~np.concatenate([[False], member[:-1] & (text[1:] == text[:-1])]))
+        # A run ends where the next word is no member or of another text.
+        goes_on = np.concatenate([member[1:] & (text[1:] == text[:-1]), [False]])
+        ends = np.flatnonzero(member & ~goes_on)
+        if size_limit == 1:
+            chosen = ends - begins >= 3
+            first.append(begins[chosen])
+            last.append(ends[chosen])
+            continue
+        run = np.zeros(n, dtype=np.int64)
+        run[begins] = 1
+        end_of = np.full(n, -1, dtype=np.int64)
+        in_run = np.flatnonzero(member)
+        end_of[in_run] = ends[np.cumsum(run)[in_run] - 1]
+        for size in range(3, JOINED + 1):
+            begin = in_run[in_run + size - 1 <= end_of[in_run]]
+            first.append(begin)
+            last.append(begin + size - 1)
+    begin, end = np.concatenate(first), np.concatenate(last)
+    return text[begin], begin, end, marks_before[end + 1] > marks_before[begin]
 
 
 # --- training -------------------------------------------------------------------
@@ -409,7 +605,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4)
 def _calibrated(model: Model, sample: DataFrame) -> Model:
     """The logistic curve that fits the margins of the sampled texts (two numbers each, so bounded)."""
     scored = margins(sample, model, "toxic").collect()
-    margin = np.array([r["margin"] for r in scored])
+    margin = np.array([r[MARGIN] for r in scored])
     label = np.array([r["toxic"] for r in scored], dtype=float)
     # Smoothed targets and a small penalty keep the curve gentle where the labels separate.
     n1, n0 = label.sum(), len(label) - label.sum()
@@ -441,18 +637,18 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
 
 
 def margins(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``margin``, that of the whole text."""
-    narrow = docs.select(*keep, "text")
+    """The columns ``keep`` of ``docs`` with ``MARGIN``, that of the whole text."""
+    narrow = docs.select(*[f"`{k}`" for k in keep], "text")
 
     def run(batches):
         shared = _in_worker(model)
         for batch in batches:
             found = list(shared.worst(batch.column(batch.num_columns - 1).to_pylist()))
             columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], [*keep, "margin"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], [*keep, MARGIN])
 
-    schema = ", ".join(f"`{k}` {narrow.schema[k].dataType.simpleString()}" for k in keep)
-    return narrow.mapInArrow(run, f"{schema}, margin double" if keep else "margin double")
+    schema = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep]
+    return narrow.mapInArrow(run, ", ".join([*schema, f"{MARGIN} double"]))
 
 
 def _in_worker(model: Model) -> Model:
@@ -460,17 +656,25 @@ def _in_worker(model: Model) -> Model:
     return held_in_worker(("toxicity", model.weights.tobytes()), lambda: model)
 
 
+def _curve(model: Model) -> Column:
+    return 1 / (1 + F.exp(F.lit(-model.slope) * (F.col(MARGIN) - F.lit(model.middle))))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if 0.5 or more) added.
 
     A null, empty or blank text has no unit and gets the score of the bias. Scores depend on the
-    text alone, so repeated rows agree. All other columns come back as they are.
+    text alone, so repeated rows agree. All other columns come back as they are; of columns that
+    are called ``score`` or ``predicted`` already the model's take the place.
     """
-    return score_columns(docs, model, *docs.columns)
+    return score_columns(docs, model, *[c for c in docs.columns if c not in ("score", "predicted")])
 
 
 def score_columns(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    out = margins(docs, model, *keep)
-    curve = 1 / (1 + F.exp(F.lit(-model.slope) * (F.col("margin") - F.lit(model.middle))))
-    scored = out.withColumn("score", curve).drop("margin")
+    scored = margins(docs, model, *keep).withColumn("score", _curve(model)).drop(MARGIN)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` the model does not reject, as they are, whatever their columns are called."""
+    return margins(docs, model, *docs.columns).where(_curve(model) < 0.5).drop(MARGIN)

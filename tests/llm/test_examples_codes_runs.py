@@ -1,6 +1,7 @@
 """Example packing, vector codes and periodic runs against brute force and exact round trips."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 
 import check_queries
-from siltgate.llm import example_packing, periodic_runs, queries, vector_codes
+from siltgate.llm import example_packing, periodic_runs, queries, toxicity, vector_codes
 from siltgate.llm.example_packing import Limits, fill
 from siltgate.llm.registry import ORACLES, QUERIES
 
@@ -308,3 +309,55 @@ def test_digests_of_a_document_without_runs(spark):
     row = QUERIES["op13_periodic_runs"](spark, SF).where("n_runs = 0").first()
     assert row["runs_sha256"] == hashlib.sha256(b"").hexdigest()
     assert [row[c] for c in ("start", "length", "period", "exponent_milli")] == [None] * 4
+
+
+# --- toxicity: running sums against one unit at a time ------------------------------
+
+
+def plain_kernel(x, y):
+    """The gapped kernel by its definition: every four places of either string."""
+
+    def places(s):
+        return [p for p in itertools.combinations(range(len(s)), 4) if p[-1] - p[0] < toxicity.SPAN]
+
+    def weight(p):
+        return toxicity.DECAY ** (p[-1] - p[0] + 1)
+
+    size = [math.sqrt(sum(weight(p) ** 2 for p in places(s))) for s in (x, y)]
+    found = sum(
+        weight(p) * weight(q) for p in places(x) for q in places(y) if [x[i] for i in p] == [y[i] for i in q]
+    )
+    return found / size[0] / size[1] if all(size) else 0.0
+
+
+def test_kernel_equals_its_definition():
+    strings = ["idiot", "id-iot", "i.d.i.o.t", "abcd", "dcba", "aaaaaaa", "moron", "abc", "idiots are"]
+    found = toxicity.kernel(strings, strings)
+    for i, x in enumerate(strings):
+        for j, y in enumerate(strings):
+            # Marks are told apart by classes of their own, so these few do not collide.
+            assert math.isclose(found[i, j], plain_kernel(x, y), rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_running_sums_equal_one_unit_at_a_time(monkeypatch):
+    random.seed(4)
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 24, 3_000_000)).astype(np.int32)
+    model = toxicity.Model(codes, rng.normal(size=len(codes)).astype(np.float32), -0.2)
+    texts = ["", None, "!!", "a b c d e", "id iot", "I. d, i. o; t", "-- a --", "x !! y", "a-" * 40, "ab cd ef gh ij kl mn op qr", "x\x1cy"]
+    texts += ["".join(random.choices("aBc.-_! é日\n1", k=random.randrange(70))) for _ in range(600)]
+    plain = [max(model.margins(sorted(toxicity.units(t))), default=model.bias) for t in texts]
+    assert np.allclose(list(model.worst(texts)), plain, atol=1e-6)
+    monkeypatch.setattr(toxicity, "BLOCK_CHARS", 50)
+    assert np.allclose(list(model.worst(texts)), plain, atol=1e-6)
+
+
+def test_toxicity_beside_columns_of_the_same_names(spark):
+    rows = [(1, "you idiot", 0.25, 7, "m", "x"), (1, "you idiot", 0.25, 7, "m", "x"), (2, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score double, predicted int, margin string, `a b` string")
+    row, code, value = toxicity.subsequences(["idiot"])
+    codes, place = np.unique(code, return_inverse=True)
+    model = toxicity.Model(codes, 9 * np.bincount(place, value), -1.0)
+    assert sorted(r["predicted"] for r in toxicity.score(docs, model).collect()) == [0, 1, 1]
+    kept = toxicity.accepted(docs, model)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [rows[2]]
