@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from the labelled documents of ``sf_dir``, held-out fold left out.
     """
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
