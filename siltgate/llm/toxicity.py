@@ -173,27 +173,39 @@ class Model:
     bias: float
     slope: float = 4.0
     middle: float = 0.0
-    # Look-ups a worker makes once: 64 MB, 4 MB and 3 MB.
-    table: np.ndarray | None = field(default=None, repr=False)
+    # Look-ups a worker makes once: a few MB each.
+    table: tuple[np.ndarray, np.ndarray] | None = field(default=None, repr=False)
     framed: np.ndarray | None = field(default=None, repr=False)
     kinds: tuple[np.ndarray, np.ndarray, np.ndarray] | None = field(default=None, repr=False)
 
     def __getstate__(self):
         return {**self.__dict__, "table": None, "framed": None, "kinds": None}
 
-    def weight_of(self) -> np.ndarray:
-        if self.table is None:  # 24 bits of code, 64 MB
-            self.table = np.zeros(1 << 24, dtype=np.float32)
-            self.table[self.codes] = self.weights
+    def blocks(self) -> tuple[np.ndarray, np.ndarray]:
+        """(where the block of a first pair of characters begins, weights by block and second pair).
+
+        Pairs that begin no subsequence of the model share a block of zeros, which is where
+        most of a text looks, so the looks stay in the processor's cache.
+        """
+        if self.table is None:
+            first = np.unique(self.codes >> 12)
+            begins = np.zeros(1 << 12, dtype=np.int32)
+            begins[first] = np.arange(1, len(first) + 1, dtype=np.int32) << 12
+            weights = np.zeros((len(first) + 1) << 12, dtype=np.float32)
+            weights[begins[self.codes >> 12] + (self.codes & 0xFFF)] = self.weights
+            self.table = begins, weights
         return self.table
 
+    def weight_of(self, code: np.ndarray) -> np.ndarray:
+        begins, weights = self.blocks()
+        return weights[begins[code >> 12] + (code & 0xFFF)]
+
     def sums(self, strings: list[str]) -> np.ndarray:
         """The weighted sum of each string's subsequences."""
-        table = self.weight_of()
         out = np.zeros(len(strings))
         for at, chars in by_length(strings):
             for code, value in coded(chars):
-                out[at] += value * table[code].sum(axis=1)
+                out[at] += value * self.weight_of(code).sum(axis=1)
         return out
 
     def margins(self, found: list[str]) -> np.ndarray:
@@ -212,14 +224,13 @@ class Model:
     def short_sums(self) -> np.ndarray:
         """The sums of all framed strings of two and three characters, by their classes."""
         if self.framed is None:
-            table = self.weight_of()
             classes = np.arange(1 << 18, dtype=np.int32)
             inner = [(classes >> shift) & 63 for shift in (12, 6, 0)]
             first, last = (np.full(len(classes), _CLASS[c], dtype=np.int32) for c in (2, 3))
             out = np.zeros((2, len(classes)))
             for row, chars in ((0, [first, inner[1], inner[2], last]), (1, [first, *inner, last])):
                 for code, value in coded(np.stack(chars, axis=1)):
-                    out[row] += value * table[code].sum(axis=1)
+                    out[row] += value * self.weight_of(code).sum(axis=1)
             self.framed = out
         return self.framed
 
@@ -264,16 +275,16 @@ class Model:
 
     def _running(self, chars: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(span, running sums): what the subsequences of each span that begin before a place weigh."""
-        table, n = self.weight_of(), len(chars)
+        (begins, weights), n = self.blocks(), len(chars)
         pairs = {d: (chars[: n - d] << 6) | chars[d:] for d in range(1, SPAN) if d < n}
+        first = {d: begins[found] for d, found in pairs.items() if d < SPAN - 2}
         for span in _SPANS:
             running = np.zeros(n + 1)
             if n > span:
                 here = np.zeros(n - span, dtype=np.float32)
                 for _, a, b, c in _PATTERNS:
                     if c == span:
-                        code = (pairs[a][: n - span] << 12) | pairs[c - b][b : b + n - span]
-                        here += table[code]
+                        here += weights[first[a][: n - span] + pairs[c - b][b : b + n - span]]
                 np.cumsum(here, dtype=np.float64, out=running[1 : n - span + 1])
                 running[n - span + 1 :] = running[n - span]
                 running *= DECAY ** (span + 1)
@@ -360,9 +371,9 @@ def spelled(
         mask[stop[word_used]] -= 1
         mask = np.cumsum(mask)[: len(codes)] > 0
         at = np.concatenate([[0], np.cumsum(mask)])
-        from_, to = solid[np.searchsorted(solid, start[begin])], solid[np.searchsorted(solid, stop[end]) - 1] + 1
-        whole = from_ < to
-        yield classes[mask], *_windows_of(owner[whole], at[from_[whole]], at[to[whole]])
+        inner, outer = np.searchsorted(solid, start[begin]), np.searchsorted(solid, stop[end])
+        some = inner < outer  # a run of marks alone has nothing
+        yield classes[mask], *_windows_of(owner[some], at[solid[inner[some]]], at[solid[outer[some] - 1] + 1])
 
 
 def _windows_of(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
