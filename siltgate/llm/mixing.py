@@ -6,12 +6,15 @@ seats go to sources by the highest quotients target / (2 k + 1), k being the sea
 already; the order of those quotients, cut into equal runs, gives every output shard its whole
 number of blocks from each source.
 
-How many words a source gives in all is dealt in single words by the same quotients, so sources
-smaller than a block get their target too, in a corpus of any size. They are the first of a seeded
-order of the source's documents, read round and round: a source that gives more words than it has
-starts a second pass. So documents are taken whole but for the two at the ends of what is drawn.
+A source's documents, in a seeded order, are cut into blocks where a block's worth of words
+begins, so a document is in one block. Which blocks are drawn is seeded too: they come in the
+order of a hash, those of a first pass before any of a second, and fill the source's quota of
+one shard after another. How many words a source gives in all is dealt in single words by the same
+quotients: the last block drawn is cut there, and sources smaller than a block get their target
+too. So documents are taken whole but for one a source.
 
-The seats are at most ``SEATS`` plus one per source; the block size follows from that.
+There are at most ``SEATS`` blocks in the mix; the block size follows from that, and what is kept
+per block is bounded by it and the number of sources.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from siltgate.llm.common import ROW_BITS, n_words, stage
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 CAP = 2
-SEATS = 1_000_000
+SEATS = 100_000
 SHARDS = 16
 SEED = 7
 CHUNK = 20_000  # documents whose sizes are summed in one window
@@ -89,11 +92,16 @@ def _with_totals(rows: DataFrame, order: str, sums: dict[str, Column]) -> DataFr
     )
 
 
+def block_size(goals: DataFrame, seats: int = SEATS) -> int:
+    """Words of a block, so that the mix has at most ``seats`` of them."""
+    return max(1, -(-int(goals.agg(F.sum("target")).first()[0] or 0.0) // seats))
+
+
 def quotas(goals: DataFrame, seats: int = SEATS, shards: int = SHARDS, cap: int = CAP) -> DataFrame:
     """Rows (source, shard, blocks, block): whole numbers of blocks of ``block`` words per shard."""
     summed = goals.agg(F.sum("target"), F.count("*")).first()
     total, sources = summed[0] or 0.0, summed[1]
-    block = max(1, -(-int(total) // seats))
+    block = block_size(goals, seats)
     wanted = max(1, int(total) // block)
     # Rounding among n sources shifts a source's seats by its share of n; no later quotient can win.
     slack = F.ceil(F.col("target") / F.lit(total or 1.0) * sources) + 2
@@ -152,6 +160,44 @@ def words_given(goals: DataFrame, cap: int = CAP) -> DataFrame:
         spread *= 4
 
 
+def drawn_blocks(
+    placed: DataFrame, goals: DataFrame, block: int, quota: DataFrame, cap: int = CAP, shards: int = SHARDS, seed: int = SEED
+) -> DataFrame:
+    """Rows (source, block, first, takes): which blocks of each source are drawn.
+
+    ``placed`` has source, size and start of every document; ``goals`` has source and drawn.
+    ``first`` is where a block's first document starts, ``takes`` an entry (pass, words, shard) for
+    each time the block is drawn. Blocks come by pass and hash until the source's words are
+    reached; the first of them fill the shards' quotas in turn, and one that is left over (the
+    rest of words, or documents that make a block smaller) goes to the next shard round.
+    """
+    blocks = placed.where("size > 0").groupBy("source", F.expr(f"start div {block}").alias("block")).agg(
+        F.sum("size").alias("size"), F.min("start").alias("first")
+    )
+    passes = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("pass"))
+    # At most the seats and one block per source, so a source's blocks fit a window.
+    order = Window.partitionBy("source").orderBy("pass", F.xxhash64(F.lit(seed), "source", "block", "pass"), "block")
+    ranked = passes.withColumns(
+        {
+            "rank": F.row_number().over(order) - 1,
+            "before": F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        }
+    )
+    called = goals.select(F.col("source").alias("_source"), "drawn")
+    words = F.least(F.col("size"), F.col("drawn") - F.col("before"))
+    taken = ranked.join(called, ranked["source"].eqNullSafe(called["_source"])).withColumn("words", words).where("words > 0")
+    earlier = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    seats = quota.withColumn("_low", F.coalesce(F.sum("blocks").over(earlier), F.lit(0))).select(
+        F.col("source").alias("_of"), "shard", F.explode(F.expr("sequence(_low, _low + blocks - 1)")).alias("_rank")
+    )
+    dealt = taken.join(seats, taken["source"].eqNullSafe(seats["_of"]) & (F.col("rank") == F.col("_rank")), "left")
+    shard = F.coalesce("shard", F.pmod(F.col("rank"), F.lit(shards)).cast("int"))
+    return dealt.groupBy("source", "block").agg(
+        F.min("first").alias("first"),
+        F.sort_array(F.collect_list(F.struct("pass", "words", shard.alias("shard")))).alias("takes"),  # one a pass
+    )
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -164,13 +210,14 @@ def mix(
     shards: int = SHARDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """All rows of ``docs`` as doc_id, source, row, size, source_size, target, taken.
+    """All rows of ``docs`` as doc_id, source, row, size, source_size, target, taken, shards.
 
     ``taken`` counts the words the mix takes of a document, repeats included, 0 to ``cap`` times
-    its size: some whole passes over it and then its first words. Null and blank texts have size 0 and are never taken; a null
-    source is a source of its own, ranked last. Rows with equal ids are separate documents, told
-    apart by a hash of id, text and source; rows equal in these share it, and their order does not matter.
-    Reruns agree. Empty tables give no rows.
+    its size: some whole passes over it and then its first words. ``shards`` says which output
+    shard gets how many of them, an entry a pass. Null and blank texts have size 0 and are never
+    taken; a null source is a source of its own, ranked last. Rows with equal ids are separate
+    documents, told apart by a hash of id, text and source; rows equal in these share it, and
+    their order does not matter. Reruns agree. Empty tables give no rows.
     """
     row = row_hash(id_col, text_col, source_col, seed)
     held = stage(
@@ -180,24 +227,36 @@ def mix(
         "sizes",
     )
     goals = stage(targets(held, weights, share, cap), "targets")
-    given = words_given(goals, cap)
-    goals = goals.join(given, goals["source"].eqNullSafe(given["source"])).select(
-        goals["source"], "source_size", "target", "drawn"
+    given = words_given(goals, cap).withColumnRenamed("source", "_source")
+    goals = stage(
+        goals.join(given, goals["source"].eqNullSafe(given["_source"])).select("source", "source_size", "target", "drawn"), "goals"
     )
-    placed = _word_places(held)
-    # The drawn words are 0 .. drawn of the source's words read round and round: some whole
-    # passes, and the first (drawn mod size) words once more.
-    passes = F.when(F.col("source_size") > 0, F.expr("drawn div source_size")).otherwise(0)
-    over = F.when(F.col("source_size") > 0, F.expr("drawn % source_size")).otherwise(0)
-    part = F.least(F.col("size"), F.greatest(F.lit(0), over - F.col("start")))
-    return placed.join(goals, placed["source"].eqNullSafe(goals["source"])).select(
+    block = block_size(goals, seats)
+    placed = stage(_word_places(held), "places")
+    chosen = drawn_blocks(placed, goals, block, quotas(goals, seats, shards, cap), cap, shards, seed)
+    chosen = stage(chosen, "blocks").toDF("_source", "_block", "_first", "_takes")
+    here = F.expr(f"start div {block}")
+    found = placed.join(chosen, placed["source"].eqNullSafe(chosen["_source"]) & (here == F.col("_block")), "left")
+    # A block's words are its first ones, so the document that it is cut in keeps its first words.
+    offset = F.col("start") - F.col("_first")
+
+    def of_pass(take: Column) -> Column:
+        words = F.greatest(F.lit(0), F.least(F.col("size"), take["words"] - offset)).cast("bigint")
+        return F.struct(take["shard"].alias("shard"), words.alias("words"))
+
+    entries = F.filter(F.transform("_takes", of_pass), lambda entry: entry["words"] > 0)
+    none = F.expr("cast(array() as array<struct<shard: int, words: bigint>>)")
+    found = found.withColumn("_entries", F.when((F.col("size") > 0) & F.col("_takes").isNotNull(), entries).otherwise(none))
+    named = goals.select(F.col("source").alias("_named"), "source_size", "target")
+    return found.join(named, found["source"].eqNullSafe(named["_named"])).select(
         "doc_id",
-        placed["source"],
+        "source",
         "row",
         "size",
         "source_size",
         "target",
-        (passes * F.col("size") + part).cast("bigint").alias("taken"),
+        F.aggregate("_entries", F.lit(0).cast("bigint"), lambda done, entry: done + entry["words"]).alias("taken"),
+        F.col("_entries").alias("shards"),
     )
 
 

@@ -278,6 +278,55 @@ def test_mix_takes_sources_smaller_than_a_block(spark):
     assert sum(taken.values()) == int(1.5 * sum(sizes.values()) + 0.5)
 
 
+@pytest.mark.parametrize("seats,shards", [(40, 4), (100_000, 4), (3, 1)])
+def test_mix_draws_blocks_as_a_plain_loop_does(spark, seats, shards):
+    docs = spark.range(400).selectExpr(
+        "id as doc_id", "repeat('word ', cast(id * 7 % 23 as int)) as text",
+        "case when id % 5 = 0 then null when id % 3 = 0 then 'hot' else concat('s', id % 7) end as source",
+    )
+    rows = [r.asDict(recursive=True) for r in mixing.mix(docs, seats=seats, shards=shards).collect()]
+    goals = spark.createDataFrame(
+        [(s, n, t) for s, n, t in {(r["source"], r["source_size"], r["target"]) for r in rows}],
+        "source string, source_size bigint, target double",
+    )
+    block = mixing.block_size(goals, seats)
+    quota = {(r["source"], r["shard"]): r["blocks"] for r in mixing.quotas(goals, seats, shards).collect()}
+    drawn = {r["source"]: r["drawn"] for r in mixing.words_given(goals).collect()}
+    for source, words_drawn in drawn.items():
+        mine = sorted((r for r in rows if r["source"] == source), key=lambda r: r["row"] % (1 << 64))
+        start, blocks = 0, {}
+        for r in mine:
+            if r["size"]:
+                blocks.setdefault(start // block, []).append(r)
+            start += r["size"]
+        cells = [(source, b, p) for b in blocks for p in (0, 1)]
+        marked = spark.createDataFrame(cells, "source string, block bigint, pass int").select(
+            "block", "pass", F.xxhash64(F.lit(mixing.SEED), "source", "block", "pass").alias("h")
+        )
+        order = sorted(marked.collect(), key=lambda m: (m["pass"], m["h"], m["block"]))
+        seats_of = [shard for shard in range(shards) for _ in range(quota.get((source, shard), 0))]
+        expected, left = {id(r): [] for r in mine}, words_drawn
+        for rank, m in enumerate(order):
+            for r in blocks[m["block"]]:
+                n = min(left, r["size"])
+                if n:
+                    expected[id(r)].append({"shard": seats_of[rank] if rank < len(seats_of) else rank % shards, "words": n})
+                left -= n
+        assert left == 0
+        assert all(r["shards"] == expected[id(r)] and r["taken"] == sum(e["words"] for e in r["shards"]) for r in mine)
+
+
+def test_seats_and_shards_decide_the_mix(spark):
+    docs = spark.range(600).selectExpr("id as doc_id", "repeat('word ', 5) as text", "concat('s', id % 3) as source")
+
+    def taken(**options):
+        return {r["doc_id"]: (r["taken"], tuple(r["shards"])) for r in mixing.mix(docs, **options).collect()}
+
+    few, many = taken(seats=20, shards=4), taken(seats=500, shards=4)
+    assert {i: t for i, (t, _) in few.items()} != {i: t for i, (t, _) in many.items()}
+    assert few != taken(seats=20, shards=2) and few == taken(seats=20, shards=4)
+
+
 def test_words_given_are_highest_quotients(spark):
     rng = np.random.default_rng(4)
     sizes = {f"s{i:03}": int(n) for i, n in enumerate(rng.integers(1, 9, 150))} | {"z": 700}
