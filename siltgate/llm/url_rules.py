@@ -1,8 +1,8 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
 A rule names a host and the beginning of a path, and holds for all subdomains. Every rule needs
-certain tokens (its host's labels, its path's whole segments) in a URL. It is filed under the one
-that is rarest in the URLs at hand; the tokens of a URL fetch the rules filed under them, and only
+certain tokens (its host's labels, the parts between dots of its path's whole segments) in a URL.
+Rules and URLs are cut at the same marks. A rule is filed under the token that is rarest in the URLs at hand; the tokens of a URL fetch the rules filed under them, and only
 those rules' regular expressions run. Of the rules that fit, the longest decides.
 
 Verdicts depend on the URL alone, so each different URL is judged once and joined back.
@@ -34,7 +34,7 @@ def rules_frame(spark: SparkSession, rules: Iterable[tuple[str, str]]) -> DataFr
         host, slash, path = rule.partition("/")
         host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
         whole = path.split("/")[:-1]  # the last segment may go on in the URL
-        tokens = sorted({t for t in [*host.split("."), *whole] if t})
+        tokens = sorted({t for part in [host, *whole] for t in re.split(_TOKEN_BREAK, part) if t})
         # Java and Python agree on these escapes. Host and path are matched as one string.
         regex = rf"\A(?:[^/]*\.)?{_literal(host)}{_literal(slash + path)}"
         rows[rule] = ("block" if rows.get(rule, ("",))[0] == "block" else verdict, regex, tokens, len(rule))
@@ -90,11 +90,11 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
         F.max_by(F.struct("rule", "verdict"), F.struct("length", "rule")).alias("best")
     )
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    judged = best.select(F.col("url").alias("_url"), "best")
-    return pages.join(judged, F.col(url_col) == F.col("_url"), "left").select(
-        *kept,
-        host_of(url_col).alias("host"),
-        path_of(url_col).alias("path"),
-        F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
+    page, judged = pages.alias("page"), best.alias("judged")
+    return page.join(judged, F.col(f"page.`{url_col}`") == F.col("judged.url"), "left").select(
+        *[F.col(f"page.`{c}`") for c in kept],
+        host_of(f"page.`{url_col}`").alias("host"),
+        path_of(f"page.`{url_col}`").alias("path"),
+        F.col("judged.best.rule").alias("rule"),
+        F.coalesce("judged.best.verdict", F.lit(default)).alias("verdict"),
     )

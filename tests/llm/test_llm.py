@@ -478,6 +478,24 @@ def test_url_rules(spark):
     assert url_rules.judge(pages, rules.where("false")).where("verdict <> 'allow'").count() == 0
 
 
+def test_url_rules_with_dots_and_clashing_columns(spark):
+    """Rules with dots, escapes and ports; page columns named like those inside."""
+    rules = url_rules.rules_frame(spark, [("block", "example.com/v1.0/x"), ("block", "a.net:80/q%20/")])
+    urls = {
+        "http://example.com/v1.0/x1": "block",
+        "http://example.com/v1.1/x1": "allow",
+        "http://w.example.com/v1.0/x/y": "block",
+        "http://a.net:80/q%20/z": "block",
+        "http://a.net/q%20/z": "allow",
+    }
+    rows = [(u, "b", "u", "j", "p", "t") for u in urls]
+    pages = spark.createDataFrame(rows, "url string, best string, _url string, judged string, page string, token string")
+    got = url_rules.judge(pages, rules)
+    assert got.columns == [*pages.columns, "host", "path", "rule", "verdict"]
+    assert {r["url"]: r["verdict"] for r in got.collect()} == urls
+    assert got.where("best = 'b' and _url = 'u' and judged = 'j' and page = 'p' and token = 't'").count() == len(urls)
+
+
 # --- op8 ------------------------------------------------------------------------------
 
 
