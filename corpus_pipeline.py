@@ -58,7 +58,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: a document as often as it is taken, up to twice.
 
     The one document of a source where the draw ends is cut after its last taken word (its words
-    are then one space apart), and its ``n_chars`` is that of the cut text. Documents that are not drawn, or have no words, go.
+    are then one space apart), and its ``n_chars``, if there is one, is that of the cut text. Documents that are not drawn, or
+    have no words, go; so an empty table, or one of null and blank texts, gives no rows. Other columns may have any name.
     """
     placed = mixing.mix(docs).where("taken > 0")
     # Rows equal in id, text and source share a hash; what is taken of each is told apart by number.
@@ -67,25 +68,26 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     takes = placed.join(counts, "row")
     once = takes.where("_rows = 1").select("row", "size", "taken")
     several = takes.where("_rows > 1").select("row", "size", "taken", F.row_number().over(by_row).alias("_number"))
-    marked = docs.withColumn("row", mixing.row_hash())
-    single = marked.join(once, "row")
+    # A document stays in one column, so its columns may have any name.
+    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), mixing.row_hash().alias("row"))
+    single = marked.join(once, "row").select("doc", "size", "taken")
     rows_of_several = marked.join(several.select("row").distinct(), "row", "left_semi").withColumn(
-        "_number", F.row_number().over(Window.partitionBy("row").orderBy("n_chars"))
+        "_number", F.row_number().over(Window.partitionBy("row").orderBy(F.to_json("doc")))
     )
-    repeated = rows_of_several.join(several, ["row", "_number"])
-    columns = [*docs.columns, "size", "taken"]
-    taken = single.select(columns).unionAll(repeated.select(columns))
+    repeated = rows_of_several.join(several, ["row", "_number"]).select("doc", "size", "taken")
     passes = F.expr("array_repeat(size, cast(taken div size as int))")
     part = F.expr("taken % size")
     words = F.concat(passes, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
-    drawn = taken.withColumn("_words", F.explode(words))
-    whole = F.col("_words") == F.col("size")
-    every = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
-    first_words = F.array_join(F.slice(every, 1, F.col("_words").cast("int")), " ")
-    cut = drawn.withColumn("text", F.when(whole, F.col("text")).otherwise(first_words))
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")))
-    return cut.select(docs.columns)
+    drawn = single.unionAll(repeated).select("doc", "size", F.explode(words).alias("words"))
+    whole = F.col("words") == F.col("size")
+    every = F.filter(F.split("doc.text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    first_words = F.array_join(F.slice(every, 1, F.col("words").cast("int")), " ")
+    cut = drawn.withColumn("text", F.when(whole, F.col("doc.text")).otherwise(first_words))
+    changed = {
+        "text": F.col("text"),
+        "n_chars": F.when(whole, F.col("doc")["n_chars"]).otherwise(F.length("text")) if "n_chars" in docs.columns else None,
+    }
+    return cut.select(*[changed[c].alias(c) if c in changed else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
