@@ -14,6 +14,7 @@ is packed on its own. A second pass takes apart the sequences that stayed emptie
 
 from __future__ import annotations
 
+import os
 import string
 import zlib
 from array import array
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,10 @@ TOKENS = 2048
 GROUP = 16_384
 LOOSE = 0.98
 END = 0  # the id after every document
-CACHED_WORDS = 500_000
-BLOCK_WORDS = 100_000  # texts are looked up together until they have so many
+CACHED_BYTES = 72_000_000  # of one generation of looked-up parts
+ENTRY_BYTES = 180  # what an entry takes beside its part and ids
+BLOCK_BYTES = 2_000_000  # texts are looked up together until they have so many
+LEARNT_PARTS = 8_192  # encoded at once
 MARKS = string.punctuation.encode()
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -54,29 +58,43 @@ class Limits:
 
 
 class WordIds:
-    """Token ids of a text as little-endian 32-bit bytes, looked up word by word.
+    """Token ids of texts as little-endian 32-bit bytes, looked up word by word.
 
     The tokenizer drops white space, ignores case and never merges across white space or between
     letters and punctuation, so a text's ids are those of its white-space-delimited parts in a
-    row, and a tail of ASCII marks after an ASCII letter or digit is a part of its own. Parts
-    seen before come from a cache of two generations: when the younger is full it replaces the
-    older. Texts that may hold special tokens are read whole.
+    row, and a tail of ASCII marks after an ASCII letter or digit is a part of its own. Texts are
+    looked up in blocks of some ``BLOCK_BYTES``. Parts seen before come from a cache of two
+    generations of at most ``CACHED_BYTES``: when the younger is full it replaces the older.
+    Texts that may hold special tokens are read whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the younger generation
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = [s.encode() for s in specials]
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         self.ends[ends] = True
 
-    def texts(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        """The ids of each text; the parts of many texts are looked up together."""
+    def blocks(self, texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+        """Blocks of binary ``texts`` in order: the first text's place and the ids of each text."""
+        sizes = pc.binary_length(texts).fill_null(0).to_pylist()
+        first, held = 0, 0
+        for at, size in enumerate(sizes):
+            if at > first and held + size > BLOCK_BYTES:
+                yield first, self._block(texts.slice(first, at - first).to_pylist())
+                first, held = at, 0
+            held += size
+        if first < len(sizes):
+            yield first, self._block(texts.slice(first).to_pylist())
+
+    def _block(self, texts: list[bytes | None]) -> list[bytes]:
         parts: list[bytes] = []
         stops: list[int | bytes] = []  # where a text's parts stop, or the ids of one read whole
         for text in texts:
@@ -86,41 +104,40 @@ class WordIds:
             if text:
                 parts += text.lower().split()
             stops.append(len(parts))
-            if len(parts) >= BLOCK_WORDS:
-                yield from self._joined(parts, stops)
-                parts, stops = [], []
-        yield from self._joined(parts, stops)
+        ids = self._found(parts)
+        joined, start = [], 0
+        for stop in stops:
+            if isinstance(stop, bytes):
+                joined.append(stop)
+            else:
+                joined.append(b"".join(ids[start:stop]))
+                start = stop
+        return joined
 
-    def _joined(self, parts: list[bytes], stops: list[int | bytes]) -> Iterator[bytes]:
+    def _found(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of parts; those not known are learnt in steps, which bounds what encoding holds."""
         ids = list(map(self.known.get, parts))
         gaps = [at for at, found in enumerate(ids) if found is None]
         if gaps:
-            self._learn({parts[at] for at in gaps})
-            known = self.known
+            missing = list({parts[at] for at in gaps})
+            found = dict(zip(missing, map(self.older.get, missing)))
+            new = [part for part, known in found.items() if known is None]
+            if len(new) < len(found):
+                self._keep({part: known for part, known in found.items() if known is not None})
+            for start in range(0, len(new), LEARNT_PARTS):
+                found.update(self._learn(new[start : start + LEARNT_PARTS]))
             for at in gaps:
-                ids[at] = known[parts[at]]
-        start = 0
-        for stop in stops:
-            if isinstance(stop, bytes):
-                yield stop
-            else:
-                yield b"".join(ids[start:stop])
-                start = stop
+                ids[at] = found[parts[at]]
+        return ids
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text; places in the text are not asked for, which halves the time."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: set[bytes]) -> None:
-        """Bring the ids of all ``parts``, none of them there yet, into the younger generation."""
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = parts
-        if older:
-            kept = {p: older[p] for p in new if p in older}
-            known.update(kept)
-            new.difference_update(kept)
+    def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of distinct ``parts`` that are in neither generation, which are then in the younger."""
+        learnt: dict[bytes, bytes] = {}
+        new = set(parts)
         # Letters and a tail of marks are two parts; the tails are few.
         marked = []
         for part in new:
@@ -130,8 +147,12 @@ class WordIds:
                     marked.append((part, head, part[len(head) :]))
         if marked:
             new.difference_update([m[0] for m in marked])
-            new.update([m[1] for m in marked], {m[2] for m in marked})
-            new = new.difference(known)
+            for half in {m[1] for m in marked} | {m[2] for m in marked}:
+                ids = self.known.get(half) or self.older.get(half)
+                if ids is None:
+                    new.add(half)
+                else:
+                    learnt[half] = ids
         words = {p: p.decode("utf-8", "replace") for p in new}
         plain = [p for p, w in words.items() if w.isalpha()]
         if plain:
@@ -141,13 +162,22 @@ class WordIds:
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(plain):
                 joined, stops = ids.tobytes(), (4 * cuts).tolist()
-                known.update((p, joined[i:j]) for p, i, j in zip(plain, [0, *stops], stops))
+                learnt.update((p, joined[i:j]) for p, i, j in zip(plain, [0, *stops], stops))
                 new.difference_update(plain)
         rest = list(new)
         for part, ids in zip(rest, self._ids([words[p] for p in rest])):
-            known[part] = array("I", ids).tobytes()
+            learnt[part] = array("I", ids).tobytes()
         for part, head, tail in marked:
-            known[part] = known[head] + known[tail]
+            learnt[part] = learnt[head] + learnt[tail]
+        self._keep(learnt)
+        return learnt
+
+    def _keep(self, found: dict[bytes, bytes]) -> None:
+        added = sum(map(len, found)) + sum(map(len, found.values())) + ENTRY_BYTES * len(found)
+        if self.held + added > CACHED_BYTES:
+            self.known, self.older, self.held = {}, self.known, 0
+        self.known.update(found)
+        self.held += added
 
 
 def word_ids(path: str) -> WordIds:
@@ -171,21 +201,22 @@ def tokenized(
 ) -> DataFrame:
     """Rows of pieces with their ids: each document's ids, then ``END``, cut every ``tokens``."""
 
+    n = 6 if with_ids else 5
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:n]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:n]
+
     def run(batches):
         words = word_ids(tokenizer())
         step, end = 4 * tokens, array("I", [END]).tobytes()
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, found in zip(batch.column(0).to_pylist(), words.texts(batch.column(1).to_pylist())):
-                found += end
-                for piece, at in enumerate(range(0, len(found), step)):
-                    ids = found[at : at + step]
-                    rows.append((doc, piece, at // 4, len(ids) // 4, zlib.crc32(ids), ids))
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            n = 6 if with_ids else 5
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns[:n], kinds)], names[:n])
+            for first, texts in words.blocks(batch.column(1)):
+                rows: list[tuple] = []
+                for doc, found in zip(batch.column(0).slice(first, len(texts)).to_pylist(), texts):
+                    found += end
+                    for piece, at in enumerate(range(0, len(found), step)):
+                        ids = found[at : at + step]
+                        rows.append((doc, piece, at // 4, len(ids) // 4, zlib.crc32(ids), ids)[:n])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
