@@ -47,11 +47,18 @@ NOISE = re.compile(
     r"|header|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promos?|related|replies|respond"
     r"|share|sharing|sidebars?|social|sponsor(?:ed|s)?|subscribe|toolbar|widgets?)(?![a-z])"
 )
+# One forward pass: what follows a tag's name always matches up to the next < or > outside a quoted
+# value, and quotes count only where a value starts. Nothing is given back, so nothing is read twice.
+_REST = r"(?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s<>]*+|[\"']))*+"
 _TAG = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_REST})(>|(?=<)|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s]*+)))?")
+_MAY_READ = re.compile(r"class|id|role|style|hidden", re.I)
+_HIDES = re.compile(r"display\s*:\s*none")
+_READ = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 _EMPTY = re.compile(r"(?:\A|[\s\"'])/\Z")  # but not the slash that ends an unquoted value
 _SPACE = re.compile(r"\s+")
 CHROME = {"header", "nav", "footer", "aside"}  # they tell the level of a page
@@ -71,100 +78,134 @@ class Node:
         self.score, self.length, self.linked = 0.0, 0, 0
 
 
-def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
+def _attributes(text: str) -> dict[str, str]:
+    """The attributes that say what an element is for; of repeated ones the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        if name.lower() in _READ:
+            found.setdefault(name.lower(), next((v for v in values if v), "").lower())
+    return found
+
+
+def _is_noise(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
     if tag in DROPPED or tag in SKIPPED or (tag == "header" and not inside_article):
         return True
-    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        name, value = name.lower(), next((v for v in values if v), "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in DROPPED_ROLES):
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in DROPPED_ROLES:
+        return True
+    return "style" in attributes and _HIDES.search(attributes["style"]) is not None
 
 
-def _doubt(tag: str, attributes: str, inside_article: bool) -> int:
+def _doubt(tag: str, attributes: dict[str, str], inside_article: bool) -> int:
     """2 if a whole class or id is a noise word, 1 if a part of one is, else 0."""
     most = 0
-    if tag in ("html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
+    if not attributes or tag in ("html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
         return most
-    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        if name.lower() in ("class", "id"):
-            for token in next((v for v in values if v), "").lower().split():
-                if NOISE.fullmatch(token) and not (inside_article and token == "header"):
-                    most = 2
-                elif NOISE.search(token):
-                    most = max(most, 1)
+    for token in (*attributes.get("class", "").split(), *attributes.get("id", "").split()):
+        if NOISE.fullmatch(token) and not (inside_article and token == "header"):
+            most = 2
+        elif NOISE.search(token):
+            most = max(most, 1)
     return most
 
 
+class _Path:
+    """The open elements, root first, and where each tag is open: every question takes constant time."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    @property
+    def here(self) -> Node:
+        return self.nodes[-1]
+
+    def innermost(self, tags: set[str]) -> int:
+        last = -1
+        for tag in tags:
+            places = self.places.get(tag)
+            if places and places[-1] > last:
+                last = places[-1]
+        return last
+
+    def open(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at ``place`` and all it holds."""
+        while len(self.nodes) > place:
+            node = self.nodes.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+
+    def close_within(self, tags: set[str], limits: set[str]) -> None:
+        place = self.innermost(tags)
+        if place > 0 and place > self.innermost(limits):
+            self.close(place)
+
+
 def parse(page: str) -> Node:
-    """The page's tree. Unclosed and misnested tags are closed where the language would."""
-    root = here = Node("html", None, False)
-    at, articles = 0, 0
+    """The page's tree. Unclosed and misnested tags are closed where the language would.
+
+    A tag that another ``<`` or the page's end cuts short is text, but for those that hold a
+    value or are a bare block's name.
+    """
+    root = Node("html", None, False)
+    path = _Path(root)
+    at = 0
+    endless: set[str] = set()  # raw elements that no end tag follows
     while True:
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else page[at:]
         if text:
-            here.items.append(text)
+            path.here.items.append(text)
         if not found:
             return root
         at = found.end()
         if not found[2]:
             continue
         tag = found[2].lower()
+        if not found[4] and (at == len(page) or not ("=" in found[3] or (tag in BLOCKS and not found[3].strip()))):
+            path.here.items.append(found[0])
+            continue
         if found[1]:
-            above = here
-            while above is not None and above.tag != tag:
-                # An inline end tag does not close the block around it.
-                above = None if tag not in BLOCKS and tag not in SKIPPED and above.tag in BLOCKS else above.parent
-            if above is not None and above.parent is not None:
-                here = above.parent
+            place = path.innermost({tag})
+            # An inline end tag does not close the block around it.
+            if place > 0 and (tag in BLOCKS or tag in SKIPPED or place > path.blocks[-1]):
+                path.close(place)
             elif tag == "p":
-                here.items.append(Node("p", here, False))
+                path.here.items.append(Node("p", path.here, False))
             continue
         if tag in ("html", "body"):
             continue
         empty = _EMPTY.search(found[3]) is not None
         if tag in RAW:
-            if empty:
+            if empty or tag in endless:
                 continue
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
             if end is None:
                 if tag in ("script", "style"):
                     return root
+                endless.add(tag)
                 continue
             close = page.find(">", end.start())
             at = close + 1 if close >= 0 else len(page)
             continue
         if tag in BLOCKS:
-            here = _close(here, FOREIGN, set())
-            here = _close(here, {"p"}, {"table", "td", "th", "button", "caption"})
+            path.close_within(FOREIGN, set())
+            path.close_within({"p"}, {"table", "td", "th", "button", "caption"})
         if tag in CLOSES:
-            here = _close(here, *CLOSES[tag])
-        inside = _inside(here)
-        node = Node(tag, here, _is_noise(tag, found[3], inside), _doubt(tag, found[3], inside))
-        here.items.append(node)
+            path.close_within(*CLOSES[tag])
+        inside = path.innermost({"article", "main"}) > 0
+        attributes = _attributes(found[3]) if _MAY_READ.search(found[3]) else {}
+        node = Node(tag, path.here, _is_noise(tag, attributes, inside), _doubt(tag, attributes, inside))
+        path.here.items.append(node)
         if tag not in VOID and not empty:
-            here = node
-        del inside
-
-
-def _inside(node: Node | None) -> bool:
-    while node is not None:
-        if node.tag in ("article", "main"):
-            return True
-        node = node.parent
-    return False
-
-
-def _close(here: Node, tags: set[str], limits: set[str]) -> Node:
-    node = here
-    while node.parent is not None and node.tag not in limits:
-        if node.tag in tags:
-            return node.parent
-        node = node.parent
-    return here
+            path.open(node)
 
 
 def blocks(node: Node) -> list[str]:
