@@ -45,6 +45,10 @@ GUILTY = 1_000
 INNOCENT = 4_000
 ROUNDS = 2
 MARGIN = "silt_margin"
+# Training takes so many strings, pairs of their subsequences, and rows of features at once.
+STRINGS = 500
+PAIRS = 300_000
+FEATURE_ROWS = 2_000
 BLOCK_CHARS = 300_000  # texts are scored together until they have so many
 
 _PATTERNS = [(0, a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
@@ -132,20 +136,35 @@ def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
-    """The kernel of every left and right string."""
+    """The kernel of every left and right string.
+
+    Occurrences of the same subsequence are paired, a bounded number at a time; there is no table
+    of strings by subsequences.
+    """
     rr, rc, rv = subsequences(right)
-    known, place = np.unique(rc, return_inverse=True)
+    order = np.argsort(rc, kind="stable")
+    rr, rv = rr[order], rv[order]
+    known, begins, counts = np.unique(rc[order], return_index=True, return_counts=True)
     out = np.zeros((len(left), len(right)))
     if not len(known):
         return out
-    dense = np.bincount(place * len(right) + rr, rv, minlength=len(known) * len(right)).reshape(len(known), len(right))
-    for start in range(0, len(left), 500):  # bounds the dense rows
-        part = left[start : start + 500]
-        lr, lc, lv = subsequences(part)
+    for start in range(0, len(left), STRINGS):
+        part = out[start : start + STRINGS]
+        lr, lc, lv = subsequences(left[start : start + STRINGS])
         at = np.minimum(np.searchsorted(known, lc), len(known) - 1)
         hit = known[at] == lc
-        rows = np.bincount(lr[hit] * len(known) + at[hit], lv[hit], minlength=len(part) * len(known))
-        out[start : start + 500] = rows.reshape(len(part), len(known)) @ dense
+        lr, lv, at = lr[hit], lv[hit], at[hit]
+        ends = np.cumsum(counts[at])
+        done = 0
+        while done < len(at):
+            before = ends[done - 1] if done else 0
+            stop = max(done + 1, int(np.searchsorted(ends, before + PAIRS, side="right")))
+            n = counts[at[done:stop]]
+            which = np.repeat(np.arange(done, stop), n)
+            place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n - begins[at[done:stop]], n)
+            cell = lr[which] * len(right) + rr[place]
+            part += np.bincount(cell, lv[which] * rv[place], minlength=part.size).reshape(part.shape)
+            done = stop
     return out
 
 
@@ -590,7 +609,10 @@ def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
     values, vectors = np.linalg.eigh(kernel(marks, marks))
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep]) @ vectors[:, keep].T
-    w, bias = _svm(kernel(strings, marks) @ half, labels, weight)
+    features = np.empty((len(strings), len(marks)))
+    for start in range(0, len(strings), FEATURE_ROWS):
+        features[start : start + FEATURE_ROWS] = kernel(strings[start : start + FEATURE_ROWS], marks) @ half
+    w, bias = _svm(features, labels, weight)
     folded = half @ w  # one weight per landmark
     row, code, value = subsequences(marks)
     codes, place = np.unique(code, return_inverse=True)
@@ -599,14 +621,20 @@ def fit(guilty: list[tuple[str, int]], innocent: dict[str, int]) -> Model:
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """A linear machine with squared hinge loss by Newton's method on its support vectors."""
-    rows = np.c_[x, np.ones(len(x))]
-    penalty = np.eye(rows.shape[1]) * ridge * weight.sum()
+    m = x.shape[1]
+    penalty = np.eye(m + 1) * ridge * weight.sum()
     penalty[-1, -1] = 1e-9
-    w = np.zeros(rows.shape[1])
+    w = np.zeros(m + 1)
     for _ in range(50):
-        active = y * (rows @ w) < 1
-        part = rows[active] * weight[active, None]
-        new = np.linalg.solve(part.T @ rows[active] + penalty, part.T @ y[active])
+        square, goal = penalty.copy(), np.zeros(m + 1)
+        for start in range(0, len(x), FEATURE_ROWS):
+            block = slice(start, start + FEATURE_ROWS)
+            rows = np.c_[x[block], np.ones(len(x[block]))]
+            active = y[block] * (rows @ w) < 1
+            part = rows[active] * weight[block][active, None]
+            square += part.T @ rows[active]
+            goal += part.T @ y[block][active]
+        new = np.linalg.solve(square, goal)
         if np.allclose(new, w, atol=1e-8):
             break
         w = new

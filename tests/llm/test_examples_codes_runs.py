@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -339,6 +340,33 @@ def test_kernel_equals_its_definition():
             assert math.isclose(found[i, j], plain_kernel(x, y), rel_tol=1e-6, abs_tol=1e-9)
 
 
+def test_training_holds_no_table_of_strings_by_subsequences(monkeypatch):
+    rng = np.random.default_rng(5)
+    strings = ["".join(rng.choice(list("abcdefghijklmnop"), 12)) for _ in range(1_200)]
+    marks = strings[:300]
+    tracemalloc.start()
+    try:
+        found = toxicity.kernel(strings, marks)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60e6  # over 200 MB with the table
+    monkeypatch.setattr(toxicity, "STRINGS", 7)
+    monkeypatch.setattr(toxicity, "PAIRS", 50)
+    assert np.allclose(toxicity.kernel(strings[:40], marks), found[:40])
+    assert np.allclose(found[:300], found[:300].T)
+
+
+def test_machine_is_the_same_in_blocks(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 5))
+    y = np.where(x[:, 0] + 0.3 * rng.normal(size=90) > 0, 1.0, -1.0)
+    whole = toxicity._svm(x, y, np.ones(90))
+    monkeypatch.setattr(toxicity, "FEATURE_ROWS", 11)
+    parts = toxicity._svm(x, y, np.ones(90))
+    assert np.allclose(whole[0], parts[0]) and math.isclose(whole[1], parts[1], abs_tol=1e-9)
+
+
 def test_running_sums_equal_one_unit_at_a_time(monkeypatch):
     random.seed(4)
     rng = np.random.default_rng(4)
