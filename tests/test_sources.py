@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from conftest import RUN_TS
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 
 from siltgate.operators import responses as r
 from siltgate.operators.responses import Paging
+from siltgate.sources import csv_files
 from siltgate.sources.csv_files import CsvOptions, envelope, read_csv
 from siltgate.sources.documents import documents_from, find_filter, key_text, limited, read_documents
+from workloads import files
 
 # --- CSV folders ------------------------------------------------------------------
 
@@ -382,3 +385,47 @@ def test_stray_quotes_fall_back_to_the_whole_read(spark, tmp_path):
     rows, errors = scan_in_splits(spark, folder, 4096)
     assert (rows, errors) == scan_in_splits(spark, folder, 1 << 27, multi_line=True)
     assert rows[149]["normalized_record"]["note"] == '5" pipe'
+
+
+def test_first_lines_of_many_files_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    bodies = {"a/1.csv": "id,n\n1,x\n", "a/2 %41.csv": "id,n\r\n2,y\r\n", "b/3.csv": "n,k\rz,3\r", "b/4.csv": "", "c/_6.csv": "id,n\n6,q\n", "_d/7.csv": "\ufeffid,n\n7,u\n"}
+    for name, body in bodies.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(body.encode())
+    (folder / "a/8.csv").write_bytes(b"i\xffd,n\n8,v\n")
+
+    def read():
+        scan = read_csv(spark, str(folder), RUN_TS)
+        errors = [(e["source_file"], e["error"]) for e in scan.errors.collect()]
+        return scan.rows.columns, sorted(map(tuple, scan.rows.collect()), key=str), errors, scan.file_count
+
+    one_by_one = read()
+    opened = []
+    here = csv_files.first_line
+    monkeypatch.setattr(csv_files, "MANY_FILES", 2)
+    monkeypatch.setattr(csv_files, "first_line", lambda spark, path, charset: opened.append(path) or here(spark, path, charset))
+    assert read() == one_by_one
+    assert [p.rsplit("=", 1)[1] for p in opened] == ["_6.csv"]  # the copied one
+
+
+def test_many_files_of_one_header_are_read_by_folder(spark, tmp_path, monkeypatch):
+    for i in range(6):
+        (tmp_path / f"p={i}").mkdir()
+        (tmp_path / f"p={i}" / f"{i}.csv").write_text(f"id,n\n{i},x\n")
+    (tmp_path / "p=0" / "other.txt").write_text("no,csv,at all")
+    monkeypatch.setattr(csv_files, "MANY_FILES", 2)
+    asked = []
+    here = csv_files._read
+    monkeypatch.setattr(csv_files, "_read", lambda s, paths, *rest: asked.append(len(paths)) or here(s, paths, *rest))
+    rows = read_csv(spark, str(tmp_path), RUN_TS).rows
+    assert rows.columns == ["source_file", "source_path", "row_number", "id", "n"]
+    assert sorted(r["id"] for r in rows.collect()) == list("012345") and asked == [1]
+
+
+def test_small_files_are_written_by_several_tasks(spark):
+    lines = spark.range(64).selectExpr("id div 4 as file_no", "id as pos", "cast(id as string) as line")
+    folder = files.write_lines(lines, "written")
+    written = spark.read.text(folder)
+    assert written.count() == 64 and len(written.inputFiles()) == 16
+    assert len({re.search(r"part-(\d+)", f)[1] for f in written.inputFiles()}) > 1
