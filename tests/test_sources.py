@@ -10,7 +10,7 @@ from siltgate.operators.responses import Paging
 from siltgate.sources import csv_files
 from siltgate.sources.csv_files import CsvOptions, envelope, read_csv
 from siltgate.sources.documents import documents_from, find_filter, key_text, limited, read_documents
-from workloads import files
+from workloads import files, inputs
 
 # --- CSV folders ------------------------------------------------------------------
 
@@ -406,7 +406,7 @@ def test_first_lines_of_many_files_are_read_by_tasks(spark, tmp_path, monkeypatc
     monkeypatch.setattr(csv_files, "MANY_FILES", 2)
     monkeypatch.setattr(csv_files, "first_line", lambda spark, path, charset: opened.append(path) or here(spark, path, charset))
     assert read() == one_by_one
-    assert [p.rsplit("=", 1)[1] for p in opened] == ["_6.csv"]  # the copied one
+    assert sorted(p.rsplit("/", 1)[1] for p in opened) == ["4.csv", "silt=_6.csv"]  # an empty and a copied one
 
 
 def test_many_files_of_one_header_are_read_by_folder(spark, tmp_path, monkeypatch):
@@ -429,3 +429,12 @@ def test_small_files_are_written_by_several_tasks(spark):
     written = spark.read.text(folder)
     assert written.count() == 64 and len(written.inputFiles()) == 16
     assert len({re.search(r"part-(\d+)", f)[1] for f in written.inputFiles()}) > 1
+
+
+def test_landed_files_are_written_by_all_cores(spark, tmp_path):
+    spark.range(1_000).selectExpr("id as c_custkey").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    text = "select cast(c_custkey as string) as line from customer"
+    folder = inputs.land_files(spark, str(tmp_path), "spread", lambda rows, path: rows.write.text(path), text, "customer")
+    rows = spark.read.text(folder).select("value", "_metadata.file_path").collect()
+    assert sorted(int(r["value"]) for r in rows) == list(range(1_000))
+    assert len({r["file_path"] for r in rows}) == spark.sparkContext.defaultParallelism
