@@ -27,18 +27,29 @@ from siltgate.llm.vectors import classes, matrix, unit_rows, usable
 
 THRESHOLD = 0.9
 SHARDS = 8
-SHARD_ROWS = 100_000  # more vectors take more shards, so a graph fits a task
+SHARD_ROWS = 100_000  # more vectors take more shards, so a graph fits a task,
+SHARD_BYTES = 64_000_000  # and so do longer ones
 DEGREE = 12
 BUILD_BEAM = 48
 BEAM = 16
 WIDEST = 4_096
-QUERY_ROWS = 10_000
+QUERY_ROWS = 100_000  # vectors that ask a graph in one task, which reads them in batches
+SENT_ROWS = 4_000  # vectors of a graph in a batch
+SENT_PAIRS = 100_000  # pairs in a batch, but for those of one vector
 AUDIT = 200  # linked vectors the recall is measured on
 FEW = 10  # vectors with no more links are measured on their own too, as a large group outnumbers them
 AUDIT_ROWS = 400  # vectors compared with all rows in the first step of the audit
 MOST_ROWS = 4_000  # and at most in a later one
 RECALL = 0.98
 BLOCK = 256  # vectors inserted, or queries run, at once
+PRODUCTS = 1_000_000  # numbers held at once where full rows of links are cut
+
+
+def _no_links(n: int, degree: int = DEGREE) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows for the links of n vectors in all layers, -1 where there is none, and the part of each layer."""
+    links = np.full((n, 6 * degree), -1, dtype=np.int32)
+    ends = np.arange(2, 7) * degree
+    return links, np.split(links, ends[:-1], axis=1)
 
 
 class Graph:
@@ -49,29 +60,33 @@ class Graph:
     """
 
     def __init__(self, rows: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, seed: int = 5):
-        self.rows = rows
+        self.rows, self.single = rows, rows.astype(np.float32)  # the single ones lead the search
         n = len(rows)
         draws = np.random.default_rng(seed).random(n)
         self.height = np.minimum((-np.log(np.maximum(draws, 1e-12)) / np.log(degree)).astype(int), 4)
         self.height[0] = 4  # the entry point
-        self.near = [np.full((n, 2 * degree if level == 0 else degree), -1, dtype=np.int32) for level in range(5)]
+        self.links, self.near = _no_links(n, degree)
+        self.marks = np.zeros(0, dtype=bool)
         for start in range(0, n, BLOCK):
             self._insert(np.arange(start, min(start + BLOCK, n)), beam)
 
-    def packed(self, keys: np.ndarray) -> tuple[bytes, bytes, list[bytes]]:
-        return keys.astype("<i8").tobytes(), self.rows.astype("<f8").tobytes(), [n.astype("<i4").tobytes() for n in self.near]
-
     @classmethod
-    def unpacked(cls, keys: bytes, rows: bytes, near: list[bytes]) -> tuple[np.ndarray, Graph]:
-        graph, found = cls.__new__(cls), np.frombuffer(keys, dtype="<i8")
-        graph.rows = np.frombuffer(rows, dtype="<f8").reshape(len(found), -1)
-        graph.near = [np.frombuffer(n, dtype="<i4").reshape(len(found), -1) for n in near]
-        return found, graph
+    def restored(cls, rows: np.ndarray, links: np.ndarray, near: list[np.ndarray]) -> Graph:
+        graph = cls.__new__(cls)
+        graph.rows, graph.single, graph.links, graph.near = rows, rows.astype(np.float32), links, near
+        graph.marks = np.zeros(0, dtype=bool)
+        return graph
+
+    def lists(self, start: int, end: int) -> pa.Array:
+        """The links of some vectors, a list each: those of layer 0, then of every layer the vector is in."""
+        widths = np.array([near.shape[1] for near in self.near]).cumsum()[self.height[start:end]]
+        values = self.links[start:end][np.arange(self.links.shape[1]) < widths[:, None]]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, widths.cumsum()), pa.int32()), pa.array(values, pa.int32()))
 
     def _insert(self, new: np.ndarray, beam: int) -> None:
         first = int(new[0])
         entry = np.zeros(len(new), dtype=np.int64)
-        among = self.rows[new] @ self.rows[new].T
+        among = self.single[new] @ self.single[new].T
         for level in range(4, -1, -1):
             if first:
                 found, scores = self._beam(self.rows[new], entry, level, beam if level < 4 else 8)
@@ -88,65 +103,90 @@ class Graph:
             order = np.argsort(-near, axis=1, kind="stable")[:, : width // 2 if level == 0 else width]
             chosen = np.take_along_axis(ids, order, 1)
             chosen[~np.isfinite(np.take_along_axis(near, order, 1))] = -1
-            pairs = [(a, b) for a, row in zip(new[here].tolist(), chosen[here].tolist()) for b in row if b >= 0]
-            for a, b in pairs:
-                self._link(level, a, b)
-                self._link(level, b, a)
-
-    def _link(self, level: int, a: int, b: int) -> None:
-        row = self.near[level][a]
-        if (row == b).any():
-            return
-        free = np.flatnonzero(row < 0)
-        if len(free):
-            row[free[0]] = b
-            return
-        # Full: keep those nearest, but spread: a neighbour closer to a kept one than to us goes first.
-        all_ = np.append(row, b)
-        near = self.rows[all_] @ self.rows[a]
-        order = all_[np.argsort(-near, kind="stable")]
-        near = np.sort(near)[::-1]
-        among = self.rows[order] @ self.rows[order].T
-        covered = np.array([bool((among[i, :i] > near[i]).any()) for i in range(len(order))])
-        drop = np.flatnonzero(covered)[-1] if covered.any() else len(order) - 1
-        self.near[level][a] = np.delete(order, drop)
+            own, place = np.nonzero((chosen >= 0) & here[:, None])
+            self._link(level, new[own], chosen[own, place])
+
+    def _link(self, level: int, a: np.ndarray, b: np.ndarray) -> None:
+        """Link every a with the b beside it, both ways; a full row keeps its best."""
+        n, links = len(self.rows), self.near[level]
+        a, b = np.divmod(np.unique(np.concatenate([a * n + b, b * n + a])), n)
+        fresh = ~(links[a] == b[:, None]).any(axis=1)
+        a, b = a[fresh], b[fresh]
+        nodes, start, more = np.unique(a, return_index=True, return_counts=True)
+        held = (links[nodes] >= 0).sum(axis=1)
+        group = np.repeat(np.arange(len(nodes)), more)
+        rank = np.arange(len(a)) - start[group]
+        fits = (held + more <= links.shape[1])[group]
+        links[a[fits], (held[group] + rank)[fits]] = b[fits]
+        full = np.flatnonzero(held + more > links.shape[1])
+        full = full[np.argsort(more[full], kind="stable")]
+        at = 0
+        while at < len(full):
+            # Of as many rows at once as bound the products; the last of them has the most new links.
+            part = full[at : at + 1_024]
+            size = links.shape[1] + more[part]
+            part = part[: max(1, int((np.arange(1, len(part) + 1) * size * (size + self.rows.shape[1]) <= PRODUCTS).sum()))]
+            at += len(part)
+            pool = np.full((len(part), links.shape[1] + more[part[-1]]), -1, dtype=np.int64)
+            pool[:, : links.shape[1]] = links[nodes[part]]
+            own = np.repeat(np.arange(len(part)), more[part])
+            late = np.arange(len(own)) - np.repeat(np.cumsum(more[part]) - more[part], more[part])
+            pool[own, links.shape[1] + late] = b[start[part][own] + late]
+            links[nodes[part]] = self._best(nodes[part], pool, links.shape[1])
+
+    def _best(self, nodes: np.ndarray, pool: np.ndarray, width: int) -> np.ndarray:
+        """The nearest of each pool, but spread: a neighbour closer to a nearer one than to the node goes first."""
+        vectors = self.single[pool]
+        near = np.matmul(vectors, self.single[nodes][:, :, None])[:, :, 0]
+        near[pool < 0] = -np.inf
+        among = np.matmul(vectors, vectors.transpose(0, 2, 1))
+        covered = ((among > near[:, :, None]) & (near[:, None, :] > near[:, :, None])).any(axis=2)
+        # Cosines differ by 2 at most, so what is covered ranks behind all that is not.
+        return np.take_along_axis(pool, np.argsort(-np.where(covered, near - 4, near), axis=1, kind="stable")[:, :width], 1)
 
     def _beam(self, queries: np.ndarray, entry: np.ndarray, level: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``beam`` nodes and scores reached in a layer from ``entry``, best first; -1 pads."""
-        q, links = len(queries), self.near[level]
-        seen = np.zeros((q, len(self.rows)), dtype=bool)
-        ids = np.full((q, beam), -1, dtype=np.int64)
-        scores = np.full((q, beam), -np.inf)
-        opened = np.ones((q, beam), dtype=bool)
-        ids[:, 0], scores[:, 0], opened[:, 0] = entry, (queries * self.rows[entry]).sum(axis=1), False
-        seen[np.arange(q), entry] = True
-        active = np.arange(q)
-        while len(active):
-            waiting = np.where(opened[active], -np.inf, scores[active])
+        q, n, links = len(queries), len(self.rows), self.near[level]
+        if len(self.marks) < q * n:
+            self.marks = np.zeros(q * n, dtype=bool)
+        seen = self.marks  # all false between searches: what a search marked is cleared at its end
+        ids, scores = np.full((q, beam), -1, dtype=np.int64), np.full((q, beam), -np.inf, dtype=np.float32)
+        # Of the queries that go on: their places, beams and scores. A beam holds twice a node, and one more
+        # where it was opened, so -1 is an opened pad.
+        who, asked = np.arange(q), queries.astype(np.float32)
+        beams, near = ids.copy(), scores.copy()
+        beams[:, 0], near[:, 0] = 2 * entry, np.einsum("ij,ij->i", asked, self.single[entry])
+        marked = [who * n + entry]
+        seen[marked[0]] = True
+        while True:
+            waiting = np.where(beams & 1, -np.inf, near)
             best = waiting.argmax(axis=1)
-            going = np.isfinite(waiting[np.arange(len(active)), best])
-            active, best = active[going], best[going]
-            if not len(active):
-                break
-            opened[active, best] = True
-            around = links[ids[active, best]]
-            fresh = (around >= 0) & ~seen[active[:, None], np.maximum(around, 0)]
-            row, place = np.nonzero(fresh)
+            going = waiting[np.arange(len(who)), best] > -np.inf
+            if not going.all():
+                ids[who[~going]], scores[who[~going]] = beams[~going] >> 1, near[~going]
+                who, asked, beams, near, best = who[going], asked[going], beams[going], near[going], best[going]
+                if not len(who):
+                    break
+            every = np.arange(len(who))
+            around = links[beams[every, best] >> 1]
+            beams[every, best] |= 1
+            flat = around + (who * n)[:, None]
+            row, place = np.nonzero((around >= 0) & ~seen[np.maximum(flat, 0)])
             if not len(row):
                 continue
+            marked.append(flat[row, place])
+            seen[marked[-1]] = True
             node = around[row, place]
-            seen[active[row], node] = True
-            new = np.full(around.shape, -np.inf)
-            new[row, place] = np.einsum("ij,ij->i", queries[active[row]], self.rows[node])
-            all_ids = np.concatenate([ids[active], around], axis=1)
-            all_scores = np.concatenate([scores[active], new], axis=1)
-            all_opened = np.concatenate([opened[active], np.zeros(around.shape, dtype=bool)], axis=1)
-            keep = np.argsort(-all_scores, axis=1, kind="stable")[:, :beam]
-            ids[active] = np.take_along_axis(all_ids, keep, 1)
-            scores[active] = np.take_along_axis(all_scores, keep, 1)
-            opened[active] = np.take_along_axis(all_opened, keep, 1) | ~np.isfinite(scores[active])
-        ids[~np.isfinite(scores)] = -1
-        return ids, scores
+            found, new = np.full(around.shape, -1, dtype=np.int64), np.full(around.shape, -np.inf, dtype=np.float32)
+            found[row, place] = 2 * node.astype(np.int64)
+            new[row, place] = np.einsum("ij,ij->i", asked[row], self.single[node])
+            near = np.concatenate([near, new], axis=1)
+            keep = np.argpartition(-near, beam - 1, axis=1)[:, :beam]
+            beams = np.take_along_axis(np.concatenate([beams, found], axis=1), keep, 1)
+            near = np.take_along_axis(near, keep, 1)
+        seen[np.concatenate(marked)] = False
+        order = np.argsort(-scores, axis=1, kind="stable")
+        return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
 
     def within(self, queries: np.ndarray, threshold: float, beam: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query place, nodes, scores) of what is found at or above the threshold.
@@ -174,8 +214,8 @@ class Graph:
                 todo, width = np.array(again, dtype=np.int64), width * 4
 
 
-# Rounding may differ between a search and the check; candidates a hair below are checked too.
-_SLACK = 1e-9
+# Searches score in single precision; candidates a hair below the threshold are checked too.
+_SLACK = 1e-5
 
 
 def near_duplicates(
@@ -199,8 +239,8 @@ def near_duplicates(
         "classes",
     )
     nodes = grouped.select("class", "vector")
-    count = nodes.count()
-    shards = max(SHARDS, -(-count // SHARD_ROWS))
+    count, width = nodes.agg(F.count("*"), F.max(F.size("vector"))).first()
+    shards = max(SHARDS, -(-count // SHARD_ROWS), -(-count * (width or 0) * 8 // SHARD_BYTES))
     pairs = _audited_pairs(nodes, shards, threshold, recall) if count > 1 else None
     if pairs is None:
         linked = grouped.select("class", "n", "least", F.lit(0).alias("others"), F.col("class").alias("root"))
@@ -238,12 +278,13 @@ def _audited_pairs(nodes: DataFrame, shards: int, threshold: float, recall: floa
         return _pairs_of(nodes.sparkSession.read.parquet(links))
     wanted = nodes.sparkSession.read.parquet(links)
     graphs = _graphs(nodes, shards)
-    blocks = -(-count // QUERY_ROWS)
+    # A vector's search does not depend on the others, so those at either end of a link tell the recall of all.
+    ends = wanted.select(F.explode(F.array("own", "other")).alias("class")).distinct()
+    some = stage(nodes.join(ends, "class", "left_semi"), "audited")
     beam = BEAM
     while True:
-        pairs = stage(_pairs(nodes, shards, threshold, beam, graphs, blocks), "pairs")
-        if _measured(wanted, pairs) >= recall:
-            return pairs
+        if _measured(wanted, stage(_pairs(some, some.count(), shards, threshold, beam, graphs), "audited-pairs")) >= recall:
+            return stage(_pairs(nodes, count, shards, threshold, beam, graphs), "pairs")
         if beam >= WIDEST:
             break
         beam *= 2
@@ -305,48 +346,94 @@ def _links(nodes: DataFrame, sample: pd.DataFrame, threshold: float) -> DataFram
     return nodes.mapInArrow(run, "own bigint, other bigint")
 
 
-def _pairs(nodes: DataFrame, shards: int, threshold: float, beam: int, graphs: DataFrame, blocks: int) -> DataFrame:
-    # Every block of queries meets every shard's graph: bounded tasks, blocks x shards of them.
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    asked = nodes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("class", F.lit(13)), F.lit(blocks)).cast("int").alias("block"),
+def _pairs(asked: DataFrame, count: int, shards: int, threshold: float, beam: int, graphs: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of the ``count`` vectors ``asked`` and what they find in every shard's graph.
+
+    A task reads one graph, row by row, and then its part of the vectors, batch by batch: it holds
+    the graph and the links of some vectors, however many there are of either.
+    """
+    parts = max(1, -(-count // QUERY_ROWS))
+    last = (1 << 31) - 1  # behind every place in a graph
+    # Tasks shard * parts + part.
+    tasks = F.sequence(F.col("shard") * parts, F.col("shard") * parts + parts - 1)
+    held = graphs.select(F.explode(tasks).alias("task"), "place", "size", "class", "vector", "near")
+    part = F.pmod(F.xxhash64("class", F.lit(13)), F.lit(parts)).cast("int")
+    queries = asked.select(
+        F.explode(F.sequence(part, part + (shards - 1) * parts, F.lit(parts))).alias("task"),
+        F.lit(last).alias("place"),
+        F.lit(0).alias("size"),
         "class",
         "vector",
+        F.lit(None).cast("array<int>").alias("near"),
     )
 
-    def search(graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(graph) or not len(queries):
-            return pd.DataFrame({"a": [], "b": []})
-        keys, built = Graph.unpacked(*graph.iloc[0][["keys", "rows", "near"]])
-        own = queries["class"].to_numpy()
-        rows = unit_rows(np.stack(queries["vector"].to_numpy()))
-        pairs = [np.empty((0, 2), dtype=np.int64)]
-        for place, ids, _ in built.within(rows, threshold - _SLACK, beam):
-            exact = ids[built.rows[ids] @ rows[place] >= threshold]
-            other = keys[exact]
+    def search(batches):
+        keys = rows = links = near = graph = None
+        for batch in batches:
+            place, size, own, vectors, lists = batch.columns[1:]
+            held = int((place.to_numpy() < last).sum())
+            if held:
+                if keys is None:
+                    n, width = size[0].as_py(), len(vectors[0])
+                    keys, rows, (links, near) = np.zeros(n, dtype=np.int64), np.zeros((n, width)), _no_links(n)
+                at = place.slice(0, held).to_numpy()
+                keys[at], rows[at] = own.slice(0, held).to_numpy(), unit_rows(matrix(vectors.slice(0, held)))
+                lengths = lists.slice(0, held).value_lengths().to_numpy()
+                filled = np.full((held, links.shape[1]), -1, dtype=np.int32)
+                filled[np.arange(links.shape[1]) < lengths[:, None]] = lists.slice(0, held).flatten().to_numpy()
+                links[at] = filled
+            if held < batch.num_rows and keys is not None:
+                graph = graph or Graph.restored(rows, links, near)
+                yield from found(keys, graph, own.slice(held).to_numpy(), unit_rows(matrix(vectors.slice(held))))
+
+    def found(keys: np.ndarray, graph: Graph, own: np.ndarray, rows: np.ndarray):
+        ends, waiting = ([], []), 0
+        for place, ids, _ in graph.within(rows, threshold - _SLACK, beam):
+            other = keys[ids[graph.rows[ids] @ rows[place] >= threshold]]
             other = other[other != own[place]]
-            pairs.append(np.stack([np.minimum(other, own[place]), np.maximum(other, own[place])], axis=1))
-        found = np.concatenate(pairs)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+            ends[0].append(np.minimum(other, own[place]))
+            ends[1].append(np.maximum(other, own[place]))
+            waiting += len(other)
+            if waiting >= SENT_PAIRS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ends], ["a", "b"])
+                ends, waiting = ([], []), 0
+        if waiting:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ends], ["a", "b"])
 
     return (
-        graphs.withColumn("block", F.explode(every))
-        .groupBy("shard", "block")
-        .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(search, "a bigint, b bigint")
+        held.unionAll(queries)
+        .repartitionById(shards * parts, "task")
+        .sortWithinPartitions("place")
+        .mapInArrow(search, "a bigint, b bigint")
         .distinct()
     )
 
 
 def _graphs(nodes: DataFrame, shards: int) -> DataFrame:
-    """One staged row per shard: its keys, vectors and links, of at most some SHARD_ROWS vectors."""
+    """Staged rows, one a vector: its shard, the shard's size, its place there and the places it links with, layer by layer."""
 
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("class")
-        graph = Graph(unit_rows(np.stack(rows["vector"].to_numpy())))
-        keys = rows["class"].to_numpy()
-        return pd.DataFrame([(int(rows["shard"].iloc[0]), *graph.packed(keys))], columns=["shard", "keys", "rows", "near"])
-
-    spread = nodes.withColumn("shard", F.pmod(F.xxhash64("class", F.lit(11)), F.lit(shards)).cast("int"))
-    return stage(spread.groupBy("shard").applyInPandas(build, "shard int, keys binary, rows binary, near array<binary>"), "graphs")
+    def build(batches):
+        read = [b for b in batches if b.num_rows]
+        if not read:
+            return
+        graph = Graph(np.concatenate([unit_rows(matrix(b.column(2))) for b in read]))
+        at = 0
+        while read:
+            batch = read.pop(0)
+            for start in range(0, batch.num_rows, SENT_ROWS):
+                some = batch.slice(start, SENT_ROWS)
+                n = some.num_rows
+                place = pa.array(np.arange(at, at + n), pa.int32())
+                size = pa.array(np.full(n, len(graph.rows)), pa.int32())
+                lists = graph.lists(at, at + n)
+                yield pa.RecordBatch.from_arrays([some.column(0), place, size, *some.columns[1:], lists], names)
+                at += n
+
+    names = ["shard", "place", "size", "class", "vector", "near"]
+    spread = nodes.select(F.pmod(F.xxhash64("class", F.lit(11)), F.lit(shards)).cast("int").alias("shard"), "class", "vector")
+    return stage(
+        spread.repartitionById(shards, "shard")
+        .sortWithinPartitions("class")
+        .mapInArrow(build, "shard int, place int, size int, class bigint, vector array<double>, near array<int>"),
+        "graphs",
+    )
