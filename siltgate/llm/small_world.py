@@ -45,11 +45,9 @@ BLOCK = 256  # vectors inserted, or queries run, at once
 PRODUCTS = 1_000_000  # numbers held at once where full rows of links are cut
 
 
-def _no_links(n: int, degree: int = DEGREE) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rows for the links of n vectors in all layers, -1 where there is none, and the part of each layer."""
-    links = np.full((n, 6 * degree), -1, dtype=np.int32)
-    ends = np.arange(2, 7) * degree
-    return links, np.split(links, ends[:-1], axis=1)
+def _no_links(n: int, degree: int = DEGREE) -> list[np.ndarray]:
+    """Rows for the links of n vectors in each layer, -1 where there is none."""
+    return [np.full((n, 2 * degree if level == 0 else degree), -1, dtype=np.int32) for level in range(5)]
 
 
 class Graph:
@@ -65,22 +63,22 @@ class Graph:
         draws = np.random.default_rng(seed).random(n)
         self.height = np.minimum((-np.log(np.maximum(draws, 1e-12)) / np.log(degree)).astype(int), 4)
         self.height[0] = 4  # the entry point
-        self.links, self.near = _no_links(n, degree)
+        self.near = _no_links(n, degree)
         self.marks = np.zeros(0, dtype=bool)
         for start in range(0, n, BLOCK):
             self._insert(np.arange(start, min(start + BLOCK, n)), beam)
 
     @classmethod
-    def restored(cls, rows: np.ndarray, links: np.ndarray, near: list[np.ndarray]) -> Graph:
+    def restored(cls, rows: np.ndarray, near: list[np.ndarray]) -> Graph:
         graph = cls.__new__(cls)
-        graph.rows, graph.single, graph.links, graph.near = rows, rows.astype(np.float32), links, near
-        graph.marks = np.zeros(0, dtype=bool)
+        graph.rows, graph.single, graph.near, graph.marks = rows, rows.astype(np.float32), near, np.zeros(0, dtype=bool)
         return graph
 
     def lists(self, start: int, end: int) -> pa.Array:
         """The links of some vectors, a list each: those of layer 0, then of every layer the vector is in."""
         widths = np.array([near.shape[1] for near in self.near]).cumsum()[self.height[start:end]]
-        values = self.links[start:end][np.arange(self.links.shape[1]) < widths[:, None]]
+        links = np.concatenate([near[start:end] for near in self.near], axis=1)
+        values = links[np.arange(links.shape[1]) < widths[:, None]]
         return pa.ListArray.from_arrays(pa.array(np.append(0, widths.cumsum()), pa.int32()), pa.array(values, pa.int32()))
 
     def _insert(self, new: np.ndarray, beam: int) -> None:
@@ -168,22 +166,22 @@ class Graph:
                 if not len(who):
                     break
             every = np.arange(len(who))
-            around = links[beams[every, best] >> 1]
+            around = links.take(beams[every, best] >> 1, axis=0).astype(np.int64)
             beams[every, best] |= 1
             flat = around + (who * n)[:, None]
-            row, place = np.nonzero((around >= 0) & ~seen[np.maximum(flat, 0)])
-            if not len(row):
+            place = np.flatnonzero((around >= 0) & ~seen.take(flat, mode="clip"))
+            if not len(place):
                 continue
-            marked.append(flat[row, place])
+            marked.append(flat.ravel()[place])
             seen[marked[-1]] = True
-            node = around[row, place]
+            node = around.ravel()[place]
             found, new = np.full(around.shape, -1, dtype=np.int64), np.full(around.shape, -np.inf, dtype=np.float32)
-            found[row, place] = 2 * node.astype(np.int64)
-            new[row, place] = np.einsum("ij,ij->i", asked[row], self.single[node])
-            near = np.concatenate([near, new], axis=1)
-            keep = np.argpartition(-near, beam - 1, axis=1)[:, :beam]
-            beams = np.take_along_axis(np.concatenate([beams, found], axis=1), keep, 1)
-            near = np.take_along_axis(near, keep, 1)
+            found.ravel()[place] = 2 * node
+            asking = asked.take(place // around.shape[1], axis=0)
+            new.ravel()[place] = np.einsum("ij,ij->i", asking, self.single.take(node, axis=0))
+            near, beams = np.concatenate([near, new], axis=1), np.concatenate([beams, found], axis=1)
+            keep = np.argpartition(-near, beam - 1, axis=1)[:, :beam] + (every * near.shape[1])[:, None]
+            near, beams = near.take(keep), beams.take(keep)
         seen[np.concatenate(marked)] = False
         order = np.argsort(-scores, axis=1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
@@ -368,22 +366,23 @@ def _pairs(asked: DataFrame, count: int, shards: int, threshold: float, beam: in
     )
 
     def search(batches):
-        keys = rows = links = near = graph = None
+        keys = rows = near = graph = None
         for batch in batches:
             place, size, own, vectors, lists = batch.columns[1:]
             held = int((place.to_numpy() < last).sum())
             if held:
                 if keys is None:
                     n, width = size[0].as_py(), len(vectors[0])
-                    keys, rows, (links, near) = np.zeros(n, dtype=np.int64), np.zeros((n, width)), _no_links(n)
+                    keys, rows, near = np.zeros(n, dtype=np.int64), np.zeros((n, width)), _no_links(n)
                 at = place.slice(0, held).to_numpy()
                 keys[at], rows[at] = own.slice(0, held).to_numpy(), unit_rows(matrix(vectors.slice(0, held)))
                 lengths = lists.slice(0, held).value_lengths().to_numpy()
-                filled = np.full((held, links.shape[1]), -1, dtype=np.int32)
-                filled[np.arange(links.shape[1]) < lengths[:, None]] = lists.slice(0, held).flatten().to_numpy()
-                links[at] = filled
+                links = np.concatenate(_no_links(held), axis=1)
+                links[np.arange(links.shape[1]) < lengths[:, None]] = lists.slice(0, held).flatten().to_numpy()
+                for level, part in enumerate(np.split(links, (6 - np.arange(4, 0, -1)) * DEGREE, axis=1)):
+                    near[level][at] = part
             if held < batch.num_rows and keys is not None:
-                graph = graph or Graph.restored(rows, links, near)
+                graph = graph or Graph.restored(rows, near)
                 yield from found(keys, graph, own.slice(held).to_numpy(), unit_rows(matrix(vectors.slice(held))))
 
     def found(keys: np.ndarray, graph: Graph, own: np.ndarray, rows: np.ndarray):
